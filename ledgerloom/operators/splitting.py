@@ -43,9 +43,8 @@ def proportional_quota(counts: dict, draws: int) -> dict:
     total = sum(counts.values())
     if total == 0:
         return {c: 0 for c in counts}
-    exact = {c: n * draws / total for c, n in counts.items()}
-    quota = {c: math.floor(x) for c, x in exact.items()}
-    by_remainder = sorted(counts, key=lambda c: quota[c] - exact[c])
+    quota = {c: n * draws // total for c, n in counts.items()}
+    by_remainder = sorted(counts, key=lambda c: -(counts[c] * draws % total))
     for c in by_remainder[: draws - sum(quota.values())]:
         quota[c] += 1
     return quota
