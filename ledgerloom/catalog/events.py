@@ -39,7 +39,7 @@ from ledgerloom.operators.sessions import (
 )
 from ledgerloom.operators.splitting import group_split, random_split
 from ledgerloom.plans.fraud import run_batch, run_training, train
-from ledgerloom.session import scratch_path
+from ledgerloom.session import materialize, scratch_path
 from ledgerloom.sources.readers import read_lines, read_transactions, stream_lines
 from ledgerloom.sources.writers import json_rows, load_model
 from ledgerloom.streaming.fraud import FraudStream
@@ -91,7 +91,7 @@ def _(spark, sf_dir):
     """One user holds a third of all rows, and its cells are cut into slices."""
     rows = transactions(spark, sf_dir)
     hot = F.when(F.col("transaction_id") % 3 == 0, F.lit(-1).cast("long")).otherwise(F.col("user_id"))
-    per_slice = max(10, rows.count() // 1000)
+    per_slice = max(10, rows.count() // 500)
     return _sessions(
         session_features(rows.withColumn("user_id", hot), gap_seconds=SIX_HOURS, max_rows_per_slice=per_slice)
     )
@@ -354,7 +354,7 @@ def _(spark, sf_dir):
 @query("scored_transactions")
 def _(spark, sf_dir):
     """Every transaction with its session features, score, flag and route."""
-    rows = enrich_with_sessions(transactions(spark, sf_dir))
+    rows = materialize(enrich_with_sessions(transactions(spark, sf_dir)), "training")
     return with_route(score_rows(rows, fit_forest(rows, trees=20, depth=5)))
 
 
@@ -372,7 +372,7 @@ def _read_branches(spark: SparkSession, path: str, prefix: str = "") -> DataFram
 
 
 def _small_forest(spark: SparkSession, sf_dir: str):
-    rows = enrich_with_sessions(transactions(spark, sf_dir))
+    rows = materialize(enrich_with_sessions(transactions(spark, sf_dir)), "training")
     return fit_forest(rows, trees=10, depth=4)
 
 

@@ -8,13 +8,16 @@ from pyspark.sql import types as T
 
 # Fixed pattern: ISO-8601 date, optional time with fraction, optional offset.
 ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?\z"
-ISO_OFFSET = r"[T ].*(Z|[+-]\d{2}:\d{2})\z"
 
 
 def iso_instant(text: Column) -> Column:
     """Parse ISO-8601 text; text without an offset is taken as UTC, anything else is NULL."""
-    with_time = F.when(text.rlike("[T ]"), text).otherwise(F.concat(text, F.lit("T00:00:00")))
-    zoned = F.when(text.rlike(ISO_OFFSET), with_time).otherwise(F.concat(with_time, F.lit("Z")))
+    has_offset = (F.substring(text, -1, 1) == "Z") | F.substring(text, -6, 1).isin("+", "-")
+    zoned = (
+        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(has_offset, text)
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
     return F.when(text.rlike(ISO_PATTERN), F.try_to_timestamp(zoned))
 
 

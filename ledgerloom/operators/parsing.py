@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +20,9 @@ DEAD_LETTER = "dead_letter"
 DROPPED = "dropped"
 
 
-def _lacks(keys: Column, names: tuple[str, ...]) -> Column:
-    return F.size(F.array_except(F.array(*[F.lit(n) for n in names]), keys)) > 0
+def _lacks(members: Column, names: tuple[str, ...]) -> Column:
+    present = [F.map_contains_key(members, name) for name in names]
+    return ~functools.reduce(operator.and_, present)
 
 
 def parse_transactions(lines: DataFrame, on_missing: str = "dead_letter") -> DataFrame:
@@ -26,7 +30,7 @@ def parse_transactions(lines: DataFrame, on_missing: str = "dead_letter") -> Dat
 
     Every input line gives one output row with the raw ``value``, a ``parse_status``
     (``valid``, ``dead_letter`` or ``dropped``), a ``reason``, the declared transaction
-    columns, ``event_time``, and ``extra`` with all other keys and their JSON types.
+    columns, ``event_time``, and ``extra``, a map of all other keys with their JSON types.
     ``on_missing`` says what happens to objects without a required key: ``dead_letter``
     keeps them in the dead-letter branch, ``drop`` marks them as dropped.
     """
@@ -41,22 +45,23 @@ def parse_transactions(lines: DataFrame, on_missing: str = "dead_letter") -> Dat
     looks_like_object = F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$")
 
     known = [f.name for f in TRANSACTION.fields]
+    parse = F.struct(looks_like_object.alias("object"), typed.alias("typed"), dynamic.alias("dynamic"))
+    single = F.col("j.object") & (F.size("j.typed") == 1) & (F.size("j.dynamic") == 1)
     staged = (
-        lines.select("value", looks_like_object.alias("_object"), typed.alias("_t"), dynamic.alias("_m"))
+        lines.select("value", _once(parse).alias("j"))
         .select(
             "value",
-            F.when(F.col("_object") & (F.size("_t") == 1), F.get("_t", F.lit(0))).alias("_t"),
-            F.when(F.col("_object") & (F.size("_m") == 1), F.get("_m", F.lit(0))).alias("_m"),
+            F.when(single, F.get("j.typed", F.lit(0))).alias("_t"),
+            F.when(single, F.get("j.dynamic", F.lit(0))).alias("_m"),
         )
-        .select("value", "_t.*", F.col("_t").isNotNull().alias("_parsed"), "_m",
-                F.map_keys("_m").alias("_keys"))
+        .select("value", "_t.*", F.col("_t").isNotNull().alias("_parsed"), "_m")
         .withColumn("event_time", iso_instant(F.col("timestamp")))
     )
     malformed = ~F.col("_parsed") | F.col("_m").isNull()
     reason = (
         F.when(malformed, F.lit("not a JSON object"))
-        .when(_lacks(F.col("_keys"), REQUIRED_KEYS), F.lit("missing required key"))
-        .when(_lacks(F.col("_keys"), FEATURE_KEYS), F.lit("missing feature key"))
+        .when(_lacks(F.col("_m"), REQUIRED_KEYS), F.lit("missing required key"))
+        .when(_lacks(F.col("_m"), FEATURE_KEYS), F.lit("missing feature key"))
         .when(F.col("amount").isNull() | F.isnan("amount"), F.lit("amount is not a number"))
         .when(F.col("event_time").isNull(), F.lit("timestamp is not ISO-8601"))
     )
@@ -66,16 +71,24 @@ def parse_transactions(lines: DataFrame, on_missing: str = "dead_letter") -> Dat
         .when(F.col("reason") == "missing required key", F.lit(missing_status))
         .otherwise(F.lit(DEAD_LETTER))
     )
-    known_array = F.array(*[F.lit(n) for n in known])
-    extra = F.map_filter("_m", lambda k, v: ~F.array_contains(known_array, k))
+    extra = F.map_filter("_m", lambda k, v: ~k.isin(*known))
     return (
-        staged.withColumn("reason", reason)
+        staged.select("*", _once(F.struct(reason.alias("reason"))).alias("r"))
+        .withColumn("reason", F.col("r.reason"))
         .withColumn("parse_status", status)
-        .withColumn("extra", F.when(F.size(extra) > 0, extra))
-        .select("value", "parse_status", "reason", *known, "event_time", "extra")
+        .select("value", "parse_status", "reason", *known, "event_time", extra.alias("extra"))
     )
 
 
+def _once(value: Column) -> Column:
+    """``value`` as a generated column.
+
+    The optimizer leaves later filters and projections above a generator, so an expensive
+    value is computed once per row and not again for every column and predicate that uses it.
+    """
+    return F.explode_outer(F.array(value))
+
+
 def _ddl() -> str:
     return ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in TRANSACTION.fields)
 

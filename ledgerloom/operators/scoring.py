@@ -55,7 +55,10 @@ def with_class_weight(df: DataFrame, label: str) -> DataFrame:
 def fit_forest(
     df: DataFrame, label: str = "is_fraud", trees: int = 100, depth: int = 10, seed: int = 42, columns=FEATURES
 ) -> PipelineModel:
-    """Balanced random forest on the feature columns of ``df``."""
+    """Balanced random forest on the feature columns of ``df``.
+
+    Training reads ``df`` several times, so hand in a written table, not a long lineage.
+    """
     labelled = df.where(F.col(label).isNotNull()).withColumn("_label", F.col(label).cast("int").cast("double"))
     training = with_class_weight(fill_features(labelled, columns), "_label")
     forest = RandomForestClassifier(

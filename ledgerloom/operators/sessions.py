@@ -120,9 +120,10 @@ def _cell_summaries(df: DataFrame, cols: EventColumns, gap: int, max_rows: int)
         .groupBy(*group)
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.sum("_amount").alias("_total"),
+            F.count("_amount").alias("_known"),
+            F.coalesce(F.sum("_amount"), F.lit(0.0)).alias("_total"),
             F.max("_amount").alias("_max"),
-            (F.var_pop("_amount") * F.count("_amount")).alias("_m2"),
+            F.coalesce(F.var_pop("_amount") * F.count("_amount"), F.lit(0.0)).alias("_m2"),
             F.count_if(F.col("_amount") > HIGH_VALUE).alias("_high"),
             F.count_if(
                 F.col("_before").isNotNull() & ~_same(F.col("_before"), F.col("_location"))
@@ -164,11 +165,13 @@ def _merged(cells: DataFrame, group: list[str], switches: Column) -> DataFrame:
     are merged by a hash aggregation that can spill, never by growing an array.
     """
     everything = Window.partitionBy(*group)
-    mean = F.sum("_total").over(everything) / F.sum("_n").over(everything)
+    mean = F.try_divide(F.sum("_total").over(everything), F.sum("_known").over(everything))
     # Squared deviations around the group mean, from those around the mean of each cell.
-    spread = F.col("_m2") + F.col("_n") * F.pow(F.col("_total") / F.col("_n") - F.col("_mean"), 2)
+    apart = F.coalesce(F.try_divide(F.col("_total"), F.col("_known")) - F.col("_mean"), F.lit(0.0))
+    spread = F.col("_m2") + F.col("_known") * apart * apart
     totals = F.struct(
         "_n",
+        "_known",
         "_total",
         "_max",
         "_high",
@@ -194,6 +197,7 @@ def _merged(cells: DataFrame, group: list[str], switches: Column) -> DataFrame:
         .groupBy(*group, "item")
         .agg(
             F.sum("t._n").alias("_n"),
+            F.sum("t._known").alias("_known"),
             F.sum("t._total").alias("_total"),
             F.max("t._max").alias("_max"),
             F.sum("t._high").alias("_high"),
@@ -208,7 +212,7 @@ def _merged(cells: DataFrame, group: list[str], switches: Column) -> DataFrame:
     return per_item.groupBy(*group).agg(
         *[
             F.max(c).alias(c)
-            for c in ("_n", "_total", "_max", "_high", "_spread", "_switches", "_start", "_end")
+            for c in ("_n", "_known", "_total", "_max", "_high", "_spread", "_switches", "_start", "_end")
         ],
         F.count_if(kind == "category").alias("_categories"),
         F.count_if(kind == "location").alias("_locations"),
@@ -217,11 +221,11 @@ def _merged(cells: DataFrame, group: list[str], switches: Column) -> DataFrame:
     )
 
 
-def _feature_columns(deviation: Column, categories: str, locations: str) -> list[Column]:
+def _feature_columns(count: str, deviation: Column, categories: str, locations: str) -> list[Column]:
     return [
-        F.col("_n").alias("session_txn_count"),
+        F.col(count).alias("session_txn_count"),
         F.col("_total").alias("total_amount"),
-        (F.col("_total") / F.col("_n")).alias("avg_amount"),
+        F.try_divide(F.col("_total"), F.col("_known")).alias("avg_amount"),
         F.col("_max").alias("max_amount"),
         deviation.alias("amount_std"),
         F.col(categories).alias("unique_categories"),
@@ -244,12 +248,13 @@ def session_features(
     gap = _gap_micros(gap_seconds)
     cells = _linked_cells(_cell_summaries(df, cols, gap, max_rows_per_slice), gap)
     # The first cell of a session has no neighbour inside it.
+    deviation = F.sqrt(F.try_divide(F.col("_spread"), F.col("_known")))
     inside = F.col("_switches") + F.when(F.col("_starts") == 0, F.col("_crossed")).otherwise(0)
     return _merged(cells, ["_key", "_session"], inside).select(
         F.col("_key").alias(cols.key),
         F.timestamp_micros("_start").alias("session_start"),
         F.timestamp_micros(F.col("_end") + gap).alias("session_end"),
-        *_feature_columns(F.sqrt(F.col("_spread") / F.col("_n")), "_categories", "_locations"),
+        *_feature_columns("_n", deviation, "_categories", "_locations"),
     )
 
 
@@ -326,15 +331,15 @@ def user_features(
     """The nine features over all rows of a key, regardless of sessions.
 
     One pass replaces three groupings and two joins. The deviation is that of a sample, 0 for
-    a single row, and missing values are not counted as distinct.
+    a single row. Missing amounts are not counted, and missing values are not distinct ones.
     """
     cell = _gap_micros(cell_seconds)
     cells = _linked_cells(_cell_summaries(df, cols, cell, max_rows_per_slice), cell)
     across = F.col("_switches") + F.coalesce(F.col("_crossed"), F.lit(0))
-    sample = F.coalesce(F.sqrt(F.try_divide(F.col("_spread"), F.col("_n") - 1)), F.lit(0.0))
+    sample = F.coalesce(F.sqrt(F.try_divide(F.col("_spread"), F.col("_known") - 1)), F.lit(0.0))
     return _merged(cells, ["_key"], across).select(
         F.col("_key").alias(cols.key),
-        *_feature_columns(sample, "_known_categories", "_known_locations"),
+        *_feature_columns("_known", sample, "_known_categories", "_known_locations"),
     )
 
 

@@ -51,11 +51,12 @@ def proportional_quota(counts: dict, draws: int) -> dict:
 
 
 def _cut_points(
-    ranked: DataFrame, wanted: dict[object, list[int]], max_rows: int
+    ranked: DataFrame, wanted: dict[object, list[int]], largest: int, max_rows: int
 ) -> dict[object, list[tuple | None]]:
     """For each class and rank r (1-based), the (hash, key) of its r-th row; None for rank 0.
 
-    ``ranked`` has columns ``_class``, ``_h`` (0 <= _h < 2**63) and ``_key``.
+    ``ranked`` has columns ``_class``, ``_h`` (0 <= _h < 2**63) and ``_key``; ``largest`` is the
+    number of rows of its largest class.
     """
     spark = ranked.sparkSession
     cuts: dict[object, list[tuple | None]] = {c: [None] * len(rs) for c, rs in wanted.items()}
@@ -73,7 +74,7 @@ def _cut_points(
         prefix = F.shiftright("_h", 63 - length) == F.col("s_prefix")
         return ranked.join(F.broadcast(table), same_class & prefix)
 
-    while searches:
+    while searches and largest > max_rows and searches[0][3] + PREFIX_BITS <= 63:
         length = searches[0][3] + PREFIX_BITS
         order = Window.partitionBy("s_class", "s_pos").orderBy("_child")
         children = (
@@ -87,9 +88,7 @@ def _cut_points(
         searches = [
             (r.s_class, r.s_pos, r._child, length, r.s_rank - (r._upto - r._n)) for r in children
         ]
-        largest = max((r._n for r in children), default=0)
-        if largest <= max_rows or length + PREFIX_BITS > 63:
-            break
+        largest = max(r._n for r in children)
     if searches:
         order = Window.partitionBy("s_class", "s_pos").orderBy("_h", "_key")
         found = (
@@ -116,12 +115,12 @@ def _at_or_before(h: Column, key: Column, cut: tuple | None, key_type: str) -> C
 
 def _assign(
     df: DataFrame, classes: Column, key: str, seed: int,
-    wanted: dict[object, list[int]], names: Sequence[str], max_rows: int,
+    wanted: dict[object, list[int]], names: Sequence[str], largest: int, max_rows: int,
 ) -> Column:
     h = _unsigned_order(seeded_hash(seed, F.col(key)))
     ranked = df.select(classes.alias("_class"), h.alias("_h"), F.col(key).alias("_key"))
     key_type = _type_of(ranked, "_key")
-    cuts = _cut_points(ranked, wanted, max_rows)
+    cuts = _cut_points(ranked, wanted, largest, max_rows)
     out = F.lit(None).cast("string")
     for label, points in cuts.items():
         of_class = classes.eqNullSafe(F.lit(label))
@@ -152,7 +151,8 @@ def stratified_split(
     left = {c: counts[c] - train[c] for c in counts}
     validation = proportional_quota(left, held - math.ceil(held / 2))
     wanted = {c: [train[c], train[c] + validation[c]] for c in counts}
-    return df.withColumn("split", _assign(df, F.col(label), key, seed, wanted, names, max_rows))
+    largest = max(counts.values(), default=0)
+    return df.withColumn("split", _assign(df, F.col(label), key, seed, wanted, names, largest, max_rows))
 
 
 def random_split(
@@ -166,7 +166,7 @@ def random_split(
     """Add ``split`` with an exact test share, rounded up, regardless of class."""
     total = df.count()
     train = total - math.ceil(total * test_size - 1e-9)
-    part = _assign(df, F.lit(0), key, seed, {0: [train]}, names, max_rows)
+    part = _assign(df, F.lit(0), key, seed, {0: [train]}, names, total, max_rows)
     return df.withColumn("split", part)
 
 
@@ -193,7 +193,7 @@ def sample_rows(
     total = df.count()
     if n >= total:
         return df
-    part = _assign(df, F.lit(0), key, seed, {0: [n]}, ("in", "out"), max_rows)
+    part = _assign(df, F.lit(0), key, seed, {0: [n]}, ("in", "out"), total, max_rows)
     return df.where(part == "in")
 
 

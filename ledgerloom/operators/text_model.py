@@ -53,7 +53,7 @@ def model_inputs(df: DataFrame, text: str = "func", label: str = "target", max_l
     )
 
 
-def _pipeline(text: str, label: str, features: int, regularization: float) -> Pipeline:
+def _pipeline(text: str, label: str, features: int, iterations: int) -> Pipeline:
     tokenizer = RegexTokenizer(
         inputCol=text, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=False
     )
@@ -63,7 +63,7 @@ def _pipeline(text: str, label: str, features: int, regularization: float) -> Pi
             HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
             IDF(inputCol="_tf", outputCol="_features"),
             LogisticRegression(
-                featuresCol="_features", labelCol=label, regParam=regularization,
+                featuresCol="_features", labelCol=label, maxIter=iterations,
                 probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction",
             ),
         ]
@@ -84,6 +84,7 @@ def fit_classifier(
     label: str = "target",
     features: int = 1 << 18,
     regularizations: Sequence[float] = (0.001, 0.01, 0.1),
+    iterations: int = 30,
 ) -> PipelineModel:
     """Text classifier; the regularisation with the least validation loss wins.
 
@@ -93,7 +94,7 @@ def fit_classifier(
         rows = df.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(text, label)
         return rows.withColumn(label, F.col(label).cast("double"))
 
-    stages = _pipeline(text, label, features, 0.0).getStages()
+    stages = _pipeline(text, label, features, iterations).getStages()
     vectors = Pipeline(stages=stages[:-1]).fit(usable(train))
     seen = vectors.transform(usable(train)).select("_features", label).persist()
     held = vectors.transform(usable(validation)).select("_features", label).persist()
