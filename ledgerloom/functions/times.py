@@ -12,11 +12,14 @@ ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d
 
 def iso_instant(text: Column) -> Column:
     """Parse ISO-8601 text; text without an offset is taken as UTC, anything else is NULL."""
+    seconds = F.when(F.substring(text, 17, 1) == ":", text).otherwise(
+        F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 6))
+    )
     has_offset = (F.substring(text, -1, 1) == "Z") | F.substring(text, -6, 1).isin("+", "-")
     zoned = (
         F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .when(has_offset, text)
-        .otherwise(F.concat(text, F.lit("Z")))
+        .when(has_offset, seconds)
+        .otherwise(F.concat(seconds, F.lit("Z")))
     )
     return F.when(text.rlike(ISO_PATTERN), F.try_to_timestamp(zoned))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -22,6 +23,11 @@ def local_session(cpus: int = 8, app: str = "ledgerloom", memory: str = "16g") -
     )
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="ledgerloom-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -32,9 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
