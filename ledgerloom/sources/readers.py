@@ -13,8 +13,16 @@ SPLITS = ("train", "validation", "test")
 # Single files synthetic_batch_<n>.csv as well as directories synthetic_batch=<n>.
 BATCH_GLOB = "synthetic_batch[_=]*"
 
-# Code holds quotes and line breaks, so quotes are doubled and records may span lines.
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+# Code holds quotes and line breaks, so quotes are doubled and records may span lines; the
+# white space around it is part of it.
+CSV_OPTIONS = {
+    "header": "true",
+    "multiLine": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
