@@ -164,11 +164,16 @@ def _(spark, sf_dir):
     return rounded(user_features(transactions(spark, sf_dir)), *FEATURE_DOUBLES)
 
 
+@query("location_switches", f"WITH {USER_FEATURES_SQL} SELECT user_id, location_switches FROM features")
+def _(spark, sf_dir):
+    return user_features(transactions(spark, sf_dir)).select("user_id", "location_switches")
+
+
 @query(
     "user_enriched",
     f"""WITH {USER_FEATURES_SQL}
-    SELECT r.transaction_id, r.user_id, r.amount AS total_amount, {", ".join(
-        f"f.total_amount AS total_amount_session" if c == "total_amount" else f"f.{c}" for c in SESSION_FEATURES)}
+    SELECT r.transaction_id, r.user_id, r.amount AS total_amount, f.total_amount AS total_amount_session,
+           {", ".join(f"f.{c}" for c in SESSION_FEATURES if c != "total_amount")}
     FROM rows r JOIN features f USING (user_id)""",
 )
 def _(spark, sf_dir):

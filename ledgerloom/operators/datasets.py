@@ -130,12 +130,11 @@ def statistics_totals(stats: DataFrame) -> DataFrame:
 
 def split_shares(stats: DataFrame) -> DataFrame:
     """Per split: share of all rows and share of buggy rows, in percent."""
-    total = stats.agg(_total("total_samples").alias("_all"))
-    # The right side is one row by construction.
-    return stats.join(F.broadcast(total)).select(
+    total = stats.agg(_total("total_samples")).scalar()
+    return stats.select(
         "split",
         "total_samples",
-        round_even(percent_or_zero(F.col("total_samples"), F.col("_all")), 1).alias("percent_of_total"),
+        round_even(percent_or_zero(F.col("total_samples"), total), 1).alias("percent_of_total"),
         "buggy_samples",
         round_even(percent_or_zero(F.col("buggy_samples"), F.col("total_samples")), 1).alias("percent_buggy"),
         "clean_samples",

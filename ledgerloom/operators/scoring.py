@@ -39,17 +39,14 @@ def assembler(columns=FEATURES) -> VectorAssembler:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Rows and balanced weight per class: all rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_classes"))
-    # The right side is one row by construction.
-    return counts.join(F.broadcast(totals)).select(
-        label, "n", (F.col("_all") / (F.col("_classes") * F.col("n"))).alias("weight")
-    )
+    rows = counts.agg(F.sum("n")).scalar()
+    classes = counts.agg(F.count(F.lit(1))).scalar()
+    return counts.select(label, "n", (rows / (classes * F.col("n"))).alias("weight"))
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
-    """Rows with the balanced weight of their class; a two-valued label gives a two-row table."""
-    weights = class_weights(df, label).drop("n")
-    return df.join(F.broadcast(weights), label)
+    """Rows with the balanced weight of their class; Spark broadcasts the weights if they are small."""
+    return df.join(class_weights(df, label).drop("n"), label)
 
 
 def fit_forest(

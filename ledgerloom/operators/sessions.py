@@ -110,114 +110,144 @@ def _sliced(events: DataFrame, max_rows: int) -> DataFrame:
 
 
 def _cell_summaries(df: DataFrame, cols: EventColumns, gap: int, max_rows: int) -> DataFrame:
-    """One row per (key, cell, slice) with everything that can be merged later."""
+    """One row per (key, cell, slice) with everything that can be merged later.
+
+    The neighbour comparison needs the rows of a group in order, so the totals are taken as
+    windows over the same sort, and the last row of each group is kept with them. That is one
+    pass over sorted rows, without the hash tables of a grouping.
+    """
     events = _sliced(_narrow(df, cols, gap), max_rows)
-    group = ["_key", "_cell", "_slice"]
-    order = Window.partitionBy(*group).orderBy("_us", "_id")
-    moment = F.struct("_us", "_id")
+    ordered = Window.partitionBy("_key", "_cell", "_slice").orderBy("_us", "_id")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    switched = F.col("_before").isNotNull() & ~_same(F.col("_before"), F.col("_location"))
+    summaries = {
+        "_n": F.count(F.lit(1)).over(whole),
+        "_known": F.count("_amount").over(whole),
+        "_total": F.coalesce(F.sum("_amount").over(whole), F.lit(0.0)),
+        "_max": F.max("_amount").over(whole),
+        "_variance": F.coalesce(F.var_pop("_amount").over(whole), F.lit(0.0)),
+        "_high": F.sum((F.col("_amount") > HIGH_VALUE).cast("long")).over(whole),
+        "_switches": F.sum("_switched").over(whole),
+        "_first_us": F.first("_us").over(whole),
+        "_first_id": F.first("_id").over(whole),
+        "_first_location": F.first("_location").over(whole),
+        "_categories": F.collect_set("_category").over(whole),
+        "_locations": F.collect_set("_location").over(whole),
+    }
     return (
-        events.withColumn("_before", F.lag("_location").over(order))
-        .groupBy(*group)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.count("_amount").alias("_known"),
-            F.coalesce(F.sum("_amount"), F.lit(0.0)).alias("_total"),
-            F.max("_amount").alias("_max"),
-            F.coalesce(F.var_pop("_amount") * F.count("_amount"), F.lit(0.0)).alias("_m2"),
-            F.count_if(F.col("_amount") > HIGH_VALUE).alias("_high"),
-            F.count_if(
-                F.col("_before").isNotNull() & ~_same(F.col("_before"), F.col("_location"))
-            ).alias("_switches"),
-            F.min(moment).alias("_first"),
-            F.max(moment).alias("_last"),
-            F.min_by("_location", moment).alias("_first_location"),
-            F.max_by("_location", moment).alias("_last_location"),
-            F.collect_set("_category").alias("_categories"),
-            F.collect_set("_location").alias("_locations"),
+        events.withColumns(
+            {"_before": F.lag("_location").over(ordered), "_next_us": F.lead("_us").over(ordered)}
+        )
+        .withColumn("_switched", switched.cast("long"))
+        .withColumns(summaries)
+        .where(F.col("_next_us").isNull())
+        .select(
+            "_key",
+            "_cell",
+            *summaries,
+            F.col("_us").alias("_last_us"),
+            F.col("_location").alias("_last_location"),
         )
     )
 
 
 def _linked_cells(cells: DataFrame, gap: int) -> DataFrame:
     """Number the sessions of each key and count the switch from each cell to the next."""
-    order = Window.partitionBy("_key").orderBy("_first")
-    starts = F.col("_prev_us").isNull() | (F.col("_first._us") - F.col("_prev_us") >= gap)
+    order = Window.partitionBy("_key").orderBy("_first_us", "_first_id")
+    starts = F.col("_prev_us").isNull() | (F.col("_first_us") - F.col("_prev_us") >= gap)
     crossed = F.col("_prev_location").isNotNull() & ~_same(
         F.col("_prev_location"), F.col("_first_location")
     )
     return (
-        cells.withColumn("_prev_us", F.lag("_last._us").over(order))
-        .withColumn("_prev_location", F.lag("_last_location").over(order))
-        .withColumn("_crossed", crossed.cast("int"))
-        .withColumn("_starts", starts.cast("int"))
+        cells.withColumns(
+            {
+                "_prev_us": F.lag("_last_us").over(order),
+                "_prev_location": F.lag("_last_location").over(order),
+            }
+        )
+        .withColumns({"_crossed": crossed.cast("int"), "_starts": starts.cast("int")})
         .withColumn(
             "_session",
             F.sum("_starts").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         )
-        .drop("_prev_us", "_prev_location")
+        .drop("_prev_us", "_prev_location", "_first_location", "_last_location", "_first_id")
     )
 
 
 def _merged(cells: DataFrame, group: list[str], switches: Column) -> DataFrame:
     """Merge cell summaries into one row per group.
 
-    Each cell becomes one row for its totals and one per distinct value, so distinct values
-    are merged by a hash aggregation that can spill, never by growing an array.
+    A cell that is alone in its group has its distinct values counted already. Otherwise each
+    cell becomes one row for its totals and one per distinct value, so distinct values are
+    merged by a hash aggregation that can spill, never by growing an array.
     """
     everything = Window.partitionBy(*group)
     mean = F.try_divide(F.sum("_total").over(everything), F.sum("_known").over(everything))
     # Squared deviations around the group mean, from those around the mean of each cell.
     apart = F.coalesce(F.try_divide(F.col("_total"), F.col("_known")) - F.col("_mean"), F.lit(0.0))
-    spread = F.col("_m2") + F.col("_known") * apart * apart
+    spread = F.col("_known") * (F.col("_variance") + apart * apart)
+    alone = F.col("_cells") == 1
+
+    def counted(values: str) -> Column:
+        return F.when(alone, F.size(values)).otherwise(0)
+
+    def counted_known(values: str) -> Column:
+        return F.when(alone, F.size(F.filter(values, lambda v: v["v"].isNotNull()))).otherwise(0)
+
+    sums = {
+        "_n": F.col("_n"),
+        "_known": F.col("_known"),
+        "_total": F.col("_total"),
+        "_high": F.col("_high"),
+        "_spread": spread,
+        "_switches": switches,
+        "_categories": counted("_categories"),
+        "_locations": counted("_locations"),
+        "_known_categories": counted_known("_categories"),
+        "_known_locations": counted_known("_locations"),
+    }
     totals = F.struct(
-        "_n",
-        "_known",
-        "_total",
-        "_max",
-        "_high",
-        spread.alias("_spread"),
-        switches.alias("_switches"),
-        F.col("_first._us").alias("_start"),
-        F.col("_last._us").alias("_end"),
+        *[c.alias(name) for name, c in sums.items()],
+        F.col("_max").alias("_max"),
+        F.col("_first_us").alias("_start"),
+        F.col("_last_us").alias("_end"),
     )
 
     def tagged(kind: str, value: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
 
-    items = F.concat(
-        F.array(tagged("totals", F.lit(None).cast("struct<v:string>"))),
+    own = F.array(tagged("totals", F.lit(None).cast("struct<v:string>")))
+    values = F.concat(
         F.transform("_categories", lambda v: tagged("category", v)),
         F.transform("_locations", lambda v: tagged("location", v)),
     )
     per_item = (
-        cells.withColumn("_mean", mean)
-        .select(*group, totals.alias("t"), items.alias("items"))
+        cells.withColumns({"_mean": mean, "_cells": F.count(F.lit(1)).over(everything)})
+        .select(*group, totals.alias("t"), F.when(alone, own).otherwise(F.concat(own, values)).alias("items"))
         .select(*group, "t", F.explode("items").alias("item"))
         .select(*group, "item", F.when(F.col("item.kind") == "totals", F.col("t")).alias("t"))
         .groupBy(*group, "item")
         .agg(
-            F.sum("t._n").alias("_n"),
-            F.sum("t._known").alias("_known"),
-            F.sum("t._total").alias("_total"),
+            *[F.sum(f"t.{name}").alias(name) for name in sums],
             F.max("t._max").alias("_max"),
-            F.sum("t._high").alias("_high"),
-            F.sum("t._spread").alias("_spread"),
-            F.sum("t._switches").alias("_switches"),
             F.min("t._start").alias("_start"),
             F.max("t._end").alias("_end"),
         )
     )
     kind, known = F.col("item.kind"), F.col("item.value.v").isNotNull()
+
+    def distinct(name: str, tag: str, condition: Column | None = None) -> Column:
+        matches = kind == tag if condition is None else (kind == tag) & condition
+        return (F.max(name) + F.count_if(matches)).alias(name)
+
     # Only the totals row carries numbers, so max() picks them out.
+    plain = [c for c in sums if c not in ("_categories", "_locations", "_known_categories", "_known_locations")]
     return per_item.groupBy(*group).agg(
-        *[
-            F.max(c).alias(c)
-            for c in ("_n", "_known", "_total", "_max", "_high", "_spread", "_switches", "_start", "_end")
-        ],
-        F.count_if(kind == "category").alias("_categories"),
-        F.count_if(kind == "location").alias("_locations"),
-        F.count_if((kind == "category") & known).alias("_known_categories"),
-        F.count_if((kind == "location") & known).alias("_known_locations"),
+        *[F.max(c).alias(c) for c in (*plain, "_max", "_start", "_end")],
+        distinct("_categories", "category"),
+        distinct("_locations", "location"),
+        distinct("_known_categories", "category", known),
+        distinct("_known_locations", "location", known),
     )
 
 

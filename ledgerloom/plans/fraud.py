@@ -23,7 +23,7 @@ from ledgerloom.operators.sessions import (
 )
 from ledgerloom.operators.splitting import group_split, random_split
 from ledgerloom.schemas import TRANSACTION
-from ledgerloom.session import materialize, scratch_path
+from ledgerloom.session import materialize, remove_path, scratch_path
 from ledgerloom.sources.readers import read_lines, read_transactions
 from ledgerloom.sources.writers import json_rows, save_model, write_text_branches
 
@@ -126,10 +126,12 @@ def run_batch(
     threshold: float = THRESHOLD,
 ) -> None:
     """Parse, sessionise, score and write the branches flagged, clean and dead_letters."""
-    parsed = parse_to_table(read_lines(spark, input_path), scratch_path(spark, "parsed"))
+    staging = scratch_path(spark, "parsed")
+    parsed = parse_to_table(read_lines(spark, input_path), staging)
     valid = parsed.where(F.col("parse_status") == VALID).drop("value", "parse_status", "reason")
     dead = parsed.where(F.col("parse_status") == DEAD_LETTER).select(
         "value", F.lit(DEAD_LETTERS).alias("route")
     )
     scored = score_and_route(valid, model, gap_seconds, threshold)
     write_text_branches(scored.unionByName(dead), output_path)
+    remove_path(spark, staging)

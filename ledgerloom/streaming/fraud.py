@@ -20,6 +20,7 @@ from ledgerloom.operators.parsing import DEAD_LETTER, VALID
 from ledgerloom.operators.scoring import THRESHOLD
 from ledgerloom.operators.sessions import MICROS, SESSION_GAP_SECONDS, assign_sessions
 from ledgerloom.plans.fraud import DEAD_LETTERS, parse_to_table, score_and_route
+from ledgerloom.session import remove_path
 from ledgerloom.sources.writers import write_text_branches
 
 FINAL = "final"
@@ -91,8 +92,9 @@ class FraudStream:
             .unionByName(late.withColumn("route", F.lit(LATE)))
         )
         write_text_branches(out, f"{self.output_path}/batch_id={batch_id}")
+        # Versions no replay can ask for any more.
         for kind in ("parsed", "rows", "watermark"):
-            self._forget(spark, self._state(kind, batch_id - 2))
+            remove_path(spark, self._state(kind, batch_id - 2))
 
     def finish(self, spark: SparkSession, last_batch_id: int) -> None:
         """Close every session still open after the last micro-batch of a finite input."""
@@ -118,9 +120,3 @@ class FraudStream:
         if batch_id < 0:
             return None
         return spark.read.schema("watermark long").parquet(self._state("watermark", batch_id)).first()[0]
-
-    @staticmethod
-    def _forget(spark: SparkSession, path: str) -> None:
-        """Remove a state version no replay can ask for any more."""
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
