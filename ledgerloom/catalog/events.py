@@ -27,6 +27,7 @@ from ledgerloom.operators.scoring import (
     fill_features,
     fit_forest,
     score_rows,
+    score_with,
     with_route,
 )
 from ledgerloom.operators.sessions import (
@@ -363,6 +364,26 @@ def _(spark, sf_dir):
     return with_route(score_rows(rows, fit_forest(rows, trees=20, depth=5)))
 
 
+@query(
+    "scored_by_loaded_model",
+    """WITH p AS (SELECT event_id, value / (value + 100) AS p FROM events)
+    SELECT event_id AS transaction_id, round_even(p, 4) AS fraud_score, p > 0.7 AS fraud_predicted FROM p""",
+)
+def _(spark, sf_dir):
+    """A model of another library, loaded once per task: here, the amount over itself plus 100."""
+
+    def load():
+        class Share:
+            def predict_proba(self, frame):
+                share = frame["amount"] / (frame["amount"] + 100)
+                return list(zip(1 - share, share))
+
+        return Share()
+
+    scored = score_with(transactions(spark, sf_dir), load)
+    return scored.select("transaction_id", "fraud_score", "fraud_predicted")
+
+
 def _read_branches(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     """Scored lines as typed columns; the sum of scores depends on the forest and is left out."""
     doubles = ", ".join(f"{c} double" for c in ("amount", *FEATURE_DOUBLES, "max_amount"))

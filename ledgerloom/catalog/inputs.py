@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.sessions import EventColumns
-
-EVENT_COLUMNS = EventColumns()
-
+from ledgerloom.sources.readers import spread
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,7 +70,7 @@ def _quoted(column: Column) -> Column:
 def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a line of text. By ``event_id % 7``, 0 cuts the line off, 1 leaves the amount
     out, 2 appends a second object, and 3 has an amount in quotes."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     kind = F.col("event_id") % 7
     number = F.col("value").cast("string")
     amount = (
@@ -116,7 +113,7 @@ VALID_SQL = """
 def code_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as code, its whole text behind ``#``. By ``doc_id % 4``: 0 is a function,
     1 has a broken header, 2 is no function, 3 is a function with a docstring."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents"))
     kind, name = F.col("doc_id") % 4, F.col("doc_id").cast("string")
     head = (
         F.when(kind == 0, F.concat(F.lit("def f"), name, F.lit("():\n    return "), name))
@@ -162,7 +159,9 @@ def flags_sql() -> str:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a quality label; a rule on the id stands for a split that was given."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("func"), "source", "n_chars")
+    documents = spread(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("text").alias("func"), "source", "n_chars"
+    )
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
     return documents.join(labels, "doc_id").withColumn("split", _split(F.col("doc_id")))
 

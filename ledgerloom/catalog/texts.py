@@ -58,8 +58,8 @@ from ledgerloom.operators.splitting import (
 from ledgerloom.operators.text_model import classify, fit_classifier, tokenized_inputs, TOKEN_PATTERN
 from ledgerloom.plans.code_data import analyse, filter_samples, merge_and_split, with_row_key
 
-from ledgerloom.session import scratch_path
-from ledgerloom.sources.readers import batch_sizes, read_csv, read_splits, read_synthetic_batches
+from ledgerloom.session import materialize, scratch_path
+from ledgerloom.sources.readers import batch_sizes, read_csv, read_splits, read_synthetic_batches, spread
 from ledgerloom.sources.writers import write_batches, write_csv, write_predictions, write_splits
 
 # --- quality filters ---
@@ -78,7 +78,7 @@ def _(spark, sf_dir):
        FROM documents""",
 )
 def _(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("func"))
+    documents = spread(table(spark, sf_dir, "documents")).select("doc_id", F.col("text").alias("func"))
     return text_flags(documents).drop("func")
 
 
@@ -505,7 +505,7 @@ def _responses(spark, sf_dir) -> DataFrame:
         .when(kind == 4, F.concat(F.lit("BUG_TYPE: a\nCODE: "), text))
     )
     sample_id = F.floor(F.col("doc_id") / 10) * 100 + F.col("doc_id") % 10
-    return table(spark, sf_dir, "documents").select(sample_id.alias("sample_id"), response.alias("response"))
+    return spread(table(spark, sf_dir, "documents")).select(sample_id.alias("sample_id"), response.alias("response"))
 
 
 RESPONSES_SQL = """
@@ -558,7 +558,8 @@ def _(spark, sf_dir):
         FROM documents""",
 )
 def _(spark, sf_dir):
-    rows = tokenized_inputs(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    documents = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    rows = tokenized_inputs(documents, "text")
     used = F.aggregate("attention_mask", F.lit(0), lambda total, x: total + x)
     return rows.select("doc_id", F.size("input_ids").alias("length"), used.alias("used"))
 
@@ -566,7 +567,7 @@ def _(spark, sf_dir):
 @query("text_classifier")
 def _(spark, sf_dir):
     """Fit on the train split, choose by validation loss, classify every labelled document."""
-    rows = labelled(spark, sf_dir)
+    rows = materialize(labelled(spark, sf_dir), "labelled")
     model = fit_classifier(
         rows.where(F.col("split") == "train"), rows.where(F.col("split") == "validation"), features=1 << 14
     )

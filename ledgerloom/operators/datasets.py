@@ -11,6 +11,7 @@ from ledgerloom.functions.numeric import percent_or_zero, ratio_or_zero, round_e
 from ledgerloom.functions.text import code_length
 from ledgerloom.operators.generation import SOURCE_FAILED, SOURCE_OK
 
+# Name of the base source, and the columns every data set has.
 BASE_SOURCE = "codexglue"
 REQUIRED_COLUMNS = ("func", "target")
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.numeric import round_even
 from ledgerloom.operators.sessions import SESSION_FEATURES
@@ -80,6 +83,33 @@ def score_rows(df: DataFrame, model: PipelineModel, threshold: float = THRESHOLD
     ).select(*df.columns, "fraud_score", "fraud_predicted")
 
 
+def score_with(
+    df: DataFrame, load: Callable[[], object], threshold: float = THRESHOLD, columns=FEATURES
+) -> DataFrame:
+    """Score with a model of another library.
+
+    ``load`` returns an object with ``predict_proba`` over a pandas frame of ``columns``. It is
+    called once per task, and the model is applied to whole Arrow batches.
+    """
+    columns = list(columns)
+
+    def probabilities(batches):
+        import pandas as pd
+
+        model = load()
+        for batch in batches:
+            frame = pd.DataFrame(dict(zip(columns, batch)))
+            yield pd.Series([float(p[1]) for p in model.predict_proba(frame)])
+
+    probabilities.__annotations__ = {
+        "batches": Iterator[tuple[pd.Series, ...]],
+        "return": Iterator[pd.Series],
+    }
+    probability = F.pandas_udf(probabilities, returnType=T.DoubleType())
+    scored = fill_features(df, columns).withColumn("_p", probability(*[f"_f_{c}" for c in columns]))
+    return apply_threshold(scored, "_p", threshold).select(*df.columns, "fraud_score", "fraud_predicted")
+
+
 def apply_threshold(df: DataFrame, probability: str, threshold: float = THRESHOLD) -> DataFrame:
     """Flag on the unrounded probability, strictly above the threshold; round only what is shown."""
     return df.withColumns(

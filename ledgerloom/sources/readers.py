@@ -25,6 +25,17 @@ CSV_OPTIONS = {
 }
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a plain table scan over at least as many tasks as there are cores.
+
+    A file is not split below its row groups, so a small table of one file would give all
+    per-row work to one task. A table with enough splits is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan if splits >= cores else scan.repartition(cores)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per text line in ``value``; blank lines are kept."""
     return spark.read.text(path)
