@@ -23,11 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.times import micros_of
+from ledgerloom.session import materialize
 
 MICROS = 1_000_000
 SESSION_GAP_SECONDS = 1800
 HIGH_VALUE = 1000.0
-MAX_ROWS_PER_SLICE = 2_000_000
+MAX_ROWS_PER_SLICE = 1_000_000
 
 SESSION_FEATURES = (
     "session_txn_count",
@@ -96,7 +97,8 @@ def _sliced(events: DataFrame, max_rows: int) -> DataFrame:
     found = large.agg(F.count(F.lit(1)).alias("cells"), F.sum("_n").alias("rows")).first()
     if found["cells"] == 0:
         return events.withColumn("_slice", F.lit(0))
-    large = large.select(F.col("_key").alias("_lk"), F.col("_cell").alias("_lc"))
+    # At most rows / max_rows entries; written down, so that the joins below know its size.
+    large = materialize(large.select(F.col("_key").alias("_lk"), F.col("_cell").alias("_lc")), "large-cells")
     on_cell = _same(F.col("_key"), F.col("_lk")) & (F.col("_cell") == F.col("_lc"))
     # Twice as many ranges as needed on average, since sampled bounds are uneven.
     ranges = 2 * -(-found["rows"] // max_rows)

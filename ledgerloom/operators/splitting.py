@@ -89,6 +89,8 @@ def _cut_points(
             (r.s_class, r.s_pos, r._child, length, r.s_rank - (r._upto - r._n)) for r in children
         ]
         largest = max(r._n for r in children)
+    if largest > max_rows:
+        raise ValueError("the key is not unique: too many rows share one value")
     if searches:
         order = Window.partitionBy("s_class", "s_pos").orderBy("_h", "_key")
         found = (

@@ -110,7 +110,7 @@ def fit_classifier(
     try:
         # Candidates share the executors: each is a row of short jobs that leaves them idle.
         with ThreadPool(min(parallelism, len(regularizations))) as pool:
-            results = pool.map(inheritable_thread_target(candidate), regularizations)
+            results = pool.map(inheritable_thread_target(train.sparkSession)(candidate), regularizations)
     finally:
         seen.unpersist()
         held.unpersist()

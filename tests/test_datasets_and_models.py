@@ -166,6 +166,12 @@ def test_too_many_classes_are_refused(spark):
         class_counts(spark.range(2000).withColumnRenamed("id", "target"), "target")
 
 
+def test_copies_of_one_key_are_refused(spark):
+    df = spark.range(100).select(F.lit("copy").alias("k"), F.lit(1).alias("target"))
+    with pytest.raises(ValueError, match="not unique"):
+        stratified_split(df, "target", "k", max_rows=10)
+
+
 def test_split_adds_no_shuffle_to_the_rows(spark):
     plan = stratified_split(labelled(spark, 100, 30), "target", "k")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan

@@ -17,6 +17,7 @@ from ledgerloom.operators.scoring import (
     fit_forest,
     routed,
     score_rows,
+    score_with,
     with_class_weight,
 )
 from ledgerloom.operators.datasets import label_rate
@@ -126,6 +127,20 @@ def test_saved_model_scores_the_same(spark, trained, tmp_path):
     assert score_rows(df, load_model(f"{tmp_path}/again")).collect() == rows
 
 
+def test_loaded_model_is_applied_per_batch(spark):
+    def load():
+        class Model:
+            def predict_proba(self, frame):
+                assert list(frame.columns) == ["amount", "absent"]
+                return [(1 - a, a) for a in frame["amount"] + frame["absent"]]
+
+        return Model()
+
+    df = spark.createDataFrame([(0.7,), (0.71,), (None,)], "amount double")
+    rows = score_with(df, load, columns=("amount", "absent")).collect()
+    assert [tuple(r)[1:] for r in rows] == [(0.7, False), (0.71, True), (0.0, False)]
+
+
 def test_absent_label_is_not_trained_on(spark):
     df = spark.createDataFrame([(1.0, True), (2.0, None), (3.0, False)], "amount double, is_fraud boolean")
     assert fit_forest(df, trees=1, depth=1).transform(fill_features(df)).count() == 3
