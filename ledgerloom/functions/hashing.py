@@ -17,8 +17,3 @@ def seeded_choice(options: Sequence[str], seed: int, *keys: Column) -> Column:
     """One of ``options`` per row key."""
     index = F.pmod(seeded_hash(seed, *keys), F.lit(len(options)).cast("long")).cast("int")
     return F.element_at(F.array(*[F.lit(o) for o in options]), index + 1)
-
-
-def unit_interval(seed: int, *keys: Column) -> Column:
-    """A value in [0, 1) per row key."""
-    return F.shiftrightunsigned(seeded_hash(seed, *keys), 11).cast("double") / float(1 << 53)

@@ -21,7 +21,6 @@ from ledgerloom.functions.hashing import seeded_hash
 PREFIX_BITS = 12
 MAX_CLASSES = 1000
 MAX_ROWS_TO_RANK = 200_000
-MAX_TOP_K = 10_000
 
 
 def _unsigned_order(hash_column: Column) -> Column:
@@ -89,7 +88,7 @@ def _cut_points(
             (r.s_class, r.s_pos, r._child, length, r.s_rank - (r._upto - r._n)) for r in children
         ]
         largest = max(r._n for r in children)
-    if largest > max_rows:
+    if searches and largest > max_rows:
         raise ValueError("the key is not unique: too many rows share one value")
     if searches:
         order = Window.partitionBy("s_class", "s_pos").orderBy("_h", "_key")
@@ -186,12 +185,11 @@ def sample_rows(
 ) -> DataFrame:
     """Exactly ``n`` rows, or all if there are fewer; the same rows for the same seed.
 
-    A small sample is a top-k, which keeps n rows per task. A large one is cut by rank.
+    The n-th row in hash order is found as for a split, and the sample is a filter. A sort with
+    a limit would send n whole rows of every task to a single one.
     """
     if n < 0:
         raise ValueError("n must not be negative")
-    if n <= MAX_TOP_K:
-        return df.orderBy(seeded_hash(seed, F.col(key)), key).limit(n)
     total = df.count()
     if n >= total:
         return df

@@ -41,13 +41,6 @@ MERGED_CODE = T.StructType(
     ]
 )
 
-RESPONSE = T.StructType(
-    [
-        T.StructField("sample_id", T.LongType()),
-        T.StructField("response", T.StringType()),
-    ]
-)
-
 PREDICTION = T.StructType(
     [
         T.StructField("sample_idx", T.LongType()),

@@ -5,8 +5,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.hashing import seeded_hash
 from ledgerloom.operators.datasets import (
     label_to_int,
     merge_sources,
@@ -45,6 +47,10 @@ def labelled(spark, n, positive, key="k"):
     return spark.range(n).select(F.col("id").alias(key), (F.col("id") < positive).cast("int").alias("target"))
 
 
+def seeded_hash_order(key, seed=42):
+    return F.shiftrightunsigned(seeded_hash(seed, F.col(key)), 1)
+
+
 def sizes(df, *columns):
     return {tuple(r[c] for c in columns): r["count"] for r in df.groupBy(*columns).count().collect()}
 
@@ -191,20 +197,29 @@ def test_group_split_keeps_groups_whole(spark):
     assert 0.1 < split.where("split = 'test'").count() / 5000 < 0.3
 
 
-def test_samples(spark, monkeypatch):
+@pytest.mark.parametrize("max_rows", [1, 10**6])
+def test_samples(spark, max_rows):
     df = spark.range(300)
-    few = sorted(r.id for r in sample_rows(df, 20, "id").collect())
-    assert len(few) == len(set(few)) == 20
-    assert few == sorted(r.id for r in sample_rows(df.repartition(3), 20, "id").collect())
-    assert sample_rows(df, 500, "id").count() == 300 and sample_rows(df, 0, "id").count() == 0
-    monkeypatch.setattr("ledgerloom.operators.splitting.MAX_TOP_K", 5)
-    cut = sample_rows(df, 120, "id", max_rows=1)
-    assert cut.count() == 120 and cut.distinct().count() == 120
-    assert sample_rows(df, 300, "id").count() == 300
+    in_order = [r.id for r in df.orderBy(seeded_hash_order("id"), "id").collect()]
+    for n in (0, 1, 20, 299, 300, 500):
+        found = sample_rows(df.repartition(3), n, "id", max_rows=max_rows).collect()
+        assert sorted(r.id for r in found) == sorted(in_order[:n])
     with pytest.raises(ValueError):
         sample_rows(df, -1, "id")
 
 
+@pytest.mark.parametrize("max_rows", [1, 50, 10**6])
+def test_split_equals_ranking_all_rows(spark, max_rows):
+    """The cut points against a plain rank over each class."""
+    df = labelled(spark, 2_003, 777)
+    rank = F.row_number().over(Window.partitionBy("target").orderBy(seeded_hash_order("k"), "k"))
+    split = stratified_split(df, "target", "k", max_rows=max_rows).withColumn("r", rank).collect()
+    names = ["train", "validation", "test"]
+    for target in (0, 1):
+        in_rank_order = [r["split"] for r in sorted((r for r in split if r.target == target), key=lambda r: r.r)]
+        assert in_rank_order == sorted(in_rank_order, key=names.index)
+
+
 def test_shuffle_keeps_all_rows(spark):
     ids = [r.id for r in shuffle_rows(spark.range(100), "id").collect()]
     assert sorted(ids) == list(range(100)) != ids
@@ -212,10 +227,11 @@ def test_shuffle_keeps_all_rows(spark):
 
 
 @pytest.mark.parametrize("per_bucket", [3, 50, 10**6])
-def test_numbering_is_dense_and_follows_the_shuffle(spark, per_bucket):
+def test_numbering_is_dense_and_in_hash_order(spark, per_bucket):
     numbered = number_rows(spark.range(200), "id", rows_per_bucket=per_bucket)
     by_index = {r.sample_idx: r.id for r in numbered.collect()}
-    assert sorted(by_index) == list(range(200))
+    in_order = [r.id for r in spark.range(200).orderBy(seeded_hash_order("id"), "id").collect()]
+    assert [by_index[i] for i in range(200)] == in_order and len(by_index) == 200
     assert by_index == {r.sample_idx: r.id for r in number_rows(spark.range(200).repartition(9), "id").collect()}
 
 
