@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.numeric import round_even
 from ledgerloom.operators.sessions import SESSION_FEATURES
+from ledgerloom.operators.splitting import by_class, class_counts
 
 # The order of the model's inputs, and the flag threshold.
 FEATURES = ("amount", *SESSION_FEATURES)
@@ -48,8 +49,15 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
-    """Rows with the balanced weight of their class; Spark broadcasts the weights if they are small."""
-    return df.join(class_weights(df, label).drop("n"), label)
+    """Rows with the balanced weight of their class.
+
+    The weights become a lookup in the row's own task. A join on the label would first shuffle
+    all rows by it, into as many tasks as there are classes.
+    """
+    counts = class_counts(df, label)
+    rows = sum(counts.values())
+    weights = {c: F.lit(rows / (len(counts) * n)) for c, n in counts.items()}
+    return df.withColumn("weight", by_class(F.col(label), weights, "double"))
 
 
 def fit_forest(

@@ -122,14 +122,21 @@ def _assign(
     ranked = df.select(classes.alias("_class"), h.alias("_h"), F.col(key).alias("_key"))
     key_type = _type_of(ranked, "_key")
     cuts = _cut_points(ranked, wanted, largest, max_rows)
-    out = F.lit(None).cast("string")
+    parts = {}
     for label, points in cuts.items():
-        of_class = classes.eqNullSafe(F.lit(label))
-        part = F.lit(names[-1])
-        for name, cut in reversed(list(zip(names, points))):
-            part = F.when(_at_or_before(h, F.col(key), cut, key_type), F.lit(name)).otherwise(part)
-        out = F.when(of_class, part).otherwise(out)
-    return out
+        part = F
+        for name, cut in zip(names, points):
+            part = part.when(_at_or_before(h, F.col(key), cut, key_type), F.lit(name))
+        parts[label] = part.otherwise(F.lit(names[-1]))
+    return by_class(classes, parts, "string")
+
+
+def by_class(classes: Column, values: dict[object, Column], result_type: str) -> Column:
+    """The value given for the class of a row, in one flat CASE."""
+    chain = F
+    for label, value in values.items():
+        chain = chain.when(classes.eqNullSafe(F.lit(label)), value)
+    return chain if values else F.lit(None).cast(result_type)
 
 
 def stratified_split(
@@ -199,13 +206,13 @@ def sample_rows(
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """All rows in a seeded random order, by a range-partitioned sort on the hash."""
-    return df.orderBy(seeded_hash(seed, F.col(key)), key)
+    return df.orderBy(_unsigned_order(seeded_hash(seed, F.col(key))), key)
 
 
 def number_rows(
     df: DataFrame, key: str, seed: int = 42, rows_per_bucket: int = 100_000, target: str = "sample_idx"
 ) -> DataFrame:
-    """Add a dense 0-based number in seeded random order.
+    """Add a dense 0-based number, the place of each row in the order of ``shuffle_rows``.
 
     Leading hash bits put rows into even buckets in that order. The offset of each bucket
     comes from the bucket counts; rows are numbered within their bucket only.

@@ -167,6 +167,13 @@ def test_split_handles_string_keys_and_missing_labels(spark):
     assert sizes(split, "split") == {("train",): 40, ("validation",): 5, ("test",): 5}
 
 
+def test_many_classes(spark):
+    df = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 300).alias("target"))
+    found = sizes(stratified_split(df, "target", "k"), "split", "target")
+    assert {n for (split, _), n in found.items() if split == "train"} == {8}
+    assert sum(n for (split, _), n in found.items() if split == "test") == 300
+
+
 def test_too_many_classes_are_refused(spark):
     with pytest.raises(ValueError, match="classes"):
         class_counts(spark.range(2000).withColumnRenamed("id", "target"), "target")
@@ -227,10 +234,10 @@ def test_shuffle_keeps_all_rows(spark):
 
 
 @pytest.mark.parametrize("per_bucket", [3, 50, 10**6])
-def test_numbering_is_dense_and_in_hash_order(spark, per_bucket):
+def test_numbering_is_dense_and_follows_the_shuffle(spark, per_bucket):
     numbered = number_rows(spark.range(200), "id", rows_per_bucket=per_bucket)
     by_index = {r.sample_idx: r.id for r in numbered.collect()}
-    in_order = [r.id for r in spark.range(200).orderBy(seeded_hash_order("id"), "id").collect()]
+    in_order = [r.id for r in shuffle_rows(spark.range(200), "id").collect()]
     assert [by_index[i] for i in range(200)] == in_order and len(by_index) == 200
     assert by_index == {r.sample_idx: r.id for r in number_rows(spark.range(200).repartition(9), "id").collect()}
 

@@ -91,7 +91,9 @@ def test_missing_features_become_zero(spark):
 def test_balanced_weights(spark):
     df = spark.createDataFrame([(1,)] * 2 + [(0,)] * 6, "y int")
     assert {r.y: r.weight for r in class_weights(df, "y").collect()} == {1: 2.0, 0: 8 / 12}
-    assert with_class_weight(df, "y").agg(F.sum("weight")).first()[0] == pytest.approx(8)
+    weighted = with_class_weight(df, "y")
+    assert weighted.agg(F.sum("weight")).first()[0] == pytest.approx(8)
+    assert "Exchange" not in weighted._jdf.queryExecution().executedPlan().toString()
 
 
 def test_label_rate(spark):
