@@ -428,14 +428,18 @@ def _(spark, sf_dir):
 
 @query("fraud_stream_job", _enriched_oracle(VALID_SQL, HALF_HOUR))
 def _(spark, sf_dir):
-    """The batch job as a stream over four files in order of time, drained at the end."""
+    """The batch job as a stream of four micro-batches in order of time, drained at the end."""
     lines, out, state = (scratch_path(spark, p) for p in ("arriving", "routed", "state"))
     rows = transaction_lines(spark, sf_dir).withColumn("t", F.regexp_extract("value", '"timestamp":"([^"]*)"', 1))
-    rows.repartitionByRange(4, "t").select("value").write.text(lines)
-    job = FraudStream(_small_forest(spark, sf_dir), out, state, delay_seconds=40 * 86_400)
-    running = job.start(stream_lines(spark, lines), availableNow=True)
+    first, last = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    quarter = (last - first) / 4
+    part = sum((F.col("t") >= (first + k * quarter).isoformat()).cast("int") for k in (1, 2, 3))
+    for k in range(4):
+        rows.where(part == k).select("value").repartition(2).write.mode("append").text(lines)
+    job = FraudStream(_small_forest(spark, sf_dir), out, state, delay_seconds=quarter.total_seconds())
+    running = job.start(stream_lines(spark, lines, files_per_batch=2), availableNow=True)
     running.awaitTermination()
-    job.finish(spark, running.lastProgress["batchId"] if running.lastProgress else 0)
+    job.finish(spark, running.lastProgress["batchId"])
     return _read_branches(spark, out)
 
 
