@@ -10,7 +10,8 @@ merged by maximum, and two registers agree about as often as the sets do. Steps:
 3. Not all pairs of a key's documents are formed. Since results are components, first each document is compared with two
    leaders of the key; the links found give components; then documents outside the largest component of a
    key are compared with all documents of the key that are in other components than theirs. So every two candidates
-   end up either in one component or compared.
+   end up either in one component or compared, or cannot be similar: each set has a map of ``BITS`` bits with a bit for
+   each shingle, and no intersection is larger than the bits in common and the shingles that share a bit.
 4. A pair's similarity is estimated from all registers together: with the counts of registers that are
    larger, smaller and equal, the likelihood of the similarity is compared at its maximum and at the wanted one; a pair
    that is ``SURE`` times less likely there is left out.
@@ -36,6 +37,7 @@ REGISTERS = ROWS * BANDS
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 #: Logarithm of how much less likely the wanted similarity must be than the best one for a pair to be left out.
 SURE = 25.0
+BITS = 1024
 _FACTORS, _OFFSETS, _BAND = constants(REGISTERS, 91), constants(REGISTERS, 92), constants(ROWS + 1, 93)
 _TOP = np.log(BASE)
 
@@ -104,18 +106,28 @@ def worth_verifying(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarr
     return (most >= wanted) & ((estimate >= wanted) | (curve.max(0) - at < SURE))
 
 
+def bit_map(hashes: np.ndarray) -> np.ndarray:
+    """``BITS`` bits as signed 64-bit numbers, with the bit of each hash set."""
+    seen = np.zeros(BITS, dtype=bool)
+    seen[(hashes >> np.uint64(32)) % np.uint64(BITS)] = True
+    return np.packbits(seen, bitorder="little").view("<i8")
+
+
 def sketched(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, text_hash, same`` (of the normalised words), ``n_shingles, sketch``; without words ``same`` is null."""
+    """``doc_id, text_hash, same`` (of the normalised words), ``n_shingles, sketch, bits`` and ``hidden`` (shingles less
+    bits); without words ``same`` is null."""
 
-    @F.pandas_udf("same binary, n_shingles long, sketch binary")
+    @F.pandas_udf("same binary, n_shingles long, sketch binary, bits array<long>, hidden long")
     def sketch(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
             raw = normal(text)
             hashes = shingles(raw, words)
             same = hashlib.md5(b" ".join(raw.split())).digest() if len(hashes) else None
-            rows.append((same, len(hashes), registers(hashes).tobytes() if len(hashes) else None))
-        return pd.DataFrame(rows, columns=["same", "n_shingles", "sketch"])
+            bits = bit_map(hashes)
+            hidden = len(hashes) - int(np.bitwise_count(bits.view("<u8")).sum())
+            rows.append((same, len(hashes), registers(hashes).tobytes() if len(hashes) else None, bits, hidden))
+        return pd.DataFrame(rows, columns=["same", "n_shingles", "sketch", "bits", "hidden"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), sketch("text").alias("_s")).select(
         "doc_id", "text_hash", "_s.*"
@@ -133,7 +145,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
         rows.where("same IS NOT NULL")
         .groupBy("same")
         .agg(
-            F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"),
+            *[F.first(c).alias(c) for c in ("n_shingles", "sketch", "bits", "hidden")],
             F.min("doc_id").alias("least_id"), F.min(F.struct("text_hash", "doc_id")).alias("row"),
         )
         .withColumn("keys", keys("sketch"))
@@ -148,11 +160,32 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of ``pairs`` (``u, v``) those that are similar, by estimate and then on the full sets.
+def sets_of(docs: DataFrame, classes: DataFrame, needed: DataFrame, words: int) -> DataFrame:
+    """``same, shingles`` of the classes in ``needed`` (``same``, distinct): the whole sets, sorted, from the texts."""
+    # Written, so that Spark knows how small it is before it plans the join with the texts.
+    rows = materialize(
+        classes.join(needed, "same", "left_semi").select(F.col("row.text_hash").alias("_hash"), F.col("row.doc_id").alias("_id")),
+        "needed",
+    )
 
-    A document with very many partners is one row on its side of a join, and its pairs can be split.
-    """
+    @F.pandas_udf("same binary, shingles binary")
+    def whole_set(texts: pd.Series) -> pd.DataFrame:
+        raw = [normal(t) for t in texts]
+        return pd.DataFrame({
+            "same": [hashlib.md5(b" ".join(r.split())).digest() for r in raw],
+            "shingles": [shingles(r, words).tobytes() for r in raw],
+        })
+
+    found = (F.xxhash64("text") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return materialize(
+        docs.select("doc_id", "text").join(rows, found, "left_semi")
+        .select(whole_set("text").alias("_s")).select("_s.*").dropDuplicates(["same"]),
+        "sets",
+    )
+
+
+def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (``u, v``) without those that the sketches make out as not similar."""
     wanted = percent / 100
 
     @F.pandas_udf("boolean")
@@ -165,18 +198,14 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     def side(node: str) -> DataFrame:
         return classes.select(F.col("same").alias(node), F.col("sketch").alias(f"s_{node}"), F.col("n_shingles").alias(f"n_{node}"))
 
-    tested = materialize(
-        pairs.join(side("u"), "u").join(side("v"), "v").where(likely("s_u", "s_v", "n_u", "n_v")).select("u", "v"),
-        "likely",
+    return materialize(
+        pairs.join(side("u"), "u").join(side("v"), "v").where(likely("s_u", "s_v", "n_u", "n_v")).select("u", "v"), "likely"
     )
 
-    @F.pandas_udf("same binary, shingles binary")
-    def whole_set(texts: pd.Series) -> pd.DataFrame:
-        raw = [normal(t) for t in texts]
-        return pd.DataFrame({
-            "same": [hashlib.md5(b" ".join(r.split())).digest() for r in raw],
-            "shingles": [shingles(r, words).tobytes() for r in raw],
-        })
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (``u, v``) that are similar by their whole sets. A document with very many partners is one row on its
+    side of a join, and its pairs can be split."""
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -187,20 +216,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
             out.append(100 * both >= percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
-    needed = tested.select(F.explode(F.array("u", "v")).alias("same")).distinct()
-    # Written, so that Spark knows how small it is before it plans the join with the texts.
-    rows = materialize(
-        classes.join(needed, "same", "left_semi").select(F.col("row.text_hash").alias("_hash"), F.col("row.doc_id").alias("_id")),
-        "needed",
-    )
-    found = (F.xxhash64("text") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    sets = materialize(
-        docs.select("doc_id", "text").join(rows, found, "left_semi")
-        .select(whole_set("text").alias("_s")).select("_s.*").dropDuplicates(["same"]),
-        "sets",
-    )
     return materialize(
-        tested.join(sets.select(F.col("same").alias("u"), F.col("shingles").alias("a")), "u")
+        pairs.join(sets.select(F.col("same").alias("u"), F.col("shingles").alias("a")), "u")
         .join(sets.select(F.col("same").alias("v"), F.col("shingles").alias("b")), "v")
         .where(linked("a", "b"))
         .select("u", "v"),
@@ -226,9 +243,8 @@ def _with_leaders(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFram
     return members.select("key", "same", "n"), pairs
 
 
-def _remaining(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs with a key in common but in different components: each class outside the largest component of a key with
-    every class of the key in another component."""
+def _mixed_keys(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``key, same, n, c`` (its component) and ``major`` (the largest of the key) where a key has several components."""
     placed = members.join(found.withColumnRenamed("node", "same"), "same", "left").select(
         "key", "same", "n", F.coalesce("component", "same").alias("c")
     )
@@ -238,12 +254,20 @@ def _remaining(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
         .where("parts > 1")
         .select("key", F.col("top.c").alias("major"))
     )
-    here = materialize(placed.join(mixed, "key"), "mixed")
-    outside = here.where("c <> major").select("key", F.col("same").alias("o_same"), F.col("n").alias("o_n"), F.col("c").alias("o_c"))
+    return placed.join(mixed, "key")
+
+
+def _remaining(here: DataFrame, percent: int) -> DataFrame:
+    """Pairs with a key in common but in different components: each class outside the largest component of a key with
+    every class of the key in another component, unless their bits tell that they share too little."""
+    outside = here.where("c <> major").select("key", *[F.col(c).alias(f"o_{c}") for c in ("same", "n", "c", "bits", "hidden")])
     once = (F.col("c") == F.col("major")) | (F.col("same") > F.col("o_same"))
+    in_common = sum((F.bit_count(F.col("bits")[i].bitwiseAND(F.col("o_bits")[i])) for i in range(BITS // 64)), F.lit(0))
+    most = in_common + F.least("hidden", "o_hidden")
+    enough = (100 + percent) * most >= percent * (F.col("n") + F.col("o_n"))
     return (
         here.join(outside, "key")
-        .where((F.col("c") != F.col("o_c")) & once & _similar_sizes("n", "o_n", percent))
+        .where((F.col("c") != F.col("o_c")) & once & _similar_sizes("n", "o_n", percent) & enough)
         .select(*_pair("same", "o_same"))
         .distinct()
     )
@@ -262,9 +286,14 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     classes = materialize(classes_of(rows), "classes")
     members, pairs = _with_leaders(classes, percent)
     pairs = materialize(pairs, "pairs")
-    links = verified(pairs, classes, docs, words, percent)
-    rest = _remaining(members, components(links), percent).join(pairs, ["u", "v"], "left_anti")
-    more = verified(materialize(rest, "rest"), classes, docs, words, percent)
+    tested = likely_pairs(pairs, classes, percent)
+    both = tested.select(F.explode(F.array("u", "v")).alias("same")).distinct()
+    links = verified(tested, sets_of(docs, classes, both, words), percent)
+    here = materialize(_mixed_keys(members, components(links)).join(classes.select("same", "bits", "hidden"), "same"), "mixed")
+    rest = materialize(_remaining(here, percent).join(pairs, ["u", "v"], "left_anti"), "rest")
+    tested = likely_pairs(rest, classes, percent)
+    both = tested.select(F.explode(F.array("u", "v")).alias("same")).distinct()
+    more = verified(tested, sets_of(docs, classes, both, words), percent)
     found = components(links.unionByName(more))
     of_class = (
         classes.select("same", "least_id")
