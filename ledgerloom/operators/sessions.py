@@ -5,14 +5,14 @@ cut into cells as wide as the gap. Two events of a key in the same cell are alwa
 a gap apart, so a cell never holds more than one session of that key, and everything a
 session needs can first be reduced per (key, cell):
 
-* rows are shuffled by (key, cell), not by key, so a key with a large share of the rows is
-  spread over as many tasks as its time span has cells;
-* sessions are then found on the cells, of which a key has at most time span / gap;
+* numbers are summed up per cell before they are shuffled, so a key with a large share of the
+  rows arrives as its cells, of which it has at most time span / gap;
+* sessions are then found on the cells, and the cells of a session are merged;
+* distinct values are counted by grouping on (key, session, value), never as a list;
+* only changes from one event to the next need rows in order. For them narrow rows are
+  range-partitioned by (key, time, id), which cuts any key and any cell anywhere. Comparisons
+  inside a range, and between the ends of neighbouring ranges, add up to the exact result;
 * rows find their session again by joining on (key, cell).
-
-A cell that is itself too large is cut further into ordered slices by range partitioning.
-Neighbour comparisons inside a slice, and between the ends of consecutive slices and cells,
-add up to the exact result, wherever the cuts fall.
 """
 
 from __future__ import annotations
@@ -23,12 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.times import micros_of
-from ledgerloom.session import materialize
 
 MICROS = 1_000_000
 SESSION_GAP_SECONDS = 1800
 HIGH_VALUE = 1000.0
-MAX_ROWS_PER_SLICE = 1_000_000
 
 SESSION_FEATURES = (
     "session_txn_count",
@@ -80,177 +78,84 @@ def _narrow(df: DataFrame, cols: EventColumns, gap: int) -> DataFrame:
         F.col(cols.row_id).alias("_id"),
         F.col(cols.amount).cast("double").alias("_amount"),
         # A struct around the value tells "no value" from "no neighbour", and keeps NULL
-        # as a value of its own when distinct values are collected.
+        # as a value of its own when distinct values are counted.
         F.struct(F.col(cols.category).cast("string").alias("v")).alias("_category"),
         F.struct(F.col(cols.location).cast("string").alias("v")).alias("_location"),
     )
 
 
-def _sliced(events: DataFrame, max_rows: int) -> DataFrame:
-    """Add ``_slice`` so that no (key, cell, slice) group exceeds about ``max_rows`` rows.
-
-    The row counts come from one narrow aggregation. Without oversized cells nothing else
-    happens. With some, only their rows are range-partitioned by (key, time, id).
-    """
-    counts = events.groupBy("_key", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.where(F.col("_n") > max_rows)
-    found = large.agg(F.count(F.lit(1)).alias("cells"), F.sum("_n").alias("rows")).first()
-    if found["cells"] == 0:
-        return events.withColumn("_slice", F.lit(0))
-    # At most rows / max_rows entries; written down, so that the joins below know its size.
-    large = materialize(large.select(F.col("_key").alias("_lk"), F.col("_cell").alias("_lc")), "large-cells")
-    on_cell = _same(F.col("_key"), F.col("_lk")) & (F.col("_cell") == F.col("_lc"))
-    # Twice as many ranges as needed on average, since sampled bounds are uneven.
-    ranges = 2 * -(-found["rows"] // max_rows)
-    cut = (
-        events.join(large, on_cell, "left_semi")
-        .repartitionByRange(ranges, "_key", "_us", "_id")
-        .withColumn("_slice", F.spark_partition_id())
+def _cells(events: DataFrame) -> DataFrame:
+    """The numbers of each (key, cell), partly summed up before the shuffle."""
+    return events.groupBy("_key", "_cell").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count("_amount").alias("_known"),
+        F.coalesce(F.sum("_amount"), F.lit(0.0)).alias("_total"),
+        F.max("_amount").alias("_max"),
+        F.coalesce(F.var_pop("_amount"), F.lit(0.0)).alias("_variance"),
+        F.count_if(F.col("_amount") > HIGH_VALUE).alias("_high"),
+        F.min("_us").alias("_first"),
+        F.max("_us").alias("_last"),
     )
-    rest = events.join(large, on_cell, "left_anti").withColumn("_slice", F.lit(0))
-    return rest.unionByName(cut)
 
 
-def _cell_summaries(df: DataFrame, cols: EventColumns, gap: int, max_rows: int) -> DataFrame:
-    """One row per (key, cell, slice) with everything that can be merged later.
+def _with_session(cells: DataFrame, gap: int) -> DataFrame:
+    """Number the sessions of each key. ``cells`` has ``_key, _cell, _first, _last``."""
+    order = Window.partitionBy("_key").orderBy("_cell")
+    before = F.lag("_last").over(order)
+    starts = (before.isNull() | (F.col("_first") - before >= gap)).cast("int")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return cells.withColumn("_starts", starts).withColumn("_session", F.sum("_starts").over(running)).drop("_starts")
 
-    The neighbour comparison needs the rows of a group in order, so the totals are taken as
-    windows over the same sort, and the last row of each group is kept with them. That is one
-    pass over sorted rows, without the hash tables of a grouping.
-    """
-    events = _sliced(_narrow(df, cols, gap), max_rows)
-    ordered = Window.partitionBy("_key", "_cell", "_slice").orderBy("_us", "_id")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    switched = F.col("_before").isNotNull() & ~_same(F.col("_before"), F.col("_location"))
-    summaries = {
-        "_n": F.count(F.lit(1)).over(whole),
-        "_known": F.count("_amount").over(whole),
-        "_total": F.coalesce(F.sum("_amount").over(whole), F.lit(0.0)),
-        "_max": F.max("_amount").over(whole),
-        "_variance": F.coalesce(F.var_pop("_amount").over(whole), F.lit(0.0)),
-        "_high": F.sum((F.col("_amount") > HIGH_VALUE).cast("long")).over(whole),
-        "_switches": F.sum("_switched").over(whole),
-        "_first_us": F.first("_us").over(whole),
-        "_first_id": F.first("_id").over(whole),
-        "_first_location": F.first("_location").over(whole),
-        "_categories": F.collect_set("_category").over(whole),
-        "_locations": F.collect_set("_location").over(whole),
-    }
-    return (
-        events.withColumns(
-            {"_before": F.lag("_location").over(ordered), "_next_us": F.lead("_us").over(ordered)}
-        )
-        .withColumn("_switched", switched.cast("long"))
-        .withColumns(summaries)
-        .where(F.col("_next_us").isNull())
-        .select(
-            "_key",
-            "_cell",
-            *summaries,
-            F.col("_us").alias("_last_us"),
-            F.col("_location").alias("_last_location"),
-        )
-    )
 
+def _changes(events: DataFrame, gap: int | None, slices: int | None) -> DataFrame:
+    """``_key, _cell, _switches``: events whose location differs from that of the event before, if that
+    is less than ``gap`` earlier (None: however long ago). A cell may have several rows."""
+    narrow = events.select("_key", "_cell", "_us", "_id", "_location")
+    by = ("_key", "_us", "_id")
+    ranges = narrow.repartitionByRange(slices, *by) if slices else narrow.repartitionByRange(*by)
+    inside = Window.partitionBy("_key", "_slice").orderBy("_us", "_id")
 
-def _linked_cells(cells: DataFrame, gap: int) -> DataFrame:
-    """Number the sessions of each key and count the switch from each cell to the next."""
-    order = Window.partitionBy("_key").orderBy("_first_us", "_first_id")
-    starts = F.col("_prev_us").isNull() | (F.col("_first_us") - F.col("_prev_us") >= gap)
-    crossed = F.col("_prev_location").isNotNull() & ~_same(
-        F.col("_prev_location"), F.col("_first_location")
-    )
-    return (
-        cells.withColumns(
+    def changed(before: str, before_us: str) -> Column:
+        differs = F.col(before).isNotNull() & ~_same(F.col(before), F.col("_location"))
+        return differs if gap is None else differs & (F.col("_us") - F.col(before_us) < gap)
+
+    edge = F.struct("_us", "_id", "_location")
+    rows = (
+        ranges.withColumn("_slice", F.spark_partition_id())
+        .withColumns(
             {
-                "_prev_us": F.lag("_last_us").over(order),
-                "_prev_location": F.lag("_last_location").over(order),
+                "_before": F.lag("_location").over(inside),
+                "_before_us": F.lag("_us").over(inside),
+                "_after_us": F.lead("_us").over(inside),
             }
         )
-        .withColumns({"_crossed": crossed.cast("int"), "_starts": starts.cast("int")})
-        .withColumn(
-            "_session",
-            F.sum("_starts").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        .withColumns(
+            {
+                "_switches": changed("_before", "_before_us").cast("long"),
+                "_opens": F.col("_before").isNull(),
+                "_edge": F.when(F.col("_before").isNull() | F.col("_after_us").isNull(), edge),
+            }
         )
-        .drop("_prev_us", "_prev_location", "_first_location", "_last_location", "_first_id")
+        # The first and the last row of a key in a range stay; the others are summed up per cell.
+        .groupBy("_key", "_slice", "_cell", "_opens", "_edge")
+        .agg(F.sum("_switches").alias("_switches"))
     )
-
-
-def _merged(cells: DataFrame, group: list[str], switches: Column) -> DataFrame:
-    """Merge cell summaries into one row per group.
-
-    A cell that is alone in its group has its distinct values counted already. Otherwise each
-    cell becomes one row for its totals and one per distinct value, so distinct values are
-    merged by a hash aggregation that can spill, never by growing an array.
-    """
-    everything = Window.partitionBy(*group)
-    mean = F.try_divide(F.sum("_total").over(everything), F.sum("_known").over(everything))
-    # Squared deviations around the group mean, from those around the mean of each cell.
-    apart = F.coalesce(F.try_divide(F.col("_total"), F.col("_known")) - F.col("_mean"), F.lit(0.0))
-    spread = F.col("_known") * (F.col("_variance") + apart * apart)
-    alone = F.col("_cells") == 1
-
-    def counted(values: str) -> Column:
-        return F.when(alone, F.size(values)).otherwise(0)
-
-    def counted_known(values: str) -> Column:
-        return F.when(alone, F.size(F.filter(values, lambda v: v["v"].isNotNull()))).otherwise(0)
-
-    sums = {
-        "_n": F.col("_n"),
-        "_known": F.col("_known"),
-        "_total": F.col("_total"),
-        "_high": F.col("_high"),
-        "_spread": spread,
-        "_switches": switches,
-        "_categories": counted("_categories"),
-        "_locations": counted("_locations"),
-        "_known_categories": counted_known("_categories"),
-        "_known_locations": counted_known("_locations"),
-    }
-    totals = F.struct(
-        *[c.alias(name) for name, c in sums.items()],
-        F.col("_max").alias("_max"),
-        F.col("_first_us").alias("_start"),
-        F.col("_last_us").alias("_end"),
+    # Edges of a key meet in order, two for each range it lies in. All else keeps to its range.
+    meets = Window.partitionBy("_key", F.when(F.col("_edge").isNull(), F.col("_slice"))).orderBy("_us", "_id", F.desc("_opens"))
+    return (
+        rows.select("*", "_edge._us", "_edge._id", "_edge._location")
+        .withColumns({"_before": F.lag("_location").over(meets), "_before_us": F.lag("_us").over(meets)})
+        .withColumn("_crossed", (F.col("_opens") & F.col("_edge").isNotNull() & changed("_before", "_before_us")).cast("long"))
+        .select("_key", "_cell", (F.col("_switches") + F.coalesce("_crossed", F.lit(0))).alias("_switches"))
     )
 
-    def tagged(kind: str, value: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
 
-    own = F.array(tagged("totals", F.lit(None).cast("struct<v:string>")))
-    values = F.concat(
-        F.transform("_categories", lambda v: tagged("category", v)),
-        F.transform("_locations", lambda v: tagged("location", v)),
-    )
-    per_item = (
-        cells.withColumns({"_mean": mean, "_cells": F.count(F.lit(1)).over(everything)})
-        .select(*group, totals.alias("t"), F.when(alone, own).otherwise(F.concat(own, values)).alias("items"))
-        .select(*group, "t", F.explode("items").alias("item"))
-        .select(*group, "item", F.when(F.col("item.kind") == "totals", F.col("t")).alias("t"))
-        .groupBy(*group, "item")
-        .agg(
-            *[F.sum(f"t.{name}").alias(name) for name in sums],
-            F.max("t._max").alias("_max"),
-            F.min("t._start").alias("_start"),
-            F.max("t._end").alias("_end"),
-        )
-    )
-    kind, known = F.col("item.kind"), F.col("item.value.v").isNotNull()
-
-    def distinct(name: str, tag: str, condition: Column | None = None) -> Column:
-        matches = kind == tag if condition is None else (kind == tag) & condition
-        return (F.max(name) + F.count_if(matches)).alias(name)
-
-    # Only the totals row carries numbers, so max() picks them out.
-    plain = [c for c in sums if c not in ("_categories", "_locations", "_known_categories", "_known_locations")]
-    return per_item.groupBy(*group).agg(
-        *[F.max(c).alias(c) for c in (*plain, "_max", "_start", "_end")],
-        distinct("_categories", "category"),
-        distinct("_locations", "location"),
-        distinct("_known_categories", "category", known),
-        distinct("_known_locations", "location", known),
+def _distinct_values(events: DataFrame) -> DataFrame:
+    """The distinct categories and locations of each (key, cell)."""
+    kinds = F.array(
+        *[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in (("c", "_category"), ("l", "_location"))]
     )
+    return events.select("_key", "_cell", F.explode(kinds).alias("_value")).distinct()
 
 
 def _feature_columns(count: str, deviation: Column, categories: str, locations: str) -> list[Column]:
@@ -271,18 +176,54 @@ def session_features(
     df: DataFrame,
     cols: EventColumns = EventColumns(),
     gap_seconds: float = SESSION_GAP_SECONDS,
-    max_rows_per_slice: int = MAX_ROWS_PER_SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """One row per session: key, ``session_start``, ``session_end`` and the nine features.
 
-    ``session_end`` is the last event plus the gap. The deviation is that of the population.
+    ``session_end`` is the last event plus the gap. The deviation is that of the population;
+    missing amounts count as events but have no part in sum, mean and deviation. ``slices`` is the
+    number of ranges rows are put in order by; by default Spark's number of shuffle partitions.
     """
     gap = _gap_micros(gap_seconds)
-    cells = _linked_cells(_cell_summaries(df, cols, gap, max_rows_per_slice), gap)
-    # The first cell of a session has no neighbour inside it.
+    events = _narrow(df, cols, gap)
+    cells = _with_session(_cells(events), gap)
+    group = ["_key", "_session"]
+    all_cells = Window.partitionBy(*group)
+    mean = F.try_divide(F.sum("_total").over(all_cells), F.sum("_known").over(all_cells))
+    # Squared deviations around the session's mean, from those around the mean of each cell.
+    apart = F.coalesce(F.try_divide(F.col("_total"), F.col("_known")) - F.col("_mean"), F.lit(0.0))
+    numbers = (
+        cells.withColumn("_mean", mean)
+        .groupBy(*group)
+        .agg(
+            *[F.sum(c).alias(c) for c in ("_n", "_known", "_total", "_high")],
+            F.max("_max").alias("_max"),
+            F.sum(F.col("_known") * (F.col("_variance") + apart * apart)).alias("_spread"),
+            F.min("_first").alias("_start"),
+            F.max("_last").alias("_end"),
+        )
+    )
+    place = cells.select(F.col("_key").alias("_k"), F.col("_cell").alias("_c"), "_session")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(place, _same(F.col("_key"), F.col("_k")) & (F.col("_cell") == F.col("_c"))).drop("_k", "_c")
+
+    kind = F.col("_value.kind")
+    values = (
+        placed(_distinct_values(events))
+        .select(*group, "_value")
+        .distinct()
+        .select(*group, *[(kind == k).cast("long").alias(c) for k, c in (("c", "_categories"), ("l", "_locations"))])
+    )
+    switches = placed(_changes(events, gap, slices).where(F.col("_switches") > 0)).select(*group, "_switches")
+    parts = numbers.unionByName(values, allowMissingColumns=True).unionByName(switches, allowMissingColumns=True)
+    sums = ("_categories", "_locations", "_switches")
+    merged = parts.groupBy(*group).agg(
+        *[F.max(c).alias(c) for c in numbers.columns if c not in group],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+    )
     deviation = F.sqrt(F.try_divide(F.col("_spread"), F.col("_known")))
-    inside = F.col("_switches") + F.when(F.col("_starts") == 0, F.col("_crossed")).otherwise(0)
-    return _merged(cells, ["_key", "_session"], inside).select(
+    return merged.select(
         F.col("_key").alias(cols.key),
         F.timestamp_micros("_start").alias("session_start"),
         F.timestamp_micros(F.col("_end") + gap).alias("session_end"),
@@ -309,6 +250,19 @@ def _join_on_cell(df: DataFrame, sessions: DataFrame, cols: EventColumns, gap: i
     return rows.join(by_cell, on_cell).drop("_us", "_cell", "_skey", "_scell")
 
 
+def rows_in_sessions(
+    df: DataFrame, sessions: DataFrame, cols: EventColumns = EventColumns(), gap_seconds: float = SESSION_GAP_SECONDS
+) -> DataFrame:
+    """The rows of ``df`` that lie in one of ``sessions`` (key, ``session_start``, ``session_end``), with its columns.
+
+    Unlike the sessions of ``df`` itself, given ones need not cover its rows, and a cell may hold more than one.
+    """
+    gap = _gap_micros(gap_seconds)
+    joined = _join_on_cell(df, sessions, cols, gap)
+    us = micros_of(joined, cols.time)
+    return joined.where((us >= F.unix_micros("session_start")) & (us <= F.unix_micros("session_end") - gap))
+
+
 def assign_sessions(
     df: DataFrame,
     cols: EventColumns = EventColumns(),
@@ -324,12 +278,9 @@ def assign_sessions(
         .groupBy(F.col(cols.key).alias("_key"), "_cell")
         .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"))
     )
-    order = Window.partitionBy("_key").orderBy("_cell")
-    before = F.lag("_last").over(order)
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sessions = (
-        cells.withColumn("_starts", (before.isNull() | (F.col("_first") - before >= gap)).cast("int"))
-        .withColumn("session_no", F.sum("_starts").over(running))
+        _with_session(cells, gap)
+        .withColumnRenamed("_session", "session_no")
         .groupBy("_key", "session_no")
         .agg(
             F.timestamp_micros(F.min("_first")).alias("session_start"),
@@ -344,34 +295,41 @@ def enrich_with_sessions(
     df: DataFrame,
     cols: EventColumns = EventColumns(),
     gap_seconds: float = SESSION_GAP_SECONDS,
-    max_rows_per_slice: int = MAX_ROWS_PER_SLICE,
+    slices: int | None = None,
     keep_bounds: bool = False,
 ) -> DataFrame:
     """Every row again with the features of its session; features win over equal names."""
-    features = session_features(df, cols, gap_seconds, max_rows_per_slice)
+    features = session_features(df, cols, gap_seconds, slices)
     clash = [c for c in df.columns if c in (*SESSION_FEATURES, "session_start", "session_end")]
     out = _join_on_cell(df.drop(*clash), features, cols, _gap_micros(gap_seconds))
     return out if keep_bounds else out.drop("session_start", "session_end")
 
 
-def user_features(
-    df: DataFrame,
-    cols: EventColumns = EventColumns(),
-    max_rows_per_slice: int = MAX_ROWS_PER_SLICE,
-    cell_seconds: float = SESSION_GAP_SECONDS,
-) -> DataFrame:
+def user_features(df: DataFrame, cols: EventColumns = EventColumns(), slices: int | None = None) -> DataFrame:
     """The nine features over all rows of a key, regardless of sessions.
 
-    One pass replaces three groupings and two joins. The deviation is that of a sample, 0 for
-    a single row. Missing amounts are not counted, and missing values are not distinct ones.
+    The deviation is that of a sample, 0 for a single row. Missing amounts are not counted, and missing
+    values are not distinct ones. All but the changes of location come from one grouping.
     """
-    cell = _gap_micros(cell_seconds)
-    cells = _linked_cells(_cell_summaries(df, cols, cell, max_rows_per_slice), cell)
-    across = F.col("_switches") + F.coalesce(F.col("_crossed"), F.lit(0))
-    sample = F.coalesce(F.sqrt(F.try_divide(F.col("_spread"), F.col("_known") - 1)), F.lit(0.0))
-    return _merged(cells, ["_key"], across).select(
+    events = _narrow(df, cols, _gap_micros(SESSION_GAP_SECONDS))
+    numbers = events.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count("_amount").alias("_known"),
+        F.coalesce(F.sum("_amount"), F.lit(0.0)).alias("_total"),
+        F.max("_amount").alias("_max"),
+        F.coalesce(F.stddev_samp("_amount"), F.lit(0.0)).alias("_deviation"),
+        F.count_if(F.col("_amount") > HIGH_VALUE).alias("_high"),
+        F.count_distinct("_category.v").alias("_categories"),
+        F.count_distinct("_location.v").alias("_locations"),
+    )
+    switches = (
+        _changes(events, None, slices)
+        .groupBy(F.col("_key").alias("_k"))
+        .agg(F.sum("_switches").alias("_switches"))
+    )
+    return numbers.join(switches, _same(F.col("_key"), F.col("_k"))).select(
         F.col("_key").alias(cols.key),
-        *_feature_columns("_known", sample, "_known_categories", "_known_locations"),
+        *_feature_columns("_known", F.col("_deviation"), "_categories", "_locations"),
     )
 
 

@@ -1,23 +1,20 @@
-"""Session windows by Spark's own window function, on streams and on tables."""
+"""Session windows by Spark's own window function on streams, and the same totals of tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.sessions import HIGH_VALUE, MICROS, SESSION_GAP_SECONDS, EventColumns
+from ledgerloom.operators.sessions import HIGH_VALUE, MICROS, SESSION_GAP_SECONDS, EventColumns, session_features
 
-# Lets every task merge its own sessions before the shuffle, so that a hot key sends a few
-# partial sessions per task and not all its events.
-LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
-
-def session_window_column(time: Column, gap_micros: Column) -> Column:
-    """Built-in session window that splits at a distance of exactly ``gap_micros``.
-
-    The built-in window still merges at exactly its gap, so its gap is a microsecond shorter.
-    """
-    return F.session_window(time, F.concat((gap_micros - 1).cast("string"), F.lit(" microseconds")))
+TOTALS = (
+    "session_txn_count",
+    "total_amount",
+    "avg_amount",
+    "max_amount",
+    "amount_std",
+    "high_value_txn_ratio",
+)
 
 
 def session_totals(
@@ -28,85 +25,38 @@ def session_totals(
 ) -> DataFrame:
     """Count, sum, mean, maximum, deviation and high-value share per session.
 
-    Works on a stream, with ``delay`` as its watermark, and on a table. The state of an open
-    session is a few numbers, however many events it has. A session is emitted once the
-    watermark has passed its end; events later than the watermark are dropped by Spark.
+    Works on a stream, with ``delay`` as its watermark, and on a table; missing amounts are treated
+    alike: they count as events and have no part in sum, mean, maximum and deviation. The state of an
+    open session is a few numbers, however many events it has. A session is emitted once the watermark
+    has passed its end; events later than the watermark are dropped by Spark. With a hot key set
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` for the session: every
+    task then merges its own events first.
     """
-    gap = round(gap_seconds * MICROS)
-    if df.isStreaming:
-        df.sparkSession.conf.set(LOCAL_MERGE, "true")
-        sessions = _of_events(df.withWatermark(cols.time, delay or "0 seconds"), cols, gap)
-    else:
-        sessions = _of_cells(df, cols, gap)
-    return sessions.select(
-        cols.key,
-        F.col("w.start").alias("session_start"),
-        F.timestamp_micros(F.unix_micros("w.end") + 1).alias("session_end"),
-        "session_txn_count",
-        "total_amount",
-        "avg_amount",
-        "max_amount",
-        "amount_std",
-        "high_value_txn_ratio",
-    )
-
-
-def _of_events(df: DataFrame, cols: EventColumns, gap: int) -> DataFrame:
-    amount = F.col(cols.amount)
-    # A constant gap, since a computed one would be evaluated and sorted by for every event.
+    if not df.isStreaming:
+        known = {name: F.lit(None).cast("string") for name in (cols.category, cols.location) if name not in df.columns}
+        rows = df.withColumns(known)
+        if cols.row_id not in df.columns:
+            rows = rows.withColumn(cols.row_id, F.lit(None).cast("string"))
+        return session_features(rows, cols, gap_seconds).select(cols.key, "session_start", "session_end", *TOTALS)
+    amount, gap = F.col(cols.amount), round(gap_seconds * MICROS)
+    # The built-in window still merges at exactly its gap, so its gap is a microsecond shorter. It is a
+    # constant, since a computed one would be evaluated and sorted by for every event.
     window = F.session_window(cols.time, f"{gap - 1} microseconds")
-    return df.groupBy(cols.key, window.alias("w")).agg(
-        F.count(F.lit(1)).alias("session_txn_count"),
-        F.sum(amount).alias("total_amount"),
-        F.avg(amount).alias("avg_amount"),
-        F.max(amount).alias("max_amount"),
-        F.stddev_pop(amount).alias("amount_std"),
-        F.avg((amount > HIGH_VALUE).cast("int")).alias("high_value_txn_ratio"),
-    )
-
-
-def _of_cells(df: DataFrame, cols: EventColumns, gap: int) -> DataFrame:
-    """The same over a table. A batch session window takes all rows of a key to one task, so
-    events are first reduced to cells as wide as the gap, which lie within one session, and
-    each cell opens a window as long as itself and the gap."""
-    amount, time = F.col(cols.amount), F.col(cols.time)
-    us = F.unix_micros(time)
-    cells = (
-        df.groupBy(F.col(cols.key), (us - F.pmod(us, F.lit(gap))).alias("cell"))
-        .agg(
-            F.min(time).alias("first"),
-            F.max(time).alias("last"),
-            F.count(F.lit(1)).alias("n"),
-            F.sum(amount).alias("total"),
-            F.max(amount).alias("top"),
-            (F.var_pop(amount) * F.count(amount)).alias("m2"),
-            F.count_if(amount > HIGH_VALUE).alias("high"),
-        )
-        .withColumn("reach", F.unix_micros("last") - F.unix_micros("first") + gap)
-    )
-    # A list of at most time span / gap cells.
-    part = F.struct("n", "total", "m2")
-    mean = F.col("total_amount") / F.col("session_txn_count")
     return (
-        cells.groupBy(cols.key, session_window_column(F.col("first"), F.col("reach")).alias("w"))
+        df.withWatermark(cols.time, delay or "0 seconds")
+        .groupBy(cols.key, window.alias("w"))
         .agg(
-            F.sum("n").alias("session_txn_count"),
-            F.sum("total").alias("total_amount"),
-            F.max("top").alias("max_amount"),
-            F.sum("high").alias("high"),
-            F.collect_list(part).alias("parts"),
+            F.count(F.lit(1)).alias("session_txn_count"),
+            F.coalesce(F.sum(amount), F.lit(0.0)).alias("total_amount"),
+            F.avg(amount).alias("avg_amount"),
+            F.max(amount).alias("max_amount"),
+            F.stddev_pop(amount).alias("amount_std"),
+            (F.count_if(amount > HIGH_VALUE) / F.count(F.lit(1))).alias("high_value_txn_ratio"),
         )
-        .withColumn("avg_amount", mean)
-        .withColumn(
-            "amount_std",
-            F.sqrt(
-                F.aggregate(
-                    "parts",
-                    F.lit(0.0),
-                    lambda s, p: s + p["m2"] + p["n"] * F.pow(p["total"] / p["n"] - F.col("avg_amount"), 2),
-                )
-                / F.col("session_txn_count")
-            ),
+        .select(
+            cols.key,
+            F.col("w.start").alias("session_start"),
+            F.timestamp_micros(F.unix_micros("w.end") + 1).alias("session_end"),
+            *TOTALS,
         )
-        .withColumn("high_value_txn_ratio", F.col("high") / F.col("session_txn_count"))
     )

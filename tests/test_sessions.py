@@ -129,12 +129,12 @@ def test_sessions_equal_brute_force(spark, seed):
     check_sessions(session_features(frame(spark, rows)).collect(), brute_sessions(rows))
 
 
-@pytest.mark.parametrize("limit", [1, 3, 17])
-def test_slicing_oversized_cells_changes_nothing(spark, limit):
+@pytest.mark.parametrize("slices", [1, 3, 150])
+def test_cutting_ranges_anywhere_changes_nothing(spark, slices):
     rows = random_rows(11, users=2, n=300)
     df = frame(spark, rows)
-    check_sessions(session_features(df, max_rows_per_slice=limit).collect(), brute_sessions(rows))
-    users = {r.user_id: tuple(r[c] for c in SESSION_FEATURES) for r in user_features(df, max_rows_per_slice=limit).collect()}
+    check_sessions(session_features(df, slices=slices).collect(), brute_sessions(rows))
+    users = {r.user_id: tuple(r[c] for c in SESSION_FEATURES) for r in user_features(df, slices=slices).collect()}
     for user, events in brute_sessions(rows, gap=10**9):
         assert close(users[user], features_of(events, sample=True))
 
@@ -142,7 +142,7 @@ def test_slicing_oversized_cells_changes_nothing(spark, limit):
 def test_one_moment_holds_everything(spark):
     """All rows of one user at one instant: order falls to the id, slices cut inside the tie."""
     rows = [(f"t{i:03d}", "u", 1.0 + i, "a", "xy"[i % 2], "2026-01-01T00:00:00") for i in range(200)]
-    found = session_features(frame(spark, rows), max_rows_per_slice=7).collect()
+    found = session_features(frame(spark, rows), slices=29).collect()
     check_sessions(found, brute_sessions(rows))
     assert found[0].location_switches == 199
 
@@ -238,8 +238,17 @@ def test_bad_gap(spark):
         session_features(frame(spark, []), gap_seconds=0)
 
 
-def test_plan_shuffles_rows_once_and_by_cell(spark):
-    plan = session_features(frame(spark, random_rows(1)))._jdf.queryExecution().executedPlan().toString()
-    exchanges = [p for p in plan.splitlines() if "Exchange hashpartitioning" in p]
-    assert len(exchanges) == 2
-    assert sum("_cell" in p.split("hashpartitioning(")[1].split(")")[0] for p in exchanges) == 1
+def test_no_lists_are_built(spark):
+    df = frame(spark, random_rows(1))
+    for features in (session_features(df), user_features(df)):
+        plan = features._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_" not in plan and "Cartesian" not in plan
+
+
+def test_missing_amounts_of_a_session(spark):
+    """Mean and deviation over known amounts only, as on a stream."""
+    rows = [(f"t{i}", "u", a, "c", "l", f"2026-01-01T00:0{i}:00") for i, a in enumerate((10.0, None, 30.0))]
+    rows.append(("t9", "v", None, "c", "l", "2026-01-01T00:00:00"))
+    found = {r.user_id: r for r in session_totals(frame(spark, rows)).collect()}
+    assert close(found["u"][3:], (3, 40.0, 20.0, 30.0, 10.0, 0.0))
+    assert tuple(found["v"][3:]) == (1, 0.0, None, None, None, 0.0)
