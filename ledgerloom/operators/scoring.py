@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.numeric import round_even
 from ledgerloom.operators.sessions import SESSION_FEATURES
-from ledgerloom.operators.splitting import by_class, class_counts
+from ledgerloom.session import materialize
 
 # The order of the model's inputs, and the flag threshold.
 FEATURES = ("amount", *SESSION_FEATURES)
@@ -51,19 +51,19 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
     """Rows with the balanced weight of their class.
 
-    The weights become a lookup in the row's own task. A join on the label would first shuffle
-    all rows by it, into as many tasks as there are classes.
+    The weights are written first, so that Spark knows how few they are and broadcasts them; with very
+    many classes it joins on the label instead.
     """
-    counts = class_counts(df, label)
-    rows = sum(counts.values())
-    weights = {c: F.lit(rows / (len(counts) * n)) for c, n in counts.items()}
-    return df.withColumn("weight", by_class(F.col(label), weights, "double"))
+    weights = materialize(class_weights(df, label).select(F.col(label).alias("_wl"), "weight"), "weights")
+    return df.join(weights, F.col(label).eqNullSafe(F.col("_wl"))).drop("_wl")
 
 
 def fit_forest(
     df: DataFrame, label: str = "is_fraud", trees: int = 100, depth: int = 10, seed: int = 42, columns=FEATURES
 ) -> PipelineModel:
-    """Balanced random forest on the feature columns of ``df``.
+    """Balanced random forest on the feature columns of ``df``: 100 trees of at most 10 levels.
+
+    A forest of fully grown trees has no bound on its size; ten features are told apart well before.
 
     Training reads ``df`` several times, so hand in a written table, not a long lineage.
     """

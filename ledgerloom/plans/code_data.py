@@ -17,40 +17,47 @@ from ledgerloom.operators.datasets import (
 from ledgerloom.operators.generation import collect_samples, sample_plan
 from ledgerloom.operators.metrics import binary_metrics, compare_models, predict_majority, verdict
 from ledgerloom.operators.quality import code_statistics, keep_passing, quality_flags, quality_report
-from ledgerloom.operators.splitting import sample_rows, stratified_split
+from ledgerloom.operators.splitting import content_key, sample_rows, stratified_split
 from ledgerloom.operators.text_model import classify, fit_classifier
 from ledgerloom.session import materialize
-from ledgerloom.sources.readers import read_dataset, read_synthetic_batches
-from ledgerloom.sources.writers import load_model, save_model, write_batches, write_csv, write_predictions, write_splits
+from ledgerloom.sources.readers import read_dataset, read_splits, read_synthetic_batches
+from ledgerloom.sources.writers import (
+    load_model,
+    save_model,
+    write_batches,
+    write_csv,
+    write_predictions,
+    write_splits,
+    write_table,
+)
 
 
 def analyse(spark: SparkSession, paths: dict[str, str], base_dir: str, report_path: str, fmt: str = "parquet"):
-    """Load and validate the splits, save them, and report on them."""
-    data = read_dataset(spark, paths, fmt)
-    write_splits(data.select("func", "target", "split"), base_dir)
-    report = split_analysis(data)
+    """Load and validate the splits, save them, and report on what was saved."""
+    write_splits(read_dataset(spark, paths, fmt).select("func", "target", "split"), base_dir)
+    report = materialize(split_analysis(read_splits(spark, base_dir)), "report")
     write_csv(report, report_path)
     return report, analysis_totals(report)
 
 
 def ingest_responses(
-    spark: SparkSession, responses: DataFrame, out_dir: str, batches: int = 5, samples_per_batch: int = 10
+    spark: SparkSession, responses: DataFrame, out_dir: str, batches: int = 5, samples_per_batch: int = 10, fmt: str = "parquet"
 ) -> DataFrame:
     """Write the samples of a plan, one batch directory each."""
     samples = collect_samples(sample_plan(spark, batches, samples_per_batch), responses).drop("needs_retry")
-    write_batches(samples, out_dir)
+    write_batches(samples, out_dir, fmt=fmt)
     return samples
 
 
-def filter_samples(spark: SparkSession, batch_dir: str, filtered_path: str, report_path: str):
+def filter_samples(spark: SparkSession, batch_dir: str, filtered_path: str, report_path: str, fmt: str = "parquet"):
     """Flag all samples once, keep the passing ones, and report on all.
 
     The flagged table is written once: the parser runs over every sample a single time, though
     both the kept rows and the report need it.
     """
-    flagged = materialize(quality_flags(read_synthetic_batches(spark, batch_dir)), "flagged")
+    flagged = materialize(quality_flags(read_synthetic_batches(spark, batch_dir, fmt)), "flagged")
     kept = keep_passing(flagged)
-    write_csv(kept, filtered_path)
+    write_table(kept, filtered_path, fmt)
     report = quality_report(flagged)
     write_csv(report, report_path)
     return kept, report, code_statistics(flagged)
@@ -61,24 +68,19 @@ def merge_and_split(
 ):
     """Merged table with ``split``, its summary, statistics per split, and overall statistics.
 
-    Without a unique ``key`` one is given to the merged rows when they are written.
+    Without a unique ``key`` rows are known by what they hold, so the same rows with the same
+    seed are split the same way, wherever they were read from. The keyed rows are written once.
     """
     merged = merge_sources(base, synthetic, keep_failed=keep_failed)
-    table = with_row_key(merged) if key is None else merged
+    if key is None:
+        table = materialize(content_key(merged, ("func", "target", "source")), "merged")
+    else:
+        table = merged
     split = stratified_split(table, "target", key or "row_key", seed=seed)
     stats = split_statistics(split)
     return split, merge_summary(table), stats, statistics_totals(stats)
 
 
-def with_row_key(df: DataFrame, target: str = "row_key") -> DataFrame:
-    """Write ``df`` and identify each row by its file and position, copies included."""
-    table = materialize(df, "keyed")
-    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    return table.select(
-        "*", F.concat_ws("#", place["file_path"], place["row_index"].cast("string")).alias(target)
-    )
-
-
 def train_classifier(split: DataFrame, model_path: str) -> PipelineModel:
     """Fit on the train split, choose on the validation split, save."""
     model = fit_classifier(

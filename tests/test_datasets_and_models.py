@@ -29,8 +29,8 @@ from ledgerloom.operators.metrics import (
     verdict,
 )
 from ledgerloom.operators.splitting import (
-    class_counts,
     group_split,
+    content_key,
     number_rows,
     proportional_quota,
     random_split,
@@ -39,7 +39,7 @@ from ledgerloom.operators.splitting import (
     stratified_split,
 )
 from ledgerloom.operators.text_model import classify, fit_classifier, model_inputs, tokenized_inputs
-from ledgerloom.plans.code_data import evaluate, merge_and_split, train_classifier, with_row_key
+from ledgerloom.plans.code_data import evaluate, merge_and_split, train_classifier
 from ledgerloom.sources.writers import load_model, write_predictions
 
 
@@ -121,20 +121,21 @@ def test_statistics_of_nothing(spark):
 # --- splits and samples ---
 
 
-@given(st.dictionaries(st.integers(0, 9), st.integers(0, 10**15), min_size=1), st.data())
-@settings(max_examples=200, deadline=None)
-def test_quota_properties(counts, data):
+@pytest.mark.parametrize("seed", range(8))
+def test_quota_properties(spark, seed):
+    rng = random.Random(seed)
+    counts = {c: rng.choice([0, 1, rng.randrange(50), rng.randrange(10**15)]) for c in range(rng.randint(1, 9))}
     total = sum(counts.values())
-    draws = data.draw(st.integers(0, total))
-    quota = proportional_quota(counts, draws)
-    assert sum(quota.values()) == (draws if total else 0)
+    draws = rng.choice([0, total, rng.randint(0, total)])
+    df = spark.createDataFrame(list(counts.items()), "_class int, n long")
+    quota = {r["_class"]: r.q for r in proportional_quota(df, F.lit(draws).cast("long")).collect()}
+    assert sum(quota.values()) == draws
     assert all(0 <= quota[c] <= counts[c] for c in counts)
     assert all(abs(quota[c] * total - counts[c] * draws) < total for c in counts if total)
 
 
-@pytest.mark.parametrize("max_rows", [1, 5, 10**6])
-def test_stratified_sizes(spark, max_rows):
-    split = stratified_split(labelled(spark, 100, 30), "target", "k", max_rows=max_rows)
+def test_stratified_sizes(spark):
+    split = stratified_split(labelled(spark, 100, 30), "target", "k")
     assert sizes(split, "split", "target") == {
         ("train", 1): 24, ("train", 0): 56, ("validation", 1): 3, ("validation", 0): 7, ("test", 1): 3, ("test", 0): 7,
     }
@@ -142,11 +143,8 @@ def test_stratified_sizes(spark, max_rows):
 
 @pytest.mark.parametrize("n, positive", [(1, 0), (2, 1), (7, 3), (101, 1), (10_007, 3_333)])
 def test_split_is_exact_for_any_size(spark, n, positive):
-    df = labelled(spark, n, positive)
-    fine = stratified_split(df, "target", "k", max_rows=2)
-    assert sorted(fine.collect()) == sorted(stratified_split(df, "target", "k").collect())
     held = math.ceil(n * 0.2 - 1e-9)
-    found = sizes(fine, "split")
+    found = sizes(stratified_split(labelled(spark, n, positive), "target", "k"), "split")
     assert found.get(("train",), 0) == n - held
     assert found.get(("test",), 0) == math.ceil(held / 2)
     assert sum(found.values()) == n
@@ -163,7 +161,7 @@ def test_split_handles_string_keys_and_missing_labels(spark):
     df = spark.range(50).select(
         F.concat(F.lit("key-"), "id").alias("k"), F.when(F.col("id") % 5 > 0, (F.col("id") % 2).cast("int")).alias("target")
     )
-    split = stratified_split(df, "target", "k", max_rows=1)
+    split = stratified_split(df, "target", "k")
     assert sizes(split, "split") == {("train",): 40, ("validation",): 5, ("test",): 5}
 
 
@@ -174,25 +172,25 @@ def test_many_classes(spark):
     assert sum(n for (split, _), n in found.items() if split == "test") == 300
 
 
-def test_too_many_classes_are_refused(spark):
-    with pytest.raises(ValueError, match="classes"):
-        class_counts(spark.range(2000).withColumnRenamed("id", "target"), "target")
+def test_thousands_of_classes(spark):
+    df = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") % 3000).alias("target"))
+    found = sizes(stratified_split(df, "target", "k"), "split")
+    assert found == {("train",): 7200, ("validation",): 900, ("test",): 900}
 
 
-def test_copies_of_one_key_are_refused(spark):
+def test_rows_of_one_key_stay_together(spark):
     df = spark.range(100).select(F.lit("copy").alias("k"), F.lit(1).alias("target"))
-    with pytest.raises(ValueError, match="not unique"):
-        stratified_split(df, "target", "k", max_rows=10)
+    assert len(sizes(stratified_split(df, "target", "k"), "split")) == 1
 
 
 def test_split_adds_no_shuffle_to_the_rows(spark):
     plan = stratified_split(labelled(spark, 100, 30), "target", "k")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Window" not in plan
+    assert "hashpartitioning" not in plan and "SinglePartition" not in plan and "Window" not in plan
 
 
 @pytest.mark.parametrize("n", [0, 1, 5, 999, 1000])
 def test_random_split(spark, n):
-    found = sizes(random_split(spark.range(n), "id", max_rows=3), "split")
+    found = sizes(random_split(spark.range(n), "id"), "split")
     test = math.ceil(n * 0.2 - 1e-9)
     assert found.get(("test",), 0) == test and found.get(("train",), 0) == n - test
 
@@ -204,23 +202,21 @@ def test_group_split_keeps_groups_whole(spark):
     assert 0.1 < split.where("split = 'test'").count() / 5000 < 0.3
 
 
-@pytest.mark.parametrize("max_rows", [1, 10**6])
-def test_samples(spark, max_rows):
+def test_samples(spark):
     df = spark.range(300)
     in_order = [r.id for r in df.orderBy(seeded_hash_order("id"), "id").collect()]
     for n in (0, 1, 20, 299, 300, 500):
-        found = sample_rows(df.repartition(3), n, "id", max_rows=max_rows).collect()
+        found = sample_rows(df.repartition(3), n, "id").collect()
         assert sorted(r.id for r in found) == sorted(in_order[:n])
     with pytest.raises(ValueError):
         sample_rows(df, -1, "id")
 
 
-@pytest.mark.parametrize("max_rows", [1, 50, 10**6])
-def test_split_equals_ranking_all_rows(spark, max_rows):
+def test_split_equals_ranking_all_rows(spark):
     """The cut points against a plain rank over each class."""
     df = labelled(spark, 2_003, 777)
     rank = F.row_number().over(Window.partitionBy("target").orderBy(seeded_hash_order("k"), "k"))
-    split = stratified_split(df, "target", "k", max_rows=max_rows).withColumn("r", rank).collect()
+    split = stratified_split(df, "target", "k").withColumn("r", rank).collect()
     names = ["train", "validation", "test"]
     for target in (0, 1):
         in_rank_order = [r["split"] for r in sorted((r for r in split if r.target == target), key=lambda r: r.r)]
@@ -233,18 +229,28 @@ def test_shuffle_keeps_all_rows(spark):
     assert ids == [r.id for r in shuffle_rows(spark.range(100).repartition(4), "id").collect()]
 
 
-@pytest.mark.parametrize("per_bucket", [3, 50, 10**6])
-def test_numbering_is_dense_and_follows_the_shuffle(spark, per_bucket):
-    numbered = number_rows(spark.range(200), "id", rows_per_bucket=per_bucket)
+def test_numbering_is_dense_and_follows_the_shuffle(spark):
+    numbered = number_rows(spark.range(200), "id")
     by_index = {r.sample_idx: r.id for r in numbered.collect()}
     in_order = [r.id for r in shuffle_rows(spark.range(200), "id").collect()]
     assert [by_index[i] for i in range(200)] == in_order and len(by_index) == 200
     assert by_index == {r.sample_idx: r.id for r in number_rows(spark.range(200).repartition(9), "id").collect()}
 
 
-def test_row_keys_tell_copies_apart(spark):
-    df = spark.range(1000).select(F.lit("copy").alias("func")).repartition(4)
-    assert with_row_key(df).select("row_key").distinct().count() == 1000
+def test_content_keys_tell_copies_apart(spark):
+    df = spark.range(1000).select(F.lit("copy").alias("func"), (F.col("id") % 2).alias("target")).repartition(4)
+    keys = {r.row_key for r in content_key(df, ("func", "target")).collect()}
+    assert len(keys) == 1000
+    assert keys == {r.row_key for r in content_key(df.repartition(7), ("func", "target")).collect()}
+
+
+def test_split_follows_content_and_seed(spark):
+    """The same rows in another order, in other files and with copies come out the same."""
+    base, synthetic = sources(spark)
+    many = base.crossJoin(spark.range(7)).drop("id")
+    first = sorted(merge_and_split(many, synthetic)[0].drop("row_key").collect(), key=repr)
+    again = merge_and_split(many.repartition(5), synthetic.orderBy(F.desc("func")))[0].drop("row_key").collect()
+    assert first == sorted(again, key=repr)
 
 
 def test_merge_and_split_with_copies(spark):
