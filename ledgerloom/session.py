@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import functools
+import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN_ROOT = "ledgerloom.scratch.dir"
+
 
 def local_session(cpus: int = 8, app: str = "ledgerloom", memory: str = "16g") -> SparkSession:
     """A single-machine session for tests and benchmarks; a cluster brings its own."""
@@ -23,22 +26,21 @@ def local_session(cpus: int = 8, app: str = "ledgerloom", memory: str = "16g") -
     )
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="ledgerloom-")
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a folder of this machine.
+    A local session without one, in which driver and executors are one process, takes a new
+    temporary folder, writes it into its configuration, and deletes it when Python ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_ROOT, None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_root()
+    own = tempfile.TemporaryDirectory(prefix="ledgerloom-", ignore_cleanup_errors=True)
+    atexit.register(own.cleanup)
+    spark.conf.set(_OWN_ROOT, own.name)
+    return own.name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -58,7 +60,9 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a table this package wrote, on whatever file system it lies."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def empty_path(spark: SparkSession, path: str) -> None:
+    """Delete the rows of a table this package wrote, on whatever file system it lies.
+
+    What stays is an empty table: Spark has no public way to delete a folder.
+    """
+    spark.createDataFrame([], "value string").write.mode("overwrite").text(path)
