@@ -21,6 +21,7 @@ from ledgerloom.catalog.registry import micros, query, rounded
 from ledgerloom.operators.datasets import label_rate
 from ledgerloom.operators.parsing import copy_event_time, dead_letters, parse_transactions, valid_rows
 from ledgerloom.operators.scoring import (
+    THRESHOLD,
     apply_threshold,
     assembler,
     class_weights,
@@ -40,11 +41,12 @@ from ledgerloom.operators.sessions import (
 )
 from ledgerloom.operators.splitting import group_split, random_split
 from ledgerloom.plans.fraud import run_batch, run_training, train
+from ledgerloom.schemas import TRANSACTION
 from ledgerloom.session import materialize, scratch_path
 from ledgerloom.sources.readers import read_lines, read_transactions, stream_lines
 from ledgerloom.sources.writers import json_rows, load_model
 from ledgerloom.streaming.fraud import FraudStream
-from ledgerloom.streaming.sessions import session_totals
+from ledgerloom.streaming.sessions import TOTALS, session_totals
 
 HALF_HOUR, SIX_HOURS = 1800, 21_600
 
@@ -89,13 +91,33 @@ HOT_SQL = f"SELECT * REPLACE (CASE WHEN transaction_id % 3 = 0 THEN -1 ELSE user
 
 @query("session_hot_user", _sessions_oracle(SIX_HOURS, HOT_SQL))
 def _(spark, sf_dir):
-    """One user holds a third of all rows, and its cells are cut into slices."""
+    """One user holds a third of all rows, and its cells are cut by many ranges."""
     rows = transactions(spark, sf_dir)
     hot = F.when(F.col("transaction_id") % 3 == 0, F.lit(-1).cast("long")).otherwise(F.col("user_id"))
-    per_slice = max(10, rows.count() // 500)
-    return _sessions(
-        session_features(rows.withColumn("user_id", hot), gap_seconds=SIX_HOURS, max_rows_per_slice=per_slice)
+    return _sessions(session_features(rows.withColumn("user_id", hot), gap_seconds=SIX_HOURS, slices=64))
+
+
+CROWDED_SQL = f"""
+    SELECT * REPLACE (CAST(transaction_id AS VARCHAR) AS location,
+                      CASE WHEN transaction_id % 3 = 0 THEN -1 ELSE user_id END AS user_id,
+                      CASE WHEN transaction_id % 3 = 0 AND transaction_id % 30 <> 0
+                           THEN TIMESTAMP '2024-01-01' + to_seconds(transaction_id % 1700) ELSE event_time END AS event_time)
+    FROM ({TRANSACTIONS_SQL})"""
+
+
+@query("session_many_locations", _sessions_oracle(HALF_HOUR, CROWDED_SQL))
+def _(spark, sf_dir):
+    """One user holds a third of all rows, most of them within half an hour, and each is at a place of its own."""
+    hot = F.col("transaction_id") % 3 == 0
+    crowded = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, transaction_id % 1700)")
+    rows = transactions(spark, sf_dir).withColumns(
+        {
+            "location": F.col("transaction_id").cast("string"),
+            "user_id": F.when(hot, F.lit(-1).cast("long")).otherwise(F.col("user_id")),
+            "event_time": F.when(hot & (F.col("transaction_id") % 30 != 0), crowded).otherwise(F.col("event_time")),
+        }
     )
+    return _sessions(session_features(rows))
 
 
 @query(
@@ -126,21 +148,30 @@ def _(spark, sf_dir):
     return rounded(rows, *FEATURE_DOUBLES).drop("event_time")
 
 
-@query("session_window_totals", f"""
-    WITH {sessions_sql(TRANSACTIONS_SQL, HALF_HOUR)}
+# Every eleventh amount is missing.
+GAPS_SQL = f"SELECT * REPLACE (CASE WHEN transaction_id % 11 > 0 THEN amount END AS amount) FROM ({TRANSACTIONS_SQL})"
+TOTALS_SQL = f"""
+    WITH {sessions_sql(GAPS_SQL, HALF_HOUR)}
     SELECT user_id, epoch_us(min(event_time)) AS session_start_us,
            epoch_us(max(event_time)) + {HALF_HOUR * 1_000_000} AS session_end_us,
-           count(*) AS session_txn_count, round(sum(amount), 6) AS total_amount,
+           count(*) AS session_txn_count, round(coalesce(sum(amount), 0.0), 6) AS total_amount,
            round(avg(amount), 6) AS avg_amount, max(amount) AS max_amount,
            round(stddev_pop(amount), 6) AS amount_std,
-           round(avg(CASE WHEN amount > 1000 THEN 1.0 ELSE 0.0 END), 6) AS high_value_txn_ratio
-    FROM tagged GROUP BY user_id, session_no""")
+           round(count(*) FILTER (amount > 1000) / count(*), 6) AS high_value_txn_ratio
+    FROM tagged GROUP BY user_id, session_no"""
+
+
+def _with_gaps(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("amount", F.when(F.col("transaction_id") % 11 > 0, F.col("amount")))
+
+
+def _totals(sessions: DataFrame) -> DataFrame:
+    return rounded(sessions, *FEATURE_DOUBLES).select("user_id", micros("session_start"), micros("session_end"), *TOTALS)
+
+
+@query("session_window_totals", TOTALS_SQL)
 def _(spark, sf_dir):
-    rows = transactions(spark, sf_dir).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    totals = rounded(session_totals(rows), *FEATURE_DOUBLES[:3], "high_value_txn_ratio")
-    return totals.withColumns(
-        {"session_start_us": F.unix_micros("session_start"), "session_end_us": F.unix_micros("session_end")}
-    ).drop("session_start", "session_end")
+    return _totals(session_totals(_with_gaps(transactions(spark, sf_dir))))
 
 
 USER_FEATURES_SQL = f"""
@@ -198,16 +229,16 @@ def _(spark, sf_dir):
 
 @query(
     "parse_valid",
-    f"""WITH valid AS ({VALID_SQL})
-    SELECT v.* EXCLUDE (event_time), strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
-           epoch_us(event_time) AS event_time_us, '{{"props":' || replace(props, ' ', '') || '}}' AS extra
-    FROM valid v JOIN events e ON v.transaction_id = CAST(e.event_id AS VARCHAR)""",
+    f"""SELECT transaction_id, user_id, amount, merchant_category, location, CASE WHEN kind = 7 THEN true END AS is_fraud,
+               strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", epoch_us(event_time) AS event_time_us,
+               '{{"props":' || props || CASE kind WHEN 6 THEN ',"note":"last"' WHEN 8 THEN ',"note":"NaN"' ELSE '' END || '}}' AS extra
+        FROM ({VALID_SQL})""",
 )
 def _(spark, sf_dir):
     rows = valid_rows(parse_transactions(transaction_lines(spark, sf_dir)))
-    return rows.withColumns({"event_time_us": F.unix_micros("event_time"), "extra": F.to_json("extra")}).drop(
-        "event_time", "is_fraud"
-    )
+    known = [f.name for f in TRANSACTION.fields]
+    extra = F.to_json(F.map_filter("members", lambda k, v: ~k.isin(*known)))
+    return rows.select(*known, F.unix_micros("event_time").alias("event_time_us"), extra.alias("extra"))
 
 
 @query(
@@ -234,16 +265,18 @@ def _(spark, sf_dir):
 
 @query(
     "transactions_as_json",
-    f"""SELECT '{{"transaction_id":"' || transaction_id || '","user_id":"' || user_id || '","amount":' || amount ||
+    f"""SELECT '{{"transaction_id":"' || transaction_id || '","user_id":"' || user_id || '","amount":' ||
+        regexp_replace(CAST(amount AS VARCHAR), '\\.0$', '') ||
         ',"merchant_category":"' || merchant_category || '","location":"' || location || '","timestamp":"' ||
-        strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '","is_fraud":null,"props":' ||
-        (SELECT replace(props, ' ', '') FROM events e WHERE CAST(e.event_id AS VARCHAR) = transaction_id) ||
-        ',"flagged":false}}' AS value
+        strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '","props":' || props ||
+        CASE kind WHEN 4 THEN ',"is_fraud":1' WHEN 5 THEN ',"is_fraud":"yes"' WHEN 6 THEN ',"note":"last"'
+                  WHEN 7 THEN ',"is_fraud":true' WHEN 8 THEN ',"note":"NaN"' ELSE '' END || ',"flagged":false}}' AS value
     FROM ({VALID_SQL})""",
 )
 def _(spark, sf_dir):
-    rows = valid_rows(parse_transactions(transaction_lines(spark, sf_dir))).drop("event_time")
-    return json_rows(rows.withColumn("flagged", F.lit(False)), extra_before="flagged")
+    """All members as they came: fields of another type with their value, absent ones absent."""
+    rows = valid_rows(parse_transactions(transaction_lines(spark, sf_dir)))
+    return json_rows(rows.select("members", F.lit(False).alias("flagged")))
 
 
 @query(
@@ -345,23 +378,59 @@ def _(spark, sf_dir):
     )
 
 
-@query("forest_report")
+def _report_checks(report: DataFrame) -> DataFrame:
+    """What holds for any forest: one row of checks over the class report."""
+    line = F.col("class")
+    own, score = line.isin("0", "1"), ("precision", "recall", "f1_score")
+    between = [F.min(F.when(F.col(c).isNull(), F.lit(True)).otherwise(F.col(c).between(0, 1))) for c in score]
+    weighted = F.max(F.when(line == "weighted avg", F.col("recall")))
+    accuracy = F.max(F.when(line == "accuracy", F.col("f1_score")))
+    return report.agg(
+        F.max(F.when(line == "accuracy", F.col("support"))).alias("support"),
+        F.sum(F.when(own, F.col("support"))).alias("support_of_classes"),
+        (F.abs(weighted - accuracy) < 1e-9).alias("recall_is_accuracy"),
+        (between[0] & between[1] & between[2]).alias("in_range"),
+        (accuracy > 0.5).alias("learns"),
+    )
+
+
+_REPORT_SQL = "true AS recall_is_accuracy, true AS in_range, true AS learns"
+
+
+@query(
+    "forest_report",
+    f"""SELECT CAST(ceil(count(*) * 0.2 - 1e-9) AS BIGINT) AS support,
+               CAST(ceil(count(*) * 0.2 - 1e-9) AS BIGINT) AS support_of_classes, {_REPORT_SQL} FROM events""",
+)
 def _(spark, sf_dir):
-    """Forest on session features: class report on the held-out fifth of the rows."""
-    return train(transactions(spark, sf_dir), trees=20, depth=5).report
+    """Forest on session features: the class report on the held-out fifth of the rows adds up."""
+    return _report_checks(train(transactions(spark, sf_dir)).report)
 
 
-@query("forest_report_user_grain")
+@query("forest_report_user_grain", f"SELECT true AS same_support, {_REPORT_SQL}")
 def _(spark, sf_dir):
-    rows = transactions(spark, sf_dir)
-    return train(rows, grain="user", by_user=True, trees=20, depth=5).report
+    """Forest on user features with all rows of a user on one side."""
+    checks = _report_checks(train(transactions(spark, sf_dir), grain="user", by_user=True).report)
+    return checks.withColumn("same_support", F.col("support") == F.col("support_of_classes")).drop("support", "support_of_classes")
 
 
-@query("scored_transactions")
+@query(
+    "scored_transactions",
+    """SELECT event_id AS transaction_id, true AS in_range, true AS four_digits, true AS flag_agrees, true AS route_agrees
+       FROM events""",
+)
 def _(spark, sf_dir):
-    """Every transaction with its session features, score, flag and route."""
+    """Every transaction with its session features, score, flag and route, held against each other."""
     rows = materialize(enrich_with_sessions(transactions(spark, sf_dir)), "training")
-    return with_route(score_rows(rows, fit_forest(rows, trees=20, depth=5)))
+    scored = with_route(score_rows(rows, fit_forest(rows)))
+    score, flag = F.col("fraud_score"), F.col("fraud_predicted")
+    return scored.select(
+        "transaction_id",
+        score.between(0, 1).alias("in_range"),
+        (F.round(score, 4) == score).alias("four_digits"),
+        F.when(flag, score >= THRESHOLD).otherwise(score <= THRESHOLD).alias("flag_agrees"),
+        (F.col("route") == F.when(flag, "flagged").otherwise("clean")).alias("route_agrees"),
+    )
 
 
 @query(
@@ -397,9 +466,8 @@ def _read_branches(spark: SparkSession, path: str, prefix: str = "") -> DataFram
     )
 
 
-def _small_forest(spark: SparkSession, sf_dir: str):
-    rows = materialize(enrich_with_sessions(transactions(spark, sf_dir)), "training")
-    return fit_forest(rows, trees=10, depth=4)
+def _forest(spark: SparkSession, sf_dir: str):
+    return fit_forest(materialize(enrich_with_sessions(transactions(spark, sf_dir)), "training"))
 
 
 @query("fraud_batch_job", _enriched_oracle(VALID_SQL, HALF_HOUR))
@@ -407,7 +475,7 @@ def _(spark, sf_dir):
     """Text lines to files of flagged, clean and dead rows, read back without the scores."""
     lines, out = scratch_path(spark, "lines"), scratch_path(spark, "routed")
     transaction_lines(spark, sf_dir).write.text(lines)
-    run_batch(spark, lines, _small_forest(spark, sf_dir), out)
+    run_batch(spark, lines, _forest(spark, sf_dir), out)
     return _read_branches(spark, out)
 
 
@@ -419,49 +487,80 @@ def _(spark, sf_dir):
     typed, model = scratch_path(spark, "typed"), scratch_path(spark, "model")
     lines, out = scratch_path(spark, "lines"), scratch_path(spark, "routed")
     _as_text_fields(spark, sf_dir).write.json(typed)
-    run_training(spark, typed, model, trees=10, depth=4)
+    run_training(spark, typed, model)
     transaction_lines(spark, sf_dir).write.text(lines)
     run_batch(spark, lines, load_model(model), out)
     branch = F.when(F.col("route") == "dead_letters", F.col("route")).otherwise("scored")
     return read_lines(spark, out).groupBy(branch.alias("branch")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("fraud_stream_job", _enriched_oracle(VALID_SQL, HALF_HOUR))
-def _(spark, sf_dir):
-    """The batch job as a stream of four micro-batches in order of time, drained at the end."""
-    lines, out, state = (scratch_path(spark, p) for p in ("arriving", "routed", "state"))
+def _arriving(spark: SparkSession, sf_dir: str, late: bool) -> tuple[str, float]:
+    """The lines in four files in order of time, and a quarter of the time span in seconds. ``late``: every
+    fiftieth line of the first quarter comes with the last file."""
+    path = scratch_path(spark, "lines")
     rows = transaction_lines(spark, sf_dir).withColumn("t", F.regexp_extract("value", '"timestamp":"([^"]*)"', 1))
     first, last = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
     quarter = (last - first) / 4
     part = sum((F.col("t") >= (first + k * quarter).isoformat()).cast("int") for k in (1, 2, 3))
+    if late:
+        number = F.regexp_extract("value", '"transaction_id":"([^"]*)"', 1).cast("long")
+        part = F.when((part == 0) & (number % 50 == 49), F.lit(3)).otherwise(part)
     for k in range(4):
-        rows.where(part == k).select("value").repartition(2).write.mode("append").text(lines)
-    job = FraudStream(_small_forest(spark, sf_dir), out, state, delay_seconds=quarter.total_seconds())
-    running = job.start(stream_lines(spark, lines, files_per_batch=2), availableNow=True)
+        rows.where(part == k).select("value").coalesce(1).write.mode("append").text(path)
+    return path, quarter.total_seconds()
+
+
+def _streamed(spark: SparkSession, sf_dir: str, late: bool, delay: float | None = None) -> str:
+    out, state = scratch_path(spark, "routed"), scratch_path(spark, "state")
+    lines, quarter = _arriving(spark, sf_dir, late)
+    job = FraudStream(_forest(spark, sf_dir), out, state, delay_seconds=quarter if delay is None else delay)
+    running = job.start(stream_lines(spark, lines, files_per_batch=1), availableNow=True)
     running.awaitTermination()
     job.finish(spark, running.lastProgress["batchId"])
-    return _read_branches(spark, out)
+    return out
+
+
+@query("fraud_stream_job", _enriched_oracle(VALID_SQL, HALF_HOUR))
+def _(spark, sf_dir):
+    """The batch job as a stream of four micro-batches in order of time, drained at the end."""
+    return _read_branches(spark, _streamed(spark, sf_dir, late=False))
+
+
+@query("fraud_stream_branches", f"""
+    WITH lines AS ({LINES_SQL}),
+    span AS (SELECT min(ts) AS first, (max(ts) - min(ts)) / 4 AS quarter FROM events),
+    timed AS (
+        SELECT kind, ts, ts < first + quarter AND event_id % 50 = 49 AS delayed, ts < first + 3 * quarter AS early
+        FROM lines JOIN events USING (event_id), span),
+    reached AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM timed WHERE kind > 3 AND early AND NOT delayed),
+    routed AS (
+        SELECT CASE WHEN kind <= 3 THEN 'dead_letters' WHEN delayed AND ts + INTERVAL 30 MINUTE <= mark THEN 'late'
+                    ELSE 'scored' END AS branch
+        FROM timed, reached)
+    SELECT branch, count(*) AS n FROM routed GROUP BY branch""")
+def _(spark, sf_dir):
+    """Rows per branch of the stream, with a watermark an hour behind and lines that come far too late."""
+    lines = read_lines(spark, _streamed(spark, sf_dir, late=True, delay=3600))
+    branch = F.when(F.col("route").isin("dead_letters", "late"), F.col("route")).otherwise("scored")
+    return lines.groupBy(branch.alias("branch")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_session_totals", f"""
-    WITH {sessions_sql(TRANSACTIONS_SQL, HALF_HOUR)},
-    closed AS (
-        SELECT user_id, session_no, min(event_time) AS first, max(event_time) AS last, count(*) AS session_txn_count,
-               round(sum(amount), 6) AS total_amount, max(amount) AS max_amount
-        FROM tagged GROUP BY user_id, session_no)
-    SELECT user_id, epoch_us(first) AS session_start_us, session_txn_count, total_amount, max_amount FROM closed
-    WHERE epoch_us(last) + {HALF_HOUR * 1_000_000 - 1}
-          <= (SELECT epoch_ms(max(ts)) * 1000 - 600000000 FROM events)""")
-def _(spark, sf_dir):
-    """Sessions a stream has closed, with a watermark ten minutes behind the newest event."""
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    rows = events.select(
-        "user_id", F.col("ts").cast("timestamp").alias("event_time"), F.col("value").alias("amount")
+@query("stream_session_totals", TOTALS_SQL)
+def _(spark, sf_dir):
+    """Sessions of a stream of four micro-batches in order of time; a last event far ahead closes them all."""
+    source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
+    events = _with_gaps(transactions(spark, sf_dir)).select(
+        "user_id", F.col("event_time").cast("timestamp").alias("event_time"), "amount"
     )
-    out, state = scratch_path(spark, "closed"), scratch_path(spark, "state")
+    first, last = events.agg(F.unix_micros(F.min("event_time")), F.unix_micros(F.max("event_time"))).first()
+    part = F.least(F.lit(3), F.floor((F.unix_micros("event_time") - first) / ((last - first) / 4)))
+    for k in range(4):
+        events.where(part == k).coalesce(1).write.mode("append").parquet(source)
+    ahead = F.timestamp_micros(F.lit(last + 86_400_000_000)).alias("event_time")
+    spark.range(1).select(F.lit(-1).cast("long").alias("user_id"), ahead, F.lit(0.0).alias("amount")).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     running = (
-        session_totals(rows, delay="10 minutes")
+        session_totals(arriving, delay="10 minutes")
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", state)
@@ -469,5 +568,4 @@ def _(spark, sf_dir):
         .start()
     )
     running.awaitTermination()
-    closed = rounded(spark.read.parquet(out), "total_amount")
-    return closed.select("user_id", micros("session_start"), "session_txn_count", "total_amount", "max_amount")
+    return _totals(spark.read.parquet(out).where("user_id >= 0"))

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.readers import spread
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -68,16 +66,25 @@ def _quoted(column: Column) -> Column:
 
 
 def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a line of text. By ``event_id % 7``, 0 cuts the line off, 1 leaves the amount
-    out, 2 appends a second object, and 3 has an amount in quotes."""
-    events = spread(table(spark, sf_dir, "events"))
-    kind = F.col("event_id") % 7
+    """Every event as a line of text. By ``event_id % 28``, 0 cuts the line off, 1 leaves the amount out, 2 appends a
+    second object, and 3 has an amount in quotes; 4, 5 and 7 have a label, of a wrong type but for the last; 6
+    repeats a key, and 8 has a value that JSON does not know."""
+    events = table(spark, sf_dir, "events")
+    kind = F.col("event_id") % 28
     number = F.col("value").cast("string")
     amount = (
         F.when(kind == 1, F.lit(""))
         .when(kind == 3, F.concat(F.lit('"amount":"'), number, F.lit('",')))
         .otherwise(F.concat(F.lit('"amount":'), number, F.lit(",")))
     )
+    more = (
+        F.when(kind == 4, F.lit(',"is_fraud":1'))
+        .when(kind == 5, F.lit(',"is_fraud":"yes"'))
+        .when(kind == 6, F.lit(',"note":1,"note":"last"'))
+        .when(kind == 7, F.lit(',"is_fraud":true'))
+        .when(kind == 8, F.lit(',"note":NaN'))
+        .otherwise(F.lit(""))
+    )
     ending = F.when(kind == 0, F.lit("")).when(kind == 2, F.lit('}{"a":1}')).otherwise(F.lit("}"))
     line = F.concat(
         F.lit('{"transaction_id":'), _quoted(F.col("event_id")),
@@ -87,33 +94,38 @@ def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"location":'), _quoted(F.get_json_object("props", "$.k")),
         F.lit(',"timestamp":'), _quoted(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
         F.lit(',"props":'), F.col("props"),
+        more,
         ending,
     )
     return events.select(line.alias("value"))
 
 
 LINES_SQL = """
-    SELECT event_id, event_id % 7 AS kind,
+    SELECT event_id, event_id % 28 AS kind,
         '{"transaction_id":"' || event_id || '","user_id":"' || user_id || '",' ||
-        CASE event_id % 7 WHEN 1 THEN '' WHEN 3 THEN '"amount":"' || value || '",'
-                          ELSE '"amount":' || value || ',' END ||
+        CASE event_id % 28 WHEN 1 THEN '' WHEN 3 THEN '"amount":"' || value || '",'
+                           ELSE '"amount":' || value || ',' END ||
         '"merchant_category":"' || event_type || '","location":"' || (props->>'$.k') ||
         '","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","props":' || props ||
-        CASE event_id % 7 WHEN 0 THEN '' WHEN 2 THEN '}{"a":1}' ELSE '}' END AS value
+        CASE event_id % 28 WHEN 4 THEN ',"is_fraud":1' WHEN 5 THEN ',"is_fraud":"yes"'
+                           WHEN 6 THEN ',"note":1,"note":"last"' WHEN 7 THEN ',"is_fraud":true'
+                           WHEN 8 THEN ',"note":NaN' ELSE '' END ||
+        CASE event_id % 28 WHEN 0 THEN '' WHEN 2 THEN '}{"a":1}' ELSE '}' END AS value
     FROM events"""
 
 
 # Valid rows of the lines above, as transactions.
 VALID_SQL = """
     SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(user_id AS VARCHAR) AS user_id, value AS amount,
-           event_type AS merchant_category, props->>'$.k' AS location, ts AS event_time
-    FROM events WHERE event_id % 7 > 3"""
+           event_type AS merchant_category, props->>'$.k' AS location, ts AS event_time, event_id % 28 AS kind,
+           replace(props, ' ', '') AS props
+    FROM events WHERE event_id % 28 > 3"""
 
 
 def code_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as code, its whole text behind ``#``. By ``doc_id % 4``: 0 is a function,
     1 has a broken header, 2 is no function, 3 is a function with a docstring."""
-    documents = spread(table(spark, sf_dir, "documents"))
+    documents = table(spark, sf_dir, "documents")
     kind, name = F.col("doc_id") % 4, F.col("doc_id").cast("string")
     head = (
         F.when(kind == 0, F.concat(F.lit("def f"), name, F.lit("():\n    return "), name))
@@ -159,7 +171,7 @@ def flags_sql() -> str:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a quality label; a rule on the id stands for a split that was given."""
-    documents = spread(table(spark, sf_dir, "documents")).select(
+    documents = table(spark, sf_dir, "documents").select(
         "doc_id", F.col("text").alias("func"), "source", "n_chars"
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))

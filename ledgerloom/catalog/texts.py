@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.inputs import (
@@ -19,6 +17,7 @@ from ledgerloom.catalog.inputs import (
     table,
 )
 from ledgerloom.catalog.registry import query, rounded
+from ledgerloom.functions.hashing import seeded_hash
 from ledgerloom.functions.syntax import is_valid_python
 from ledgerloom.operators.datasets import (
     analysis_totals,
@@ -30,7 +29,14 @@ from ledgerloom.operators.datasets import (
     split_statistics,
     statistics_totals,
 )
-from ledgerloom.operators.generation import BUG_TYPES, collect_samples, parse_responses, sample_plan
+from ledgerloom.operators.generation import (
+    BUG_TYPES,
+    SYSTEM_PROMPT,
+    USER_PROMPT,
+    collect_samples,
+    parse_responses,
+    plan_samples,
+)
 from ledgerloom.operators.metrics import (
     binary_metrics,
     class_report,
@@ -50,16 +56,16 @@ from ledgerloom.operators.quality import (
 )
 from ledgerloom.operators.splitting import (
     batch_number,
+    content_key,
     number_rows,
     sample_rows,
     shuffle_rows,
     stratified_split,
 )
-from ledgerloom.operators.text_model import classify, fit_classifier, tokenized_inputs, TOKEN_PATTERN
-from ledgerloom.plans.code_data import analyse, filter_samples, merge_and_split, with_row_key
-
+from ledgerloom.operators.text_model import TOKEN_PATTERN, classify, fit_classifier, tokenized_inputs, tokens
+from ledgerloom.plans.code_data import analyse, filter_samples, merge_and_split
 from ledgerloom.session import materialize, scratch_path
-from ledgerloom.sources.readers import batch_sizes, read_csv, read_splits, read_synthetic_batches, spread
+from ledgerloom.sources.readers import batch_sizes, read_csv, read_splits, read_synthetic_batches, read_table
 from ledgerloom.sources.writers import write_batches, write_csv, write_predictions, write_splits
 
 # --- quality filters ---
@@ -78,7 +84,7 @@ def _(spark, sf_dir):
        FROM documents""",
 )
 def _(spark, sf_dir):
-    documents = spread(table(spark, sf_dir, "documents")).select("doc_id", F.col("text").alias("func"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("func"))
     return text_flags(documents).drop("func")
 
 
@@ -156,6 +162,14 @@ def _(spark, sf_dir):
     return read_splits(spark, path)
 
 
+@query("csv_splits_round_trip", f"SELECT func, target, split FROM ({LABELLED_SQL})")
+def _(spark, sf_dir):
+    """The same as an export, in files of at most a megabyte."""
+    path = scratch_path(spark, "splits")
+    write_splits(labelled(spark, sf_dir).select("func", "target", "split"), path, "csv", max_bytes=1 << 20)
+    return read_splits(spark, path, "csv")
+
+
 @query(
     "synthetic_batches",
     """SELECT 'synthetic_batch=' || (doc_id % 5) AS source_file, count(*) AS samples FROM documents GROUP BY ALL""",
@@ -190,11 +204,10 @@ def _(spark, sf_dir):
 @query("filter_job", f"WITH {flags_sql()} SELECT doc_id AS sample_id, func FROM judged WHERE passes_filter")
 def _(spark, sf_dir):
     """Batch files in, filtered file out, read back."""
-    _, path = _written_batches(spark, sf_dir)
+    batches, path = _written_batches(spark, sf_dir)
     kept, report = scratch_path(spark, "kept"), scratch_path(spark, "report")
     filter_samples(spark, path, kept, report)
-    schema = read_synthetic_batches(spark, path).schema
-    return read_csv(spark, kept, schema).select("sample_id", "func")
+    return read_table(spark, kept, batches.select("sample_id", "func").schema)
 
 
 # --- description, merge, split ---
@@ -227,7 +240,8 @@ def _(spark, sf_dir):
     source, base, report = (scratch_path(spark, p) for p in ("given", "base", "report"))
     labelled(spark, sf_dir).select("func", "target", "split").write.partitionBy("split").parquet(source)
     paths = {s: f"{source}/split={s}" for s in ("train", "validation", "test")}
-    return analyse(spark, paths, base, report)[0]
+    shape = analyse(spark, paths, base, report)[0].schema
+    return read_csv(spark, report, shape)
 
 
 @query("merge_union", f"SELECT func, target, source FROM ({MERGED_SQL})")
@@ -320,46 +334,105 @@ def _sizes(split: DataFrame) -> DataFrame:
 
 @query("stratified_split_sizes", SPLIT_SIZES_SQL)
 def _(spark, sf_dir):
-    """Ranks are found through several rounds of hash prefixes, as on a large table."""
     base, synthetic = merged(spark, sf_dir)
     rows = base.withColumn("source", F.lit("codexglue")).unionByName(
         synthetic.where(F.col("source") != "synthetic_llm_failed")
     )
-    return _sizes(stratified_split(rows, "target", "doc_id", max_rows=1))
+    return _sizes(stratified_split(rows, "target", "doc_id"))
 
 
 @query("merge_and_split_job", SPLIT_SIZES_SQL)
 def _(spark, sf_dir):
-    """Rows get their key from their place in the written table, so exact copies differ."""
+    """Rows are known by what they hold, and copies by a number."""
     return _sizes(merge_and_split(*merged(spark, sf_dir))[0])
 
 
 @query("row_keys", "SELECT count(*) AS n, count(*) AS keys FROM documents")
 def _(spark, sf_dir):
-    keyed = with_row_key(table(spark, sf_dir, "documents").select("text"))
+    keyed = content_key(table(spark, sf_dir, "documents").select("text"), ["text"])
     return keyed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_key").alias("keys"))
 
 
+def _moved(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Rows, and how many of them are on another side in the second split."""
+    sides = [df.groupBy(F.sha2("func", 256).alias("f"), "target", "source", "split").count() for df in (first, second)]
+    both = sides[0].withColumnRenamed("count", "a").join(sides[1].withColumnRenamed("count", "b"), ["f", "target", "source", "split"], "full")
+    a, b = F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))
+    return both.agg(F.sum(a).alias("n"), F.sum(F.greatest(a - b, F.lit(0))).alias("moved"))
+
+
+@query("split_is_repeatable", f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS moved FROM ({MERGED_SQL})")
+def _(spark, sf_dir):
+    """The same rows, read from files written in another order: the seed alone decides."""
+    base, synthetic = merged(spark, sf_dir)
+    again = [materialize(df.orderBy(F.desc("doc_id")).repartition(3), "again") for df in (base, synthetic)]
+    return _moved(merge_and_split(base, synthetic)[0], merge_and_split(*again)[0])
+
+
+@query(
+    "split_of_copies_is_repeatable",
+    f"""SELECT count(*) AS n, CAST(0 AS BIGINT) AS moved
+        FROM (SELECT unnest(range(0, 3)) FROM ({MERGED_SQL}) WHERE source = 'codexglue'
+              UNION ALL SELECT 0 FROM ({MERGED_SQL}) WHERE source <> 'codexglue')""",
+)
+def _(spark, sf_dir):
+    """Three copies of every base row, half of which hold one and the same text."""
+    base, synthetic = merged(spark, sf_dir)
+    text = F.when(F.col("doc_id") % 2 == 0, F.lit("def f():\n    pass")).otherwise(F.col("func"))
+    base = base.withColumn("func", text).withColumn("copy", F.explode(F.array(*map(F.lit, range(3))))).drop("copy")
+    again = materialize(base.orderBy(F.desc("doc_id")).repartition(5), "again")
+    return _moved(merge_and_split(base, synthetic)[0], merge_and_split(again, synthetic)[0])
+
+
+MANY_SQL = "SELECT event_id, user_id * 20 + event_id % 20 AS target FROM events"
+
+
+@query("stratified_split_many_classes", f"""
+    WITH counts AS (SELECT target, count(*) AS n FROM ({MANY_SQL}) GROUP BY target),
+    total AS (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(ceil(sum(n) * 0.2 - 1e-9) AS BIGINT) AS held FROM counts),
+    train AS ({_quota_sql("counts", "(SELECT n - held FROM total)")}),
+    rest AS (SELECT target, CAST(n - q AS BIGINT) AS n FROM train),
+    validation AS ({_quota_sql("rest", "(SELECT held // 2 FROM total)")}),
+    sizes AS (
+        SELECT 'train' AS split, target, CAST(q AS BIGINT) AS n FROM train
+        UNION ALL SELECT 'validation', target, CAST(q AS BIGINT) FROM validation
+        UNION ALL SELECT 'test', target, CAST(n - q AS BIGINT) FROM validation)
+    SELECT * FROM sizes WHERE n > 0""")
+def _(spark, sf_dir):
+    """A class for every user and remainder, far over a thousand."""
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") * 20 + F.col("event_id") % 20).alias("target"))
+    return _sizes(stratified_split(rows, "target", "event_id"))
+
+
 @query(
     "sample_sizes",
-    """SELECT 'few' AS sample, CAST(least(20, count(*)) AS BIGINT) AS n, CAST(least(20, count(*)) AS BIGINT) AS ids FROM documents
-    UNION ALL SELECT 'half', count(*) // 2, count(*) // 2 FROM documents""",
+    """WITH t AS (SELECT count(*) AS n FROM documents)
+    SELECT 'few' AS sample, least(20, n) AS n, least(20, n) AS ids, least(20, n) AS again FROM t
+    UNION ALL SELECT 'third', (n + 2) // 3, (n + 2) // 3, (n + 2) // 3 FROM t""",
 )
 def _(spark, sf_dir):
+    """A fixed number of rows, and a third of them; the same rows again from the same rows in another order."""
     documents = table(spark, sf_dir, "documents").select("doc_id")
-    half = documents.count() // 2
-    few = sample_rows(documents, 20, "doc_id").withColumn("sample", F.lit("few"))
-    many = sample_rows(documents, half, "doc_id", max_rows=1).withColumn("sample", F.lit("half"))
-    return (
-        few.unionByName(many)
-        .groupBy("sample")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"))
+    third = -(-documents.count() // 3)
+    samples = None
+    for name, n in (("few", 20), ("third", third)):
+        other = sample_rows(documents.orderBy(F.desc("doc_id")).repartition(3), n, "doc_id").withColumn("_again", F.lit(1))
+        one = sample_rows(documents, n, "doc_id").join(other, "doc_id", "left").withColumn("sample", F.lit(name))
+        samples = one if samples is None else samples.unionByName(one)
+    return samples.groupBy("sample").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"), F.count("_again").alias("again")
     )
 
 
-@query("shuffled_rows", "SELECT doc_id, lang FROM documents")
+@query("shuffled_rows", "SELECT doc_id, lang, true AS in_order FROM documents")
 def _(spark, sf_dir):
-    return shuffle_rows(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    """Every row, and whether its seeded hash is at least that of the row before it."""
+    shuffled = shuffle_rows(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    placed = shuffled.withColumns(
+        {"_place": F.monotonically_increasing_id(), "_h": F.shiftrightunsigned(seeded_hash(42, F.col("doc_id")), 1)}
+    )
+    before = F.lag("_h").over(Window.partitionBy(F.lit(0)).orderBy("_place"))
+    return placed.select("doc_id", "lang", F.coalesce(before <= F.col("_h"), F.lit(True)).alias("in_order"))
 
 
 @query(
@@ -369,7 +442,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id")
-    numbered = number_rows(documents, "doc_id", rows_per_bucket=100)
+    numbered = number_rows(documents, "doc_id")
     return numbered.groupBy(batch_number(F.col("sample_idx"), 50).alias("batch_num")).agg(
         F.count(F.lit(1)).alias("n"), F.min("sample_idx").alias("first_idx"), F.max("sample_idx").alias("last_idx")
     )
@@ -477,20 +550,25 @@ def _(spark, sf_dir):
 # --- sample plan and responses ---
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
 @query(
     "sample_plan",
-    """SELECT b * 100 + i AS sample_id, b AS batch_id, true AS known_type, true AS named_twice
-       FROM (SELECT unnest(range(0, (SELECT count(*) // 10 FROM documents))) AS b), (SELECT unnest(range(0, 10)) AS i)""",
+    f"""SELECT doc_id // 10 * 100 + doc_id % 10 AS sample_id, doc_id // 10 AS batch_id, true AS known_type,
+               {_sql_text(SYSTEM_PROMPT)} AS system_prompt, {_sql_text(USER_PROMPT)} AS template
+        FROM documents""",
 )
 def _(spark, sf_dir):
-    """Ten samples for every ten documents; the bug type is drawn by hash."""
-    plan = sample_plan(spark, table(spark, sf_dir, "documents").count() // 10, 10)
-    mentions = F.size(F.split("user_prompt", F.concat(F.lit("\\Q"), F.col("bug_type"), F.lit("\\E")))) - 1
+    """A sample for every document. The bug type is drawn by hash; without it the prompt is the template."""
+    plan = plan_samples(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 10)
     return plan.select(
         "sample_id",
         "batch_id",
         F.col("bug_type").isin(*BUG_TYPES).alias("known_type"),
-        (mentions >= 2).alias("named_twice"),
+        "system_prompt",
+        F.replace("user_prompt", "bug_type", F.lit("{bug_type}")).alias("template"),
     )
 
 
@@ -505,7 +583,7 @@ def _responses(spark, sf_dir) -> DataFrame:
         .when(kind == 4, F.concat(F.lit("BUG_TYPE: a\nCODE: "), text))
     )
     sample_id = F.floor(F.col("doc_id") / 10) * 100 + F.col("doc_id") % 10
-    return spread(table(spark, sf_dir, "documents")).select(sample_id.alias("sample_id"), response.alias("response"))
+    return table(spark, sf_dir, "documents").select(sample_id.alias("sample_id"), response.alias("response"))
 
 
 RESPONSES_SQL = """
@@ -545,7 +623,7 @@ def _(spark, sf_dir):
         FROM ({PARSED_SQL})""",
 )
 def _(spark, sf_dir):
-    plan = sample_plan(spark, table(spark, sf_dir, "documents").count() // 10, 10)
+    plan = plan_samples(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 10)
     return collect_samples(plan, _responses(spark, sf_dir))
 
 
@@ -554,29 +632,49 @@ def _(spark, sf_dir):
 
 @query(
     "tokenized_inputs",
-    f"""SELECT doc_id, 512 AS length, CAST(least(512, len(regexp_extract_all(text, '{TOKEN_PATTERN}'))) AS INT) AS used
-        FROM documents""",
+    f"""WITH t AS (SELECT doc_id, regexp_extract_all(text, '{TOKEN_PATTERN}')[:512] AS tokens FROM documents)
+    SELECT doc_id, 512 AS length, CAST(len(tokens) AS INT) AS used, repeat('1', len(tokens)) || repeat('0', 512 - len(tokens)) AS mask,
+           true AS ids_where_masked, true AS equal_tokens_equal_ids
+    FROM t""",
 )
 def _(spark, sf_dir):
-    documents = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
-    rows = tokenized_inputs(documents, "text")
-    used = F.aggregate("attention_mask", F.lit(0), lambda total, x: total + x)
-    return rows.select("doc_id", F.size("input_ids").alias("length"), used.alias("used"))
+    """Lengths, the place of the padding, and ids that follow from the tokens."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = tokenized_inputs(documents, "text").withColumn("_tokens", F.slice(tokens(F.col("text")), 1, 512))
+    ids, mask = F.col("input_ids"), F.col("attention_mask")
+    used = F.aggregate(mask, F.lit(0), lambda total, x: total + x)
+    pairs = F.arrays_zip(F.col("_tokens").alias("t"), F.slice(ids, F.lit(1), F.size("_tokens")).alias("i"))
+    return rows.select(
+        "doc_id",
+        F.size(ids).alias("length"),
+        used.alias("used"),
+        F.array_join(F.transform(mask, lambda m: m.cast("string")), "").alias("mask"),
+        F.forall(F.zip_with(ids, mask, lambda i, m: (i > 0) == (m == 1)), lambda ok: ok).alias("ids_where_masked"),
+        (F.size(F.array_distinct(pairs)) == F.size(F.array_distinct("_tokens"))).alias("equal_tokens_equal_ids"),
+    )
 
 
-@query("text_classifier")
+@query(
+    "text_classifier",
+    f"SELECT doc_id, target, true AS in_range, true AS likelier_class, CAST((SELECT count(*) FROM ({LABELLED_SQL})) AS BIGINT) AS n FROM ({LABELLED_SQL})",
+)
 def _(spark, sf_dir):
     """Fit on the train split, choose by validation loss, classify every labelled document."""
     rows = materialize(labelled(spark, sf_dir), "labelled")
-    model = fit_classifier(
-        rows.where(F.col("split") == "train"), rows.where(F.col("split") == "validation"), features=1 << 14
+    model = fit_classifier(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "validation"))
+    p = F.col("probability")
+    return classify(rows.select("doc_id", "func", "target"), model).select(
+        "doc_id",
+        "target",
+        p.between(0, 1).alias("in_range"),
+        (F.col("prediction") == (p > 0.5).cast("int")).alias("likelier_class"),
+        F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("n"),
     )
-    return classify(rows.select("doc_id", "func", "target"), model).drop("func")
 
 
 @query(
     "resumed_predictions",
-    f"SELECT target AS true_label, prediction, count(*) AS n FROM ({JUDGED_SQL}) GROUP BY ALL",
+    f"SELECT target AS true_label, prediction, count(*) AS n, true AS in_batches_of_5 FROM ({JUDGED_SQL}) GROUP BY ALL",
 )
 def _(spark, sf_dir):
     """A first run over half of the rows, a second over all: nothing is scored twice or missed."""
@@ -590,10 +688,10 @@ def _(spark, sf_dir):
         return predict(df).where(F.col("sample_idx") < total // 2)
 
     total = rows.count()
-    size = max(5, math.ceil(total / 20))
-    write_predictions(rows, interrupted, path, "doc_id", batch_size=size)
-    done = write_predictions(rows, predict, path, "doc_id", batch_size=size)
-    return done.groupBy("true_label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    write_predictions(rows, interrupted, path, "doc_id")
+    done = write_predictions(rows, predict, path, "doc_id")
+    place = F.col("batch_num") == F.floor(F.col("sample_idx") / 5) + 1
+    return done.groupBy("true_label", "prediction").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("in_batches_of_5"))
 
 
 @query("labels_normalised", "SELECT doc_id, quality FROM labels")

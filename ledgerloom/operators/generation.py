@@ -19,10 +19,8 @@ BUG_TYPES = (
 )
 
 # Prompt texts.
-SYSTEM_PROMPT = (
-    "You are an expert Python programmer who generates code samples for educational purposes.\n"
-    "Your task is to create Python functions that contain subtle bugs for training bug detection models."
-)
+SYSTEM_PROMPT = """You are an expert Python programmer who generates code samples for educational purposes.
+Your task is to create Python functions that contain subtle bugs for training bug detection models."""
 USER_PROMPT = """Generate a Python function with exactly ONE subtle bug.
 
 Bug type to include: {bug_type}
@@ -55,13 +53,17 @@ def sample_plan(
     spark: SparkSession, batches: int = 5, samples_per_batch: int = 10, seed: int = 42
 ) -> DataFrame:
     """One row per sample to request: ids, bug type and prompts."""
+    return plan_samples(spark.range(batches * samples_per_batch), "id", samples_per_batch, seed)
+
+
+def plan_samples(rows: DataFrame, number: str, samples_per_batch: int = 10, seed: int = 42) -> DataFrame:
+    """The same for a table that asks for a sample per row, numbered from 0 in column ``number``."""
     if not 1 <= samples_per_batch <= IDS_PER_BATCH:
         raise ValueError(f"samples_per_batch must be between 1 and {IDS_PER_BATCH}")
-    rows = spark.range(batches * samples_per_batch)
-    batch = F.floor(F.col("id") / samples_per_batch)
+    batch = F.floor(F.col(number) / samples_per_batch)
     return (
         rows.select(
-            (batch * IDS_PER_BATCH + F.col("id") % samples_per_batch).cast("long").alias("sample_id"),
+            (batch * IDS_PER_BATCH + F.col(number) % samples_per_batch).cast("long").alias("sample_id"),
             batch.cast("long").alias("batch_id"),
         )
         .withColumn("bug_type", seeded_choice(BUG_TYPES, seed, F.col("sample_id")))

@@ -25,17 +25,6 @@ CSV_OPTIONS = {
 }
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a plain table scan over at least as many tasks as there are cores.
-
-    A file is not split below its row groups, so a small table of one file would give all
-    per-row work to one task. A table with enough splits is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
-    return scan if splits >= cores else scan.repartition(cores)
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per text line in ``value``; blank lines are kept."""
     return spark.read.text(path)
@@ -55,14 +44,20 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """CSV with a header and multi-line code. Such files cannot be split, so keep them small
-    (the writer bounds rows per file) and use Parquet between internal stages."""
+    """CSV with a header and multi-line code. Such files cannot be split, so they are for export (the
+    writer bounds their bytes); Parquet lies between internal stages."""
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
-def read_synthetic_batches(spark: SparkSession, directory: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A table that one of the writers wrote."""
+    options = CSV_OPTIONS if fmt == "csv" else {}
+    return spark.read.schema(schema).options(**options).format(fmt).load(path)
+
+
+def read_synthetic_batches(spark: SparkSession, directory: str, fmt: str = "parquet") -> DataFrame:
     """All batches as one table with ``source_file``; raises when there is none."""
-    table = read_csv(spark, f"{directory.rstrip('/')}/{BATCH_GLOB}", SYNTHETIC_CODE)
+    table = read_table(spark, f"{directory.rstrip('/')}/{BATCH_GLOB}", SYNTHETIC_CODE, fmt)
     return table.withColumn("target", label_to_int(F.col("target"))).withColumn(
         "source_file", F.regexp_extract("_metadata.file_path", r"synthetic_batch[_=][^/]*", 0)
     )
@@ -95,11 +90,10 @@ def read_dataset(
 
 
 def read_splits(
-    spark: SparkSession, directory: str, fmt: str = "csv", schema: T.StructType = BASE_CODE, splits=SPLITS
+    spark: SparkSession, directory: str, fmt: str = "parquet", schema: T.StructType = BASE_CODE, splits=SPLITS
 ) -> DataFrame:
     """Splits written by ``write_splits``; naming some of them prunes the other directories."""
     with_split = T.StructType([*schema.fields, T.StructField("split", T.StringType())])
-    options = CSV_OPTIONS if fmt == "csv" else {}
-    table = spark.read.schema(with_split).options(**options).format(fmt).load(directory)
+    table = read_table(spark, directory, with_split, fmt)
     table = table.where(F.col("split").isin(*splits))
     return table.withColumn("target", label_to_int(F.col("target"))) if "target" in table.columns else table
