@@ -32,7 +32,7 @@ SHARD_TOKENS = 1 << 20
 STEP = 512
 MAGIC = b"WMX1"
 #: Distinct pieces of text whose ids a worker keeps.
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 1_500_000
 
 
 def default_tokenizer() -> str:
@@ -63,8 +63,8 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        self.known: dict[str, bytes] = {}  # pieces, without the space before them
-        self.units: dict[str, bytes] = {}  # what they are put together from
+        self.known: dict[str, bytes] = {}  # pieces behind a space
+        self.heads: dict[str, bytes] = {}  # pieces that begin a text
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -82,28 +82,20 @@ class PieceEncoder:
                 out.append(piece)
         return out
 
-    def _units(self, piece: str) -> list[str]:
-        """What `` piece`` with the space before it is made of, from one sure start of a pre-token to the next."""
-        found = self._word.fullmatch(piece)
-        if not found:
-            return [f" {piece}"]
-        first, *rest = found.groups()
-        return [f" {first}", *filter(None, rest)]
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian numbers of ``dtype``."""
         cut = [self._pieces(t) for t in texts]
-        heads = self._encode([p[0] for p in cut])
-        wanted = set().union(*cut)
-        fresh = {p: self._units(p) for p in wanted if p not in self.known}
-        if len(self.known) + len(self.units) + 2 * len(fresh) > CACHED_PIECES:
-            self.known, self.units = {p: self.known[p] for p in wanted if p in self.known}, {}
-        missing = list(set().union(*fresh.values()) - self.units.keys())
-        self.units.update(zip(missing, self._encode(missing), strict=True))
-        for piece, units in fresh.items():
-            self.known[piece] = self.units[units[0]] if len(units) == 1 else b"".join([self.units[u] for u in units])
+        for cache, lead, wanted in (
+            (self.heads, "", {p[0] for p in cut}), (self.known, " ", set().union(*(p[1:] for p in cut)))
+        ):
+            fresh = list(wanted - cache.keys())
+            if len(cache) + len(fresh) > CACHED_PIECES:
+                kept = {p: cache[p] for p in wanted if p in cache}
+                cache.clear()
+                cache.update(kept)
+            cache.update(zip(fresh, self._encode([lead + p for p in fresh]), strict=True))
         known = self.known.__getitem__
-        return [head + b"".join(map(known, p[1:])) for head, p in zip(heads, cut, strict=True)]
+        return [self.heads[p[0]] + b"".join(map(known, p[1:])) for p in cut]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
