@@ -260,7 +260,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, max_share: float = 0.5, **op
         return pd.Series([cut(t, automata, max_share) if isinstance(t, str) else None for t in texts], dtype=object)
 
     columns = docs.columns
-    out = docs.withColumn("__clean", cleaned("text")).where(F.col("__clean").isNotNull() | F.col("text").isNull())
+    # Not deterministic as far as Spark knows, so that it is not run once more for the filter.
+    out = docs.withColumn("__clean", cleaned.asNondeterministic()("text")).where(F.col("__clean").isNotNull() | F.col("text").isNull())
     changed = ~F.col("__clean").eqNullSafe(F.col("text"))
     if "n_chars" in columns:
         size = F.length("__clean").cast(docs.schema["n_chars"].dataType)

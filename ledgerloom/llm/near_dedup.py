@@ -260,40 +260,33 @@ def _mixed_keys(members: DataFrame, found: DataFrame) -> DataFrame:
 def _remaining(here: DataFrame, percent: int) -> DataFrame:
     """Pairs with a key in common but in different components: each class outside the largest component of a key with
     every class of the key in another component, unless their bits tell that they share too little."""
-    outside = here.where("c <> major").select("key", *[F.col(c).alias(f"o_{c}") for c in ("same", "n", "c", "bits", "hidden")])
+    outside = here.where("c <> major").select("key", *[F.col(c).alias(f"o_{c}") for c in ("same", "n", "c", "bits", "hidden", "keys")])
     once = (F.col("c") == F.col("major")) | (F.col("same") > F.col("o_same"))
     in_common = sum((F.bit_count(F.col("bits")[i].bitwiseAND(F.col("o_bits")[i])) for i in range(BITS // 64)), F.lit(0))
     most = in_common + F.least("hidden", "o_hidden")
     enough = (100 + percent) * most >= percent * (F.col("n") + F.col("o_n"))
+    # Of the keys that two documents have in common, the least makes the pair; all of these keys are mixed.
+    first = F.array_min(F.array_intersect("keys", "o_keys")) == F.col("key")
     return (
         here.join(outside, "key")
-        .where((F.col("c") != F.col("o_c")) & once & _similar_sizes("n", "o_n", percent) & enough)
+        .where((F.col("c") != F.col("o_c")) & once & _similar_sizes("n", "o_n", percent) & enough & first)
         .select(*_pair("same", "o_same"))
-        .distinct()
     )
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (columns ``doc_id, text``).
-
-    Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked; ``component_id`` is the
-    least ``doc_id`` that can be reached. A text that is null, empty or without words has 0 shingles and is a
-    component of its own, with its own id. Fewer than ``words`` words are one shingle. Rows that repeat are linked like any
-    equal texts. A row without id counts as greater than all ids; a component of such rows only has a null
-    ``component_id``, and all of them are ``kept``. An empty table gives an empty table. Other columns are not looked at.
-    """
+def _flagged(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, kept`` for every row."""
     rows = materialize(sketched(docs, words), "sketches")
     classes = materialize(classes_of(rows), "classes")
     members, pairs = _with_leaders(classes, percent)
     pairs = materialize(pairs, "pairs")
-    tested = likely_pairs(pairs, classes, percent)
-    both = tested.select(F.explode(F.array("u", "v")).alias("same")).distinct()
-    links = verified(tested, sets_of(docs, classes, both, words), percent)
-    here = materialize(_mixed_keys(members, components(links)).join(classes.select("same", "bits", "hidden"), "same"), "mixed")
-    rest = materialize(_remaining(here, percent).join(pairs, ["u", "v"], "left_anti"), "rest")
-    tested = likely_pairs(rest, classes, percent)
-    both = tested.select(F.explode(F.array("u", "v")).alias("same")).distinct()
-    more = verified(tested, sets_of(docs, classes, both, words), percent)
+
+    # The sets of all documents that share a key, so that the texts are read and sorted out once for both rounds.
+    sets = sets_of(docs, classes, members.select("same").distinct(), words)
+    links = verified(likely_pairs(pairs, classes, percent), sets, percent)
+    here = _mixed_keys(members, components(links)).join(classes.select("same", "bits", "hidden", "keys"), "same")
+    rest = materialize(_remaining(materialize(here, "mixed"), percent).join(pairs, ["u", "v"], "left_anti"), "rest")
+    more = verified(likely_pairs(rest, classes, percent), sets, percent)
     found = components(links.unionByName(more))
     of_class = (
         classes.select("same", "least_id")
@@ -303,18 +296,39 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     least = of_class.groupBy("component").agg(F.min("least_id").alias("component_id"))
     ids = of_class.join(least, "component").select("same", "component_id")
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-    with_words = rows.where("same IS NOT NULL").join(ids, "same", "left").select("doc_id", "n_shingles", "component_id", kept)
-    without = rows.where("same IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    columns = ("doc_id", "text_hash", "n_shingles")
+    with_words = rows.where("same IS NOT NULL").join(ids, "same", "left").select(*columns, "component_id", kept)
+    without = rows.where("same IS NULL").select(*columns, F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     return with_words.unionByName(without)
 
 
-def drop_duplicates(docs: DataFrame, **options) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (columns ``doc_id, text``).
+
+    Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked; ``component_id`` is the
+    least ``doc_id`` that can be reached. A text that is null, empty or without words has 0 shingles and is a
+    component of its own, with its own id. Fewer than ``words`` words are one shingle. Rows that repeat are linked like any
+    equal texts. A row without id counts as greater than all ids; a component of such rows only has a null
+    ``component_id``, and all of them are ``kept``. An empty table gives an empty table. Other columns are not looked at.
+    """
+    return _flagged(docs, words, percent).drop("text_hash")
+
+
+def drop_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, with the columns they came with.
 
-    That is the row with the least id; of rows that repeat this id one stays. Of rows without id all stay.
+    That is the row with the least id; of several rows with this id, one. Of components without any id all rows stay, and so
+    do texts without words. What goes is written first, so that Spark need not shuffle the texts while it is little.
     """
-    gone = near_duplicates(docs, **options).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    repeated = left.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = left.join(repeated, "doc_id", "left_anti")
-    return once.unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    flags = materialize(_flagged(docs, words, percent), "flags")
+    left = flags.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL")
+    first = left.groupBy("component_id").agg(F.min("text_hash").alias("_first"))
+    others = left.join(first, "component_id").where("text_hash <> _first")
+    place = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    gone = materialize(flags.where("NOT kept").select(*place).unionByName(others.select(*place)).distinct(), "gone")
+    repeated = materialize(left.groupBy("doc_id", "text_hash").count().where("count > 1").select(*place), "repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    kept = docs.join(gone, same, "left_anti")
+    return kept.join(repeated, same, "left_anti").unionByName(
+        kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    )
