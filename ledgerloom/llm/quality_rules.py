@@ -115,9 +115,12 @@ def train(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
 
 
 def trusted_by_label(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are labelled as good. A label that is null or repeated with 0 does not count."""
+    """The documents that are labelled as good. A label that is null or repeated with 0 does not count.
+
+    The list of them grows with the corpus, so it is never broadcast: texts and list are sorted out by id, at every size.
+    """
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
-    return docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
+    return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi")
 
 
 def judge(
