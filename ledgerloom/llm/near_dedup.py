@@ -318,7 +318,7 @@ def drop_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     """``docs`` with one document of each component, with the columns they came with.
 
     That is the row with the least id; of several rows with this id, one. Of components without any id all rows stay, and so
-    do texts without words. What goes is written first, so that Spark need not shuffle the texts while it is little.
+    do texts without words. The list of rows that go grows with the corpus, so it is never broadcast.
     """
     flags = materialize(_flagged(docs, words, percent), "flags")
     left = flags.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL")
@@ -328,7 +328,7 @@ def drop_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Da
     gone = materialize(flags.where("NOT kept").select(*place).unionByName(others.select(*place)).distinct(), "gone")
     repeated = materialize(left.groupBy("doc_id", "text_hash").count().where("count > 1").select(*place), "repeated")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    kept = docs.join(gone, same, "left_anti")
+    kept = docs.join(gone.hint("merge"), same, "left_anti")
     return kept.join(repeated, same, "left_anti").unionByName(
         kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
     )
