@@ -103,3 +103,21 @@ def test_components_of_paths_and_stars(spark):
     found = {r.node: r.component for r in components(df).collect()}
     assert found == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}, 300: 300, 301: 300}
     assert components(df.where("false")).count() == 0
+
+
+def test_one_of_each_group_stays_when_ids_repeat(spark):
+    a, b, c = (" ".join(words(80, seed, 9000)) for seed in (31, 32, 33))
+    near = a.replace(a.split()[40], "other")
+    rows = [(1, a), (2, near), (2, b), (3, b.upper()), (5, c), (5, c), (6, c + " more")]
+    kept = near_dedup.drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == [(1, a), (2, b), (5, c)]
+
+
+def test_bits_bound_intersections():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        pool = rng.integers(0, 2**63, rng.integers(2, 3000), dtype=np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, len(pool)))) for _ in range(2))
+        bits = [near_dedup.bit_map(x).view("<u8") for x in (a, b)]
+        hidden = [len(x) - int(np.bitwise_count(m).sum()) for x, m in zip((a, b), bits, strict=True)]
+        assert len(np.intersect1d(a, b)) <= int(np.bitwise_count(bits[0] & bits[1]).sum()) + min(hidden)
