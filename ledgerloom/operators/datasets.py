@@ -15,14 +15,19 @@ from ledgerloom.operators.generation import SOURCE_FAILED, SOURCE_OK
 BASE_SOURCE = "codexglue"
 REQUIRED_COLUMNS = ("func", "target")
 
+# The messages of refused data sets.
+MISSING_COLUMN = "Missing required column: {column}"
+EMPTY = "Dataset is empty"
+MISSING_COLUMNS = "{name} dataset missing required columns: func, target"
+
 
 def validate_dataset(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> bool:
     """Raise ``ValueError`` on a missing column or an empty table."""
     for column in required:
         if column not in df.columns:
-            raise ValueError(f"Missing required column: {column}")
+            raise ValueError(MISSING_COLUMN.format(column=column))
     if df.isEmpty():
-        raise ValueError("Dataset is empty")
+        raise ValueError(EMPTY)
     return True
 
 
@@ -45,7 +50,7 @@ def merge_sources(
     """
     for name, df in (("Base", base), ("Synthetic", synthetic)):
         if any(c not in df.columns for c in REQUIRED_COLUMNS):
-            raise ValueError(f"{name} dataset missing required columns: func, target")
+            raise ValueError(MISSING_COLUMNS.format(name=name))
     if not keep_failed:
         synthetic = synthetic.where(~F.col("source").eqNullSafe(F.lit(SOURCE_FAILED)))
     left = base.select("func", "target").withColumn("source", F.lit(base_source))

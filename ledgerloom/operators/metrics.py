@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.numeric import ratio_or_zero, round_even
 
+# Names of the metrics, and the gains that count as modest and significant.
+MODEST, SIGNIFICANT = 0, 0.05
 METRICS = ("accuracy", "precision", "recall", "f1_score")
 
 
@@ -137,5 +139,5 @@ def verdict(comparison: DataFrame, metric: str = "f1_score") -> DataFrame:
     return metric_value(comparison, metric).select(
         "metric",
         "improvement",
-        F.when(gain > 0.05, F.lit("significant")).when(gain > 0, F.lit("modest")).otherwise(F.lit("similar")).alias("verdict"),
+        F.when(gain > SIGNIFICANT, F.lit("significant")).when(gain > MODEST, F.lit("modest")).otherwise(F.lit("similar")).alias("verdict"),
     )
