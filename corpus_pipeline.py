@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import decontaminate, mixing, near_dedup, quality_gam, token_shards
+from ledgerloom.llm.common import small_batches
 from ledgerloom.llm.registry import QUERIES, table
 from ledgerloom.session import materialize
 
@@ -38,12 +40,21 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_shards.encode_documents(docs)
 
 
+def _in_small_batches(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality classifier", quality),
-    ("near-duplicates", near_duplicates),
-    ("benchmark decontamination", decontamination),
-    ("mix of sources", mix),
-    ("token shards", tokens),
+    ("quality classifier", _in_small_batches(quality)),
+    ("near-duplicates", _in_small_batches(near_duplicates)),
+    ("benchmark decontamination", _in_small_batches(decontamination)),
+    ("mix of sources", _in_small_batches(mix)),
+    ("token shards", _in_small_batches(tokens)),
 ]
 
 #: Trained models, sketches and draws have no form in SQL; tests hold the stages against brute force.
