@@ -226,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", *, sample_
 
     rows = one_text_each(docs, sampled).select("doc_id", "label", features("text").alias("x")).toPandas()
     rows = rows.sort_values("doc_id")
-    x = np.array(rows["x"].tolist(), dtype=np.float64).reshape(len(rows), -1)
+    x = np.array(rows["x"].tolist(), dtype=np.float64).reshape(len(rows), len(FEATURES))
     return fit(x, rows["label"].to_numpy(dtype=np.float64))
 
 

@@ -129,19 +129,22 @@ class _Words:
         return self.buckets[(self.ends[words] - many)[owner] + offset], owner
 
 
-def _leaning(words: _Words, y: np.ndarray) -> np.ndarray:
-    """For each bucket the log ratio of toxic to clean documents of the sample whose words have it."""
-    held = np.ones((2, BUCKETS))
+def _leaning(words: _Words, y: np.ndarray, shrink: float = 10.0) -> np.ndarray:
+    """For each bucket the log ratio of toxic to clean documents of the sample whose words have it. Either kind is given
+    ``shrink`` documents more that have it as often as all do, so that what few documents have says little."""
+    held = np.zeros((2, BUCKETS))
     for doc, kind in zip(words.docs, y, strict=True):
         held[kind, np.unique(words.rows(np.unique(doc))[0])] += 1
-    return np.log(held[1] / (y.sum() + 2)) - np.log(held[0] / (len(y) - y.sum() + 2))
+    share = (held.sum(0) + 1) / (len(y) + 2)
+    clean, toxic = ((held[k] + shrink * share) / ((y == k).sum() + shrink) for k in (0, 1))
+    return np.log(toxic / clean)
 
 
 def fit(
-    texts: list[str], y: np.ndarray, prior: float, *, dim: int = 8, epochs: int = 10, batch: int = 128,
-    rate: float = 0.3, seed: int = 7,
+    texts: list[str], y: np.ndarray, prior: float, *, dim: int = 8, epochs: int = 10, updates: int = 320,
+    batch: int = 128, rate: float = 0.3, seed: int = 7,
 ) -> SubwordModel:
-    """Train on texts and labels. ``prior``: the share of toxic documents among all labelled ones, to which the
+    """Train on texts and labels, for ``epochs`` rounds and on few texts for as many as make ``updates``. ``prior``: the share of toxic documents among all labelled ones, to which the
     bias is moved as the sample holds more of them. One class only: a constant model."""
     y = np.asarray(y, dtype=np.int64)
     if len(y) == 0 or y.min() == y.max():
@@ -160,7 +163,7 @@ def fit(
         at = [HALF * int(np.argmax(window_means(value[d]))) for d in words.docs]
         return [d[i : i + WINDOW] for d, i in zip(words.docs, at, strict=True)]
 
-    for epoch in range(epochs):
+    for epoch in range(max(epochs, -(-updates // -(-len(y) // batch)))):
         chosen = chosen_windows(_leaning(words, y) if epoch == 0 else table @ (soft[:, 1] - soft[:, 0]))
         order = rng.permutation(len(y))
         for lo in range(0, len(order), batch):
