@@ -163,11 +163,19 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(r.func for r in read_csv(spark, f"{tmp_path}/t", MERGED_CODE).collect()) == sorted(TRICKY)
 
 
-def test_splits_on_disk(spark, tmp_path):
+def test_exports_are_bounded_by_bytes(spark, tmp_path):
+    df = spark.range(40).select(F.repeat(F.lit("x"), F.when(F.col("id") == 7, 900).otherwise(90).cast("int")).alias("func"))
+    write_csv(df.coalesce(1), f"{tmp_path}/t", max_bytes=2000)
+    sizes = [f.stat().st_size for f in (tmp_path / "t").glob("*.csv")]
+    assert len(sizes) >= 20 and max(sizes) <= 2000
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_splits_on_disk(spark, tmp_path, fmt):
     df = spark.createDataFrame([(t, i % 2, s) for i, t in enumerate(TRICKY) for s in ("train", "test")], "func string, target int, split string")
-    write_splits(df, f"{tmp_path}/s")
-    assert read_splits(spark, f"{tmp_path}/s").count() == 2 * len(TRICKY)
-    test = read_splits(spark, f"{tmp_path}/s", splits=["test"])
+    write_splits(df, f"{tmp_path}/s", fmt)
+    assert read_splits(spark, f"{tmp_path}/s", fmt).count() == 2 * len(TRICKY)
+    test = read_splits(spark, f"{tmp_path}/s", fmt, splits=["test"])
     assert sorted(r.func for r in test.collect()) == sorted(TRICKY)
     plan = test._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
@@ -185,7 +193,7 @@ def test_batches(spark, tmp_path):
         f.write("func,target,bug_type,source,sample_id,batch_id\n\"x\ny\",true,t,s,1,9\n")
     (tmp_path / "files").mkdir()
     (tmp_path / "single.csv").rename(tmp_path / "files" / "synthetic_batch_9.csv")
-    row = read_synthetic_batches(spark, f"{tmp_path}/files").first()
+    row = read_synthetic_batches(spark, f"{tmp_path}/files", "csv").first()
     assert (row.func, row.target, row.source_file) == ("x\ny", 1, "synthetic_batch_9.csv")
 
 
