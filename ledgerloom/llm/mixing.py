@@ -132,7 +132,10 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
 
 
 def slots(spark, mixed: Mix) -> DataFrame:
-    """``shard, slot, source_no, block`` of the whole output; shards are made independently of each other."""
+    """``shard, slot, source_no, block`` of the whole output; shards are made independently of each other.
+
+    Spark takes them for as few as there are shards, so joins with them say that they are not to be broadcast.
+    """
 
     def draw(batches):
         for batch in batches:
@@ -235,7 +238,7 @@ def mix_documents(docs: DataFrame, *, block_words: int = 64, **options) -> DataF
     result = ["doc_id", "size", "source_size", "target"]
     taken = (
         _blocks_of(rows, block_words)
-        .join(times, ["source_no", "block"], "left")
+        .join(times.hint("merge"), ["source_no", "block"], "left")
         .groupBy(*result, "source_no", "first")
         .agg(F.sum(words).cast("long").alias("taken"))
     )
@@ -255,7 +258,7 @@ def mixed_documents(docs: DataFrame, *, block_words: int = 2048, **options) -> D
     _, rows, drawn = mixture(keyed, "__row", block_words=block_words, **options)
     pieces = (
         _blocks_of(rows, block_words)
-        .join(drawn, ["source_no", "block"])
+        .join(drawn.hint("merge"), ["source_no", "block"])
         .groupBy("doc_id", "__row")
         .agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("__p"))
         .select(
@@ -276,7 +279,7 @@ def mixed_documents(docs: DataFrame, *, block_words: int = 2048, **options) -> D
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__r"))
     out = (
         keyed.dropDuplicates(["doc_id", "__row"])
-        .join(pieces, same)
+        .join(pieces.hint("merge"), same)
         .withColumn("text", F.explode(slices("text", "__from", "__to")))
     )
     if "n_chars" in columns:
