@@ -88,7 +88,7 @@ class PieceEncoder:
         for cache, lead, wanted in (
             (self.heads, "", {p[0] for p in cut}), (self.known, " ", set().union(*(p[1:] for p in cut)))
         ):
-            fresh = list(wanted - cache.keys())
+            fresh = [p for p in wanted if p not in cache]  # a difference with the keys would go through all of them
             if len(cache) + len(fresh) > CACHED_PIECES:
                 kept = {p: cache[p] for p in wanted if p in cache}
                 cache.clear()
