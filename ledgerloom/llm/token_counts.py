@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import chunks
 from ledgerloom.llm.token_shards import PieceEncoder, default_tokenizer, encoder
 
 LEAF_PIECES = 32
@@ -125,6 +126,15 @@ def token_counts(codec: PieceEncoder, leaves: list[str]) -> list[int]:
     return [len(b) // codec.dtype.itemsize for b in codec.encode(leaves)]
 
 
+def trees(codec: PieceEncoder, texts: list[str]) -> Iterator[CountTree]:
+    """The tree of each text. The leaves of some texts are encoded together."""
+    for part in chunks(texts):
+        cut = [CountTree.cut(codec, t) for t in part]
+        counts = iter(token_counts(codec, [leaf for leaves in cut for leaf in leaves]))
+        for leaves in cut:
+            yield CountTree(codec, leaves, [next(counts) for _ in leaves])
+
+
 def count_with_edits(docs: DataFrame, edits: DataFrame, *, tokenizer: str | None = None) -> DataFrame:
     """``doc_id, n_tokens, n_edits, n_tokens_edited, n_chars_edited, n_encoded`` for every row of ``docs``.
 
@@ -156,6 +166,7 @@ def count_with_edits(docs: DataFrame, edits: DataFrame, *, tokenizer: str | None
             open_docs.clear()
 
         for batch in batches:
+            fresh = trees(codec, batch["text"][batch["kind"] == 0].tolist())
             for doc_id, kind, at, removed, text in zip(
                 batch["doc_id"], batch["kind"], batch["at"], batch["removed"], batch["text"], strict=True
             ):
@@ -164,7 +175,7 @@ def count_with_edits(docs: DataFrame, edits: DataFrame, *, tokenizer: str | None
                     close()
                     open_id = doc_id
                 if kind == 0:
-                    tree = CountTree.of(codec, text)
+                    tree = next(fresh)
                     open_docs.append((tree, tree.n_tokens, [0]))
                     continue
                 for tree, _, done in open_docs:
