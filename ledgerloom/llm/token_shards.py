@@ -32,7 +32,7 @@ SHARD_TOKENS = 1 << 20
 STEP = 512
 MAGIC = b"WMX1"
 #: Distinct pieces of text whose ids a worker keeps.
-CACHED_PIECES = 1_500_000
+CACHED_PIECES = 700_000
 
 
 def default_tokenizer() -> str:
