@@ -31,7 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources in their target weights, as the documents' runs of words that the blocks of the mix take."""
+    """The sources in their target weights, as whole documents or, where a pass takes parts, the longest runs of their words."""
     return mixing.mixed_documents(docs, block_words=256)
 
 

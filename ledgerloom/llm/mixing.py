@@ -132,7 +132,9 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
 
 
 def slots(spark, mixed: Mix) -> DataFrame:
-    """``shard, slot, source_no, block`` of the whole output; shards are made independently of each other.
+    """``shard, slot, source_no, block, turn`` of the whole output; shards are made independently of each other.
+
+    ``turn``: the pass over the source that the slot belongs to, 0 or 1; a pass has each block at most once.
 
     Spark takes them for as few as there are shards, so joins with them say that they are not to be broadcast.
     """
@@ -148,9 +150,9 @@ def slots(spark, mixed: Mix) -> DataFrame:
                 key = mix((np.uint64(mixed.seed) << np.uint64(40)) + (source.astype(np.uint64) << np.uint64(2)) + turn.astype(np.uint64))
                 block = permuted(nth % size, size, key)
                 order = np.random.default_rng((mixed.seed, int(shard))).permutation(len(source))
-                yield pd.DataFrame({"shard": shard, "slot": np.arange(len(source)), "source_no": source[order], "block": block[order]})
+                yield pd.DataFrame({"shard": shard, "slot": np.arange(len(source)), "source_no": source[order], "block": block[order], "turn": turn[order]})
 
-    shape = "shard long, slot int, source_no int, block long"
+    shape = "shard long, slot int, source_no int, block long, turn int"
     if not mixed.slots:
         return spark.createDataFrame([], shape)
     return spark.range(mixed.shards).mapInPandas(draw, shape)
@@ -247,46 +249,59 @@ def mix_documents(docs: DataFrame, *, block_words: int = 64, **options) -> DataF
 
 
 def mixed_documents(docs: DataFrame, *, block_words: int = 2048, **options) -> DataFrame:
-    """The mix as documents, with the columns of ``docs``: a row for each slot and document whose words it holds.
+    """The mix as documents, with the columns of ``docs``: a row for each maximal run of a document's words that a pass
+    over its source takes.
 
-    ``text`` is the run of the document's words that the slot takes, as written, with the white space between them;
-    ``n_chars`` is brought into line where it exists. A document without words is in no block. Rows that are
-    equal in all columns are interchangeable; each takes what its place gives it.
+    Blocks of one pass that adjoin in a document are one run, so a document that a pass takes wholly is one row with its
+    text as written. Other runs have their words as written, with the white space between them; ``n_chars`` is brought
+    into line where it exists. A document without words is in no block. Rows that are equal in all columns are
+    interchangeable; each takes what its place gives it.
     """
     columns = docs.columns
     keyed = docs.withColumn("__row", F.xxhash64(*columns))
     _, rows, drawn = mixture(keyed, "__row", block_words=block_words, **options)
+    # Rows that are equal have places of their own in the source, so ``first`` keeps them apart.
     pieces = (
         _blocks_of(rows, block_words)
         .join(drawn.hint("merge"), ["source_no", "block"])
-        .groupBy("doc_id", "__row")
-        .agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("__p"))
+        .groupBy("doc_id", "__row", "first")
+        .agg(F.sort_array(F.collect_list(F.struct("turn", "from_word", "to_word"))).alias("__p"))
         .select(
-            F.col("doc_id").alias("__id"), F.col("__row").alias("__r"),
+            F.col("doc_id").alias("__id"), F.col("__row").alias("__r"), F.col("__p.turn").alias("__turn"),
             F.col("__p.from_word").alias("__from"), F.col("__p.to_word").alias("__to"),
         )
     )
 
     @F.pandas_udf("array<string>")
-    def slices(texts: pd.Series, first: pd.Series, after: pd.Series) -> pd.Series:
+    def slices(texts: pd.Series, turn: pd.Series, first: pd.Series, after: pd.Series) -> pd.Series:
         out = []
-        for text, a, b in zip(texts, first, after, strict=True):
+        for text, *taken in zip(texts, turn, first, after, strict=True):
             raw = text.encode("utf-8", "surrogatepass")
             starts, ends = word_places(raw)
-            out.append([raw[starts[i] : ends[j - 1]].decode("utf-8", "surrogatepass") for i, j in zip(a, b, strict=True)])
+            # White space before the first word and behind the last one goes with them.
+            starts[0], ends[-1] = 0, len(raw)
+            out.append([raw[starts[i] : ends[j - 1]].decode("utf-8", "surrogatepass") for i, j in runs(*taken)])
         return pd.Series(out, dtype=object)
 
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__r"))
     out = (
         keyed.dropDuplicates(["doc_id", "__row"])
         .join(pieces.hint("merge"), same)
-        .withColumn("text", F.explode(slices("text", "__from", "__to")))
+        .withColumn("text", F.explode(slices("text", "__turn", "__from", "__to")))
     )
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*columns)
 
 
+def runs(turn: np.ndarray, first: np.ndarray, after: np.ndarray) -> list[tuple[int, int]]:
+    """Pieces of a document, in order of pass and place, with those of a pass that adjoin made one."""
+    turn, first, after = np.asarray(turn), np.asarray(first), np.asarray(after)
+    begins = np.concatenate(([True], (turn[1:] != turn[:-1]) | (first[1:] != after[:-1])))
+    at = np.flatnonzero(begins)
+    return list(zip(first[at].tolist(), after[np.append(at[1:], len(turn)) - 1].tolist(), strict=True))
+
+
 def word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of UTF-8 text begin and end, in bytes."""
     b = np.frombuffer(raw, dtype=np.uint8)

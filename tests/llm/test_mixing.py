@@ -79,6 +79,30 @@ def test_mixed_documents_hold_what_is_taken(spark):
     assert all(n <= 2 * len(WORD.findall(texts[d])) * sum(e[0] == d for e in docs) for d, n in found.items())
 
 
+def test_documents_come_out_in_their_longest_runs(spark):
+    docs = [(i, "\n" + "  ".join(f"{i}.{k}" for k in range(10 + 7 * (i % 30))) + " ", "s") for i in range(60)]
+    docs += [docs[29]]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    texts, found = {d[0]: d[1] for d in docs}, collections.defaultdict(list)
+    for r in mixing.mixed_documents(df, block_words=16, shard_slots=50).collect():
+        found[r.doc_id].append(r.text)
+    # One source, of which the first pass takes every block and the second one half of them.
+    for i, text in texts.items():
+        copies = sum(d[0] == i for d in docs)
+        assert found[i].count(text) >= copies
+        spans = []
+        for t in found[i]:
+            places = [int(w.split(".")[1]) for w in t.split()]
+            assert t in text and places == list(range(places[0], places[-1] + 1))
+            spans.append((places[0], places[-1] + 1))
+        for _ in range(copies):
+            spans.remove((0, len(text.split())))
+        if copies == 1:
+            spans.sort()
+            assert all(b < c for (_, b), (c, _) in zip(spans[:-1], spans[1:], strict=True))
+    assert any(len(f) > 2 for f in found.values())
+
+
 def test_awkward_rows_are_mixed(spark):
     columns = ("doc_id", "size", "source_size", "target", "taken")
     docs = awkward(spark)
