@@ -145,10 +145,11 @@ def fit(
     batch: int = 128, rate: float = 0.3, seed: int = 7,
 ) -> SubwordModel:
     """Train on texts and labels, for ``epochs`` rounds and on few texts for as many as make ``updates``. ``prior``: the share of toxic documents among all labelled ones, to which the
-    bias is moved as the sample holds more of them. One class only: a constant model."""
+    bias is moved as the sample holds more of them. One class only, or no text: a constant model, of the class that
+    most labelled documents have, clean without any."""
     y = np.asarray(y, dtype=np.int64)
     if len(y) == 0 or y.min() == y.max():
-        return SubwordModel(np.zeros(BUCKETS), 0.0 if len(y) == 0 else (6.0 if y[0] else -6.0))
+        return SubwordModel(np.zeros(BUCKETS), 6.0 if prior > 0.5 else -6.0)
     rng = np.random.default_rng(seed)
     words = _Words(texts)
     table = rng.normal(0, 0.1, (BUCKETS, dim))
@@ -201,12 +202,30 @@ def fit(
     return SubwordModel(table @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0] + moved))
 
 
+def within_budget(sizes: pd.DataFrame, sample_chars: int) -> pd.DataFrame:
+    """Of ``label, n, h, doc_id`` the rows whose texts have at most ``sample_chars`` characters together.
+
+    Either class may fill half of them, and what the other leaves of its half. Its texts of up to a hundredth of
+    ``sample_chars`` come in the order of ``h``; longer ones come behind all of these, the shortest first, so that
+    a long text takes no other's place and is learnt from where there is room.
+    """
+    longest = sample_chars // 100
+    # Of texts up to `longest`, the order is that of the hash alone.
+    late = sizes["n"].where(sizes["n"] > longest, 0)
+    sizes = sizes.assign(_late=late).sort_values(["_late", "h", "doc_id"])
+    half = sample_chars // 2
+    used = {k: min(half, int(sizes.loc[sizes["label"] == k, "n"].sum())) for k in (0, 1)}
+    room = sizes["label"].map({k: sample_chars - used[1 - k] for k in (0, 1)})
+    return sizes[sizes.groupby("label")["n"].cumsum() <= room].drop(columns="_late")
+
+
 def train(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", *, rows_per_class: int = 4_000,
     sample_chars: int = 16_000_000, seed: int = 2,
 ) -> SubwordModel:
     """Fit on a bounded sample: at most ``rows_per_class`` labelled documents of either class that are not held
-    out, by seeded hash, taken whole while they have at most ``sample_chars`` characters together."""
+    out, by seeded hash, taken whole while they have at most ``sample_chars`` characters together. Texts over a hundredth
+    of that are taken last, where there is room (``within_budget``)."""
     ids = labelled_ids(docs, labels, label)
     counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
     # `label` has two values, so this is one bounded list of ids for each.
@@ -216,8 +235,7 @@ def train(
     lengths = one_text_each(docs, picked).select(
         "doc_id", "label", F.coalesce(F.length("text"), F.lit(0)).alias("n"), F.xxhash64(F.lit(seed), "doc_id").alias("h")
     )
-    sizes = lengths.toPandas().sort_values(["h", "doc_id"])
-    sizes = sizes[sizes["n"].cumsum() <= sample_chars]
+    sizes = within_budget(lengths.toPandas(), sample_chars)
     spark = docs.sparkSession
     chosen = spark.createDataFrame(
         [(int(d), int(v)) for d, v in zip(sizes["doc_id"], sizes["label"], strict=True)], "doc_id long, label int"

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import awkward, awkward_rows, empty, is_held_out, rows_of, with_clashes, words
 
@@ -74,6 +75,32 @@ def test_toxicity_separates_held_out_rows_and_unseen_spellings(corpus):
     assert variant > clean + 0.2
 
 
+def test_one_long_text_does_not_end_the_sample(spark, corpus):
+    docs, labels = corpus
+    long = docs.where("doc_id = 1").crossJoin(spark.range(40)).selectExpr(
+        "1000 + id AS doc_id", "repeat(text, 300) AS text", "lang", "source", "n_chars"
+    )
+    marks = long.selectExpr("doc_id", "0 AS quality", "0 AS toxic")
+    model = toxicity.train(docs.unionByName(long), labels.unionByName(marks), sample_chars=300_000)
+    found = toxicity.scored(docs, model, "doc_id").where("doc_id % 10 <> 0").join(labels, "doc_id").toPandas()
+    assert (found["predicted"] == found["toxic"]).mean() > 0.9
+
+
+def test_budget_is_filled_from_either_class():
+    rows = pd.DataFrame({"doc_id": range(8), "label": [0, 0, 0, 0, 1, 1, 1, 1], "h": range(8), "n": [900, 1, 2, 2, 5000, 3, 900, 2]})
+    assert sorted(toxicity.within_budget(rows, 1000)["doc_id"]) == [1, 2, 3, 5, 7]
+    assert sorted(toxicity.within_budget(rows, 2000)["doc_id"]) == [0, 1, 2, 3, 5, 6, 7]
+    assert sorted(toxicity.within_budget(rows[:4], 1000)["doc_id"]) == [0, 1, 2, 3]
+    assert toxicity.within_budget(rows[:0], 1000).empty
+
+
+def test_unfitted_model_predicts_clean(spark, corpus):
+    docs, labels = corpus
+    found = toxicity.classify(docs, labels.where("false"))
+    assert {r.predicted for r in found.select("predicted").collect()} == {0}
+    assert {r.predicted for r in toxicity.classify(docs, labels, sample_chars=1).select("predicted").collect()} == {0}
+
+
 def test_one_toxic_window_decides_a_long_text(corpus):
     model = toxicity.train(*corpus)
     plain = words(5000, 78, 3000)
