@@ -72,6 +72,18 @@ class Mix:
         return -(-self.slots // self.shard_slots)
 
 
+def whole(exact: np.ndarray, seed: int) -> np.ndarray:
+    """Each number rounded down or up, up with the probability of its fraction. One seeded draw serves all, in a random
+    order, so that the sum is off by less than one and small sources get their words together."""
+    rng = np.random.default_rng((seed, len(exact)))
+    down = np.floor(exact + 1e-9)
+    order = rng.permutation(len(exact))
+    upto = np.floor(np.cumsum(np.maximum(exact - down, 0)[order]) + rng.random())
+    up = np.zeros(len(exact), dtype=np.int64)
+    up[order] = np.diff(upto, prepend=0)
+    return down.astype(np.int64) + up
+
+
 def plan(sizes: DataFrame, *, block_words: int, shard_slots: int, seed: int) -> Mix:
     """``sizes``: ``source, source_size``. One row per source comes to the driver.
 
@@ -84,10 +96,9 @@ def plan(sizes: DataFrame, *, block_words: int, shard_slots: int, seed: int) ->
     words = [n for _, n in rows]
     goal = targets(words, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(rows))])
     blocks = np.array([-(-n // block_words) for n in words], dtype=np.int64)
-    wanted = np.minimum(np.rint(np.array(goal) / block_words).astype(np.int64), MOST * blocks)
-    # A target of twice the words is twice all blocks, though the last block may be short.
-    wanted = np.where(np.array(goal) >= MOST * np.array(words), MOST * blocks, wanted)
-    return Mix([s for s, _ in rows], words, goal, blocks, wanted.astype(np.int64), seed, shard_slots)
+    # A slot holds a block's words on average, less than ``block_words`` where the last block is short.
+    wanted = np.minimum(whole(np.array(goal) * blocks / np.maximum(words, 1), seed), MOST * blocks)
+    return Mix([s for s, _ in rows], words, goal, blocks, wanted, seed, shard_slots)
 
 
 def _halve(counts: np.ndarray, left: int, rng: np.random.Generator) -> np.ndarray:

@@ -35,6 +35,15 @@ def test_shards_agree_with_each_other_and_meet_the_plan():
     assert (total == wanted).all()
 
 
+def test_small_sources_give_their_words_together(spark):
+    sizes = spark.createDataFrame([(f"s{i:03}", 100) for i in range(300)], "source string, source_size long")
+    mixed = mixing.plan(sizes, block_words=256, shard_slots=50, seed=11)
+    assert mixed.slots * 100 == pytest.approx(sum(mixed.targets), abs=100)
+    light = mixed.wanted[2::3]
+    assert light.min() == 0 and light.max() == 1 and light.sum() * 100 == pytest.approx(sum(mixed.targets[2::3]), rel=0.2)
+    assert (mixed.wanted[::3] == 2).all()
+
+
 def test_mix_meets_targets(spark):
     docs = [(i, " ".join(words(20 + i % 90, i)), f"s{i % 4}", None) for i in range(200)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long")
