@@ -7,18 +7,20 @@
    that every shard finds its counts and how many slots each source had before it on its own, in log(shards) steps.
 3. The n-th slot of a source is mapped to a block through a pseudorandom permutation of the source's block
    indexes, one permutation per pass over the source.
-4. Slots and blocks are joined by source and block index.
+4. Slots and blocks are joined by source and block index: ``mixed_blocks`` gives the packed output, ``mixed_documents`` the
+   runs of documents in it, ``mix_documents`` how many words of each document are in it.
 
 No pass beyond the second exists, since a target is at most twice its source, so no word is taken more than twice.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import mix
@@ -259,29 +261,26 @@ def mix_documents(docs: DataFrame, *, block_words: int = 64, **options) -> DataF
     return taken.select(*result, "taken").unionByName(without)
 
 
-def mixed_documents(docs: DataFrame, *, block_words: int = 2048, **options) -> DataFrame:
-    """The mix as documents, with the columns of ``docs``: a row for each maximal run of a document's words that a pass
-    over its source takes.
-
-    Blocks of one pass that adjoin in a document are one run, so a document that a pass takes wholly is one row with its
-    text as written. Other runs have their words as written, with the white space between them; ``n_chars`` is brought
-    into line where it exists. A document without words is in no block. Rows that are equal in all columns are
-    interchangeable; each takes what its place gives it.
-    """
-    columns = docs.columns
-    keyed = docs.withColumn("__row", F.xxhash64(*columns))
-    _, rows, drawn = mixture(keyed, "__row", block_words=block_words, **options)
-    # Rows that are equal have places of their own in the source, so ``first`` keeps them apart.
-    pieces = (
+def _pieces(rows: DataFrame, drawn: DataFrame, block_words: int) -> DataFrame:
+    """For each document with words taken, ``__id, __row, __first`` and ``__p``: what each slot takes of it, in order of
+    pass and place. Rows that are equal have places of their own in the source, so ``first`` keeps them apart."""
+    piece = F.struct("turn", "from_word", "to_word", "shard", "slot", "block")
+    return (
         _blocks_of(rows, block_words)
         .join(drawn.hint("merge"), ["source_no", "block"])
         .groupBy("doc_id", "__row", "first")
-        .agg(F.sort_array(F.collect_list(F.struct("turn", "from_word", "to_word"))).alias("__p"))
-        .select(
-            F.col("doc_id").alias("__id"), F.col("__row").alias("__r"), F.col("__p.turn").alias("__turn"),
-            F.col("__p.from_word").alias("__from"), F.col("__p.to_word").alias("__to"),
-        )
-    )
+        .agg(F.sort_array(F.collect_list(piece)).alias("__p"))
+        .select(F.col("doc_id").alias("__id"), F.col("__row").alias("__r"), F.col("first").alias("__first"), "__p")
+    )
+
+
+def _with_texts(keyed: DataFrame, pieces: DataFrame) -> DataFrame:
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__r"))
+    return keyed.dropDuplicates(["doc_id", "__row"]).join(pieces.hint("merge"), same)
+
+
+def _slices(cut) -> Callable[..., Column]:
+    """Of each text the parts that ``cut`` gives for the passes, first words and ends of its pieces."""
 
     @F.pandas_udf("array<string>")
     def slices(texts: pd.Series, turn: pd.Series, first: pd.Series, after: pd.Series) -> pd.Series:
@@ -291,15 +290,47 @@ def mixed_documents(docs: DataFrame, *, block_words: int = 2048, **options) -> D
             starts, ends = word_places(raw)
             # White space before the first word and behind the last one goes with them.
             starts[0], ends[-1] = 0, len(raw)
-            out.append([raw[starts[i] : ends[j - 1]].decode("utf-8", "surrogatepass") for i, j in runs(*taken)])
+            out.append([raw[starts[i] : ends[j - 1]].decode("utf-8", "surrogatepass") for i, j in cut(*taken)])
         return pd.Series(out, dtype=object)
 
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__r"))
-    out = (
-        keyed.dropDuplicates(["doc_id", "__row"])
-        .join(pieces.hint("merge"), same)
-        .withColumn("text", F.explode(slices("text", "__turn", "__from", "__to")))
+    return lambda: slices("text", "__p.turn", "__p.from_word", "__p.to_word")
+
+
+def mixed_blocks(docs: DataFrame, *, block_words: int = 64, **options) -> DataFrame:
+    """The packed output: ``shard, slot, source, block, turn, n_words, text`` for every slot.
+
+    ``text`` is what the block holds of its documents, in their order in the source, with a blank line between two of them;
+    ``turn`` is the pass over the source. Slots of a shard are numbered from 0.
+    """
+    keyed = docs.withColumn("__row", F.xxhash64(*docs.columns))
+    _, rows, drawn = mixture(keyed, "__row", block_words=block_words, **options)
+    each = _slices(lambda turn, first, after: zip(first, after, strict=True))
+    part = F.explode(F.arrays_zip(F.col("__p").alias("p"), F.col("__texts").alias("t")))
+    # The parts of a block come together again: each has a word or more, so there are at most ``block_words``.
+    held = F.sort_array(F.collect_list(F.struct((F.col("__first") + F.col("_x.p.from_word")).alias("at"), F.col("_x.t").alias("t"))))
+    return (
+        _with_texts(keyed.select("doc_id", "source", "text", "__row"), _pieces(rows, drawn, block_words))
+        .withColumn("__texts", each())
+        .select("source", "__first", part.alias("_x"))
+        .groupBy(F.col("_x.p.shard").alias("shard"), F.col("_x.p.slot").alias("slot"), "source", F.col("_x.p.block").alias("block"), F.col("_x.p.turn").alias("turn"))
+        .agg(F.sum(F.col("_x.p.to_word") - F.col("_x.p.from_word")).alias("n_words"), held.alias("_t"))
+        .select("shard", "slot", "source", "block", "turn", "n_words", F.array_join("_t.t", "\n\n").alias("text"))
     )
+
+
+def mixed_documents(docs: DataFrame, *, block_words: int = 2048, **options) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: a row for each maximal run of a document's words that a pass
+    over its source takes, from the same pieces as ``mixed_blocks``.
+
+    Blocks of one pass that adjoin in a document are one run, so a document that a pass takes wholly is one row with its
+    text as written. Other runs have their words as written, with the white space between them; ``n_chars`` is brought
+    into line where it exists. A document without words is in no block. Rows that are equal in all columns are
+    interchangeable; each takes what its place gives it.
+    """
+    columns = docs.columns
+    keyed = docs.withColumn("__row", F.xxhash64(*columns))
+    _, rows, drawn = mixture(keyed, "__row", block_words=block_words, **options)
+    out = _with_texts(keyed, _pieces(rows, drawn, block_words)).withColumn("text", F.explode(_slices(runs)()))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*columns)

@@ -88,6 +88,31 @@ def test_mixed_documents_hold_what_is_taken(spark):
     assert all(n <= 2 * len(WORD.findall(texts[d])) * sum(e[0] == d for e in docs) for d, n in found.items())
 
 
+def test_blocks_come_out_in_the_shards_that_drew_them(spark):
+    docs = [(i, " ".join(f"{i}.{k}" for k in range(1 + 7 * (i % 12))), f"s{i % 3}") for i in range(90)]
+    docs += [docs[80], docs[80]]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    out = mixing.mixed_blocks(df, block_words=16, shard_slots=20).collect()
+    mixed, *_ = mixing.mixture(df, block_words=16, shard_slots=20)
+    assert mixed.shards > 2 and len(out) == mixed.slots
+    for shard in range(mixed.shards):
+        rows = [r for r in out if r.shard == shard]
+        counts, _ = mixing.shard_counts(mixed, shard)
+        assert [sum(r.source == s for r in rows) for s in mixed.names] == counts.tolist()
+        assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    blocks, of = {}, {str(d[0]): d[2] for d in docs}
+    for r in out:
+        held = r.text.split()
+        assert len(held) == r.n_words <= 16 and {of[w.split(".")[0]] for w in held} == {r.source}
+        assert blocks.setdefault((r.source, r.block), r.text) == r.text
+    assert len({(r.source, r.block, r.turn) for r in out}) == len(out)
+    # The first pass over a source that is taken whole has all of its words.
+    top = mixed.names[int(np.argmax(mixed.wanted >= mixed.blocks))]
+    once = sorted(w for r in out if r.source == top and r.turn == 0 for w in r.text.split())
+    assert once == sorted(w for d in docs if d[2] == top for w in d[1].split())
+    assert mixing.mixed_blocks(empty(spark)).count() == 0 and mixing.mixed_blocks(awkward(spark)).count() > 0
+
+
 def test_documents_come_out_in_their_longest_runs(spark):
     docs = [(i, "\n" + "  ".join(f"{i}.{k}" for k in range(10 + 7 * (i % 30))) + " ", "s") for i in range(60)]
     docs += [docs[29]]
