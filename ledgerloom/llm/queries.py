@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     decontaminate,
+    exact_dedup,
     language,
     mixing,
     near_dedup,
@@ -170,3 +171,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontaminate")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_OP12_SQL = r"""
+    WITH texts AS (
+        SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
+    SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+           row_number() OVER best = 1 AS kept, sha256(t) AS text_sha256
+    FROM texts
+    WINDOW best AS (PARTITION BY t ORDER BY points DESC, doc_id NULLS LAST)"""
+
+
+@query("op12_exact_dedup", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
