@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     language,
@@ -185,3 +186,37 @@ _OP12_SQL = r"""
 @query("op12_exact_dedup", _OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+_OP13_SQL = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    worded AS (SELECT lang, string_split_regex(trim(piece, ' ' || chr(9)), '[\x20\x09]+') AS w FROM pieces WHERE trim(piece, ' ' || chr(9)) <> ''),
+    totals AS (SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang),
+    starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+    f AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM (SELECT *, unnest(range(1, least(4, len(w) - i + 1) + 1)) AS k FROM starts) GROUP BY ALL),
+    candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+    cuts AS (
+        SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score,
+               row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (2000000::HUGEINT * c.a) // (l.f + r.f), j) AS nth
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+        JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:c.k], ' ')),
+    inside AS (
+        SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS top
+        FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates)) GROUP BY ALL),
+    ranked AS (
+        SELECT cuts.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM cuts LEFT JOIN inside USING (lang, phrase)
+        WHERE nth = 1 AND (top IS NULL OR 100 * top::HUGEINT < 80 * a))
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query("op13_phrase_collocations", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
