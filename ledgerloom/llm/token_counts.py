@@ -12,6 +12,7 @@ many edits it has.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,32 +20,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import chunks
-from ledgerloom.llm.token_shards import PieceEncoder, default_tokenizer, encoder
+from ledgerloom.llm.pieces import ByteLevel
+from ledgerloom.llm.token_shards import default_tokenizer, encoder
 
 LEAF_PIECES = 32
 #: A leaf that has grown to so many characters is cut up and the tree is built anew.
 LEAF_CHARS = 4096
 
 
+_TIGHT = re.compile(r" (?=\s|\Z)")
+
+
+def pieces_of(text: str) -> list[str]:
+    """The text parted at the spaces that a character other than white space follows."""
+    pieces = text.split(" ")
+    if not _TIGHT.search(text):
+        return pieces
+    out = pieces[:1]
+    for piece in pieces[1:]:
+        if not piece or piece[0].isspace():
+            out[-1] += " " + piece
+        else:
+            out.append(piece)
+    return out
+
+
 class CountTree:
     """The leaves of one text and the sums over them."""
 
-    def __init__(self, codec: PieceEncoder, leaves: list[str], counts: list[int]) -> None:
+    def __init__(self, codec: ByteLevel, leaves: list[str], counts: list[int]) -> None:
         self.codec = codec
         self.encoded_chars = 0
         self._build(leaves, counts)
 
     @staticmethod
-    def cut(codec: PieceEncoder, text: str) -> list[str]:
-        pieces = codec._pieces(text)
+    def cut(text: str) -> list[str]:
+        pieces = pieces_of(text)
         lead = ["", *[" "] * (len(pieces) - 1)]
         return [
             lead[i] + " ".join(pieces[i : i + LEAF_PIECES]) for i in range(0, len(pieces), LEAF_PIECES)
         ]
 
     @classmethod
-    def of(cls, codec: PieceEncoder, text: str) -> CountTree:
-        leaves = cls.cut(codec, text)
+    def of(cls, codec: ByteLevel, text: str) -> CountTree:
+        leaves = cls.cut(text)
         return cls(codec, leaves, token_counts(codec, leaves))
 
     def _build(self, leaves: list[str], counts: list[int]) -> None:
@@ -107,7 +126,7 @@ class CountTree:
             text = self.leaves[first] + text
         self.encoded_chars += len(text)
         if len(text) > LEAF_CHARS:
-            new = self.cut(self.codec, text)
+            new = self.cut(text)
             counts = token_counts(self.codec, new)
             n = len(self.leaves)
             self._build(
@@ -115,21 +134,21 @@ class CountTree:
                 self.tokens[self.base : self.base + first] + counts + self.tokens[self.base + last + 1 : self.base + n],
             )
             return
-        self._put(first, text, token_counts(self.codec, [text])[0])
+        self._put(first, text, len(self.codec.alone([text])[0]) // self.codec.dtype.itemsize)
         for leaf in range(first + 1, last + 1):
             if self.leaves[leaf]:
                 self._put(leaf, "", 0)
 
 
-def token_counts(codec: PieceEncoder, leaves: list[str]) -> list[int]:
+def token_counts(codec: ByteLevel, leaves: list[str]) -> list[int]:
     """Tokens of each leaf. A leaf that is empty has none."""
     return [len(b) // codec.dtype.itemsize for b in codec.encode(leaves)]
 
 
-def trees(codec: PieceEncoder, texts: list[str]) -> Iterator[CountTree]:
+def trees(codec: ByteLevel, texts: list[str]) -> Iterator[CountTree]:
     """The tree of each text. The leaves of some texts are encoded together."""
     for part in chunks(texts):
-        cut = [CountTree.cut(codec, t) for t in part]
+        cut = [CountTree.cut(t) for t in part]
         counts = iter(token_counts(codec, [leaf for leaves in cut for leaf in leaves]))
         for leaves in cut:
             yield CountTree(codec, leaves, [next(counts) for _ in leaves])

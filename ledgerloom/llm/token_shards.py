@@ -12,8 +12,6 @@ Shards are rows of Parquet files, which Spark writes and reads on any file syste
 
 from __future__ import annotations
 
-import os
-import re
 import struct
 import zlib
 from array import array
@@ -25,14 +23,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import chunks
+from ledgerloom.llm.pieces import CHUNK_BYTES, ByteLevel
 from ledgerloom.session import scratch_path
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
 STEP = 512
 MAGIC = b"WMX1"
-#: Distinct pieces of text whose ids a worker keeps.
-CACHED_PIECES = 700_000
 
 
 def default_tokenizer() -> str:
@@ -44,67 +41,13 @@ def default_tokenizer() -> str:
 # --- encoding -------------------------------------------------------------------------------------------------
 
 
-class PieceEncoder:
-    """Encodes whole texts with the tokenizers library, each distinct piece between spaces once.
+_ENCODERS: dict[str, ByteLevel] = {}
 
-    The pre-tokenizer of byte-level BPE always starts a new pre-token at a space that a character other than
-    white space follows, so a text may be cut before such a space and its pieces encoded apart. Where a space is
-    followed by white space or by the end, the pieces stay together. A new pre-token starts as well where
-    letters meet sentence marks, and on either side of a single line break, so words are known without them.
-    """
 
-    _tight = re.compile(r" (?=\s|\Z)")
-    _word = re.compile(r"([^\W\d_]+)([.,;:!?]*)(?:(\n)([^\W\d_]+)([.,;:!?]*))?")
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        self.known: dict[str, bytes] = {}  # pieces behind a space
-        self.heads: dict[str, bytes] = {}  # pieces that begin a text
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in found]
-
-    def _pieces(self, text: str) -> list[str]:
-        pieces = text.split(" ")
-        if not self._tight.search(text):
-            return pieces
-        out = pieces[:1]
-        for piece in pieces[1:]:
-            if not piece or piece[0].isspace():
-                out[-1] += " " + piece
-            else:
-                out.append(piece)
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian numbers of ``dtype``."""
-        cut = [self._pieces(t) for t in texts]
-        for cache, lead, wanted in (
-            (self.heads, "", {p[0] for p in cut}), (self.known, " ", set().union(*(p[1:] for p in cut)))
-        ):
-            fresh = [p for p in wanted if p not in cache]  # a difference with the keys would go through all of them
-            if len(cache) + len(fresh) > CACHED_PIECES:
-                kept = {p: cache[p] for p in wanted if p in cache}
-                cache.clear()
-                cache.update(kept)
-            cache.update(zip(fresh, self._encode([lead + p for p in fresh]), strict=True))
-        known = self.known.__getitem__
-        return [self.heads[p[0]] + b"".join(map(known, p[1:])) for p in cut]
-
-
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str) -> ByteLevel:
     """One per worker process, so that tasks that follow each other share what is known."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
+        _ENCODERS[path] = ByteLevel(path)
     return _ENCODERS[path]
 
 
@@ -279,7 +222,7 @@ def write_shards(
         for batch in batches:
             numbers = [None if pd.isna(d) else int(d) for d in batch["doc_id"].astype(object)]
             at = 0
-            for some in chunks(batch["text"].tolist()):
+            for some in chunks(batch["text"].tolist(), CHUNK_BYTES):
                 for doc_id, found in zip(numbers[at : at + len(some)], codec.encode(some), strict=True):
                     doc_ids.append(doc_id)
                     held.append(found + end)

@@ -6,7 +6,8 @@ import pytest
 from helpers import awkward, awkward_rows, empty, rows_of, with_clashes, words
 from tokenizers import Tokenizer
 
-from ledgerloom.llm import token_counts, token_shards
+from ledgerloom.llm import pieces, token_counts, token_shards
+from ledgerloom.llm.pieces import ByteLevel, Memory, Units, segments
 from ledgerloom.llm.token_shards import WaveletMatrix
 
 PIECES = ["a", "b", "The", " ", "  ", "\n", "\t", " ", "'s", "'", "12", ".", "!", "é", "<|endoftext|>", "\x1c", " \n", "#", "日", " word"]
@@ -21,13 +22,58 @@ def random_text(rng, most):
     return "".join(rng.choice(PIECES) for _ in range(rng.randint(0, most)))
 
 
-def test_pieces_encode_like_the_whole(library):
-    codec, rng = token_shards.PieceEncoder(token_shards.default_tokenizer()), random.Random(0)
-    texts = [random_text(rng, 16) for _ in range(1500)]
+MORE = [*PIECES, ",", ", ", ".\n", "\n\n", "é\n", "\u00a0", "\u3000", "\u2003x", "don't,", "?!", "x.y", "\r\n", "\x85", "ß.", "\ufeff", "ⅷ", "٣", "́", "\x00"]
+
+
+@pytest.mark.parametrize("pieces_used", [PIECES, MORE])
+def test_units_encode_like_the_whole(library, pieces_used):
+    codec, rng = ByteLevel(token_shards.default_tokenizer()), random.Random(0)
+    texts = ["".join(rng.choice(pieces_used) for _ in range(rng.randint(0, 16))) for _ in range(3000)]
+    for text, found in zip(texts, codec.encode(texts), strict=True):
+        assert np.frombuffer(found, codec.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_documents_encode_like_the_whole(spark, library):
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r[0]]
+    codec = ByteLevel(token_shards.default_tokenizer(), kept=200_000)  # so small that it forgets
+    for i in range(0, len(texts), 100):
+        for text, found in zip(texts[i : i + 100], codec.encode(texts[i : i + 100]), strict=True):
+            assert np.frombuffer(found, codec.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_texts_are_cut_in_segments(library, monkeypatch):
+    monkeypatch.setattr(pieces, "CHUNK_BYTES", 50)
+    monkeypatch.setattr(pieces, "segments", lambda raw: segments(raw, 20))
+    codec, rng = ByteLevel(token_shards.default_tokenizer()), random.Random(3)
+    texts = ["".join(rng.choice(MORE) for _ in range(200)) for _ in range(30)] + [""]
     for text, found in zip(texts, codec.encode(texts), strict=True):
         assert np.frombuffer(found, codec.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_as_text(library):
+    codec = ByteLevel(token_shards.default_tokenizer(), special_as_text=True)
+    (found,) = codec.encode(["a <|endoftext|> b"])
+    ids = np.frombuffer(found, codec.dtype).tolist()
+    assert 50256 not in ids and library.decode(ids) == "a <|endoftext|> b"
+
+
+def test_units_join_to_the_texts():
+    rng = random.Random(4)
+    raws = ["".join(rng.choice(MORE) for _ in range(rng.randint(0, 12))).encode() for _ in range(400)]
+    for spaces_only in (True, False):
+        units = Units(raws, spaces_only)
+        ends = [0, *units.ends.tolist()]
+        assert [b"".join(units.names[i] for i in units.index[a:b]) for a, b in zip(ends, ends[1:])] == raws
+
+
+def test_memory_keeps_what_recurs():
+    made = []
+    memory = Memory(kept=1000)
+    for i in range(200):
+        assert memory.look_up([b"again", str(i).encode()], lambda names: made.extend(names) or [n + b"!" for n in names]) == [b"again!", b"%d!" % i]
+    assert made.count(b"again") == 1 and len(made) == 201 and len(memory.young) + len(memory.old) < 20
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 511, 512, 513, 2000])
 def test_wavelet_matrix_answers(n):
     rng = random.Random(n)
@@ -74,7 +120,7 @@ def test_no_documents_make_no_tokens(spark):
 def test_trees_follow_random_edits(library, monkeypatch):
     monkeypatch.setattr(token_counts, "LEAF_PIECES", 3)
     monkeypatch.setattr(token_counts, "LEAF_CHARS", 60)
-    codec, rng = token_shards.PieceEncoder(token_shards.default_tokenizer()), random.Random(1)
+    codec, rng = ByteLevel(token_shards.default_tokenizer()), random.Random(1)
     for _ in range(300):
         text = random_text(rng, 60)
         tree = token_counts.CountTree.of(codec, text)
@@ -88,7 +134,7 @@ def test_trees_follow_random_edits(library, monkeypatch):
 
 
 def test_edits_of_a_long_text_encode_little(library):
-    codec = token_shards.PieceEncoder(token_shards.default_tokenizer())
+    codec = ByteLevel(token_shards.default_tokenizer())
     tree = token_counts.CountTree.of(codec, " ".join(words(20_000, 4)))
     tree.edit(40_000, 5, "changed here")
     assert 0 < tree.encoded_chars < 1000
