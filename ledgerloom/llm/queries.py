@@ -14,6 +14,7 @@ from ledgerloom.llm import (
     near_dedup,
     quality_gam,
     quality_rules,
+    token_alignment,
     token_counts,
     token_shards,
     toxicity,
@@ -174,6 +175,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 _OP12_SQL = r"""
     WITH texts AS (
         SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
