@@ -47,8 +47,10 @@ from ledgerloom.sources.readers import read_lines, read_transactions, stream_lin
 from ledgerloom.sources.writers import json_rows, load_model
 from ledgerloom.streaming.fraud import FraudStream
 from ledgerloom.streaming.sessions import TOTALS, session_totals
+from ledgerloom.streaming.stateful import session_feature_stream, use_rocksdb
 
 HALF_HOUR, SIX_HOURS = 1800, 21_600
+DAY_MICROS = 86_400_000_000
 
 
 def _sessions(df: DataFrame) -> DataFrame:
@@ -569,3 +571,32 @@ def _(spark, sf_dir):
     )
     running.awaitTermination()
     return _totals(spark.read.parquet(out).where("user_id >= 0"))
+
+
+@query("stream_session_features", _sessions_oracle(HALF_HOUR))
+def _(spark, sf_dir):
+    """All nine features from keyed state: four files of events, every fiftieth of which comes a file later, and with the last
+    file events that are too late to count. The query is stopped after two files and goes on from its checkpoint."""
+    use_rocksdb(spark)
+    source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
+    events = transactions(spark, sf_dir).drop("is_fraud").withColumn("event_time", F.col("event_time").cast("timestamp"))
+    first, last = events.agg(F.unix_micros(F.min("event_time")), F.unix_micros(F.max("event_time"))).first()
+    quarter = (last - first) // 4 + 1
+    part = F.floor((F.unix_micros("event_time") - first) / quarter)
+    part = F.least(F.lit(3), F.when(F.col("transaction_id") % 50 == 49, part + 1).otherwise(part))
+    too_late = events.where(F.unix_micros("event_time") < first + quarter // 2).withColumn("amount", F.lit(1e9))
+    ahead = events.limit(1).withColumns({
+        "user_id": F.lit(-1).cast("long"), "event_time": F.timestamp_micros(F.lit(last + quarter + 2 * DAY_MICROS)),
+    })
+
+    def run(*parts: DataFrame) -> None:
+        for some in parts:
+            some.select(events.columns).coalesce(1).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        closed = session_feature_stream(arriving, f"{quarter} microseconds")
+        writer = closed.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    run(*[events.where(part == k) for k in (0, 1)])
+    run(events.where(part == 2), events.where(part == 3).unionByName(too_late), ahead)
+    return _sessions(spark.read.parquet(out).where("user_id >= 0"))
