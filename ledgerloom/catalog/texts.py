@@ -65,6 +65,7 @@ from ledgerloom.operators.splitting import (
 from ledgerloom.operators.text_model import TOKEN_PATTERN, classify, fit_classifier, tokenized_inputs, tokens
 from ledgerloom.plans.code_data import analyse, filter_samples, merge_and_split
 from ledgerloom.session import materialize, scratch_path
+from ledgerloom.sources.csv_blocks import read_csv_blocks
 from ledgerloom.sources.readers import batch_sizes, read_csv, read_splits, read_synthetic_batches, read_table
 from ledgerloom.sources.writers import write_batches, write_csv, write_predictions, write_splits
 
@@ -155,6 +156,20 @@ def _(spark, sf_dir):
     return read_csv(spark, path, documents.schema)
 
 
+@query("csv_parallel_read", "SELECT doc_id, text, lang FROM documents")
+def _(spark, sf_dir):
+    """Files of multi-line records, read in blocks of 256 KB by a task each."""
+    path, setting = scratch_path(spark, "csv"), "spark.sql.files.maxPartitionBytes"
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    write_csv(documents, path)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(1 << 18))
+    try:
+        return read_csv_blocks(spark, path, documents.schema)
+    finally:
+        spark.conf.set(setting, before)
+
+
 @query("splits_round_trip", f"SELECT func, target, split FROM ({LABELLED_SQL})")
 def _(spark, sf_dir):
     path = scratch_path(spark, "splits")
