@@ -4,11 +4,12 @@ Every word begins one window: itself and the words that follow it in its piece,
 empty words behind the end of the piece. Only windows are counted; Spark's ROLLUP sums them up over ever shorter
 beginnings, which gives the frequency of every phrase of up to ``order`` words, of every word, and of all words of a language.
 
-A window with a rare pair of words cannot contain a frequent phrase, so it is cut (padded) before the second word of the
-pair; beginnings up to there keep their exact counts, and what is lost is below ``min_count`` anyway. Which pairs
-may be frequent is found in a pass before: pairs are counted by 40 bits of a hash, where colliding pairs add up, so
-a count is never too small, and those that reach ``min_count`` set a bit in a map of ``FILTER_BITS`` bits. The map is of
-one size (8 MB) whatever the input is: on very large inputs it keeps more windows whole than need be, never fewer.
+A window that holds a rare run of words cannot be a frequent phrase, so it is cut (padded) before the last word of the
+run; beginnings up to there keep their exact counts, and what is lost is below ``min_count`` anyway. Which runs of two up to
+``order - 1`` words may be frequent is found in a pass each: runs whose own parts may be frequent are counted by 40 bits of
+a hash, where colliding runs add up, so a count is never too small, and those that reach ``min_count`` set a bit in a map of
+``FILTER_BITS`` bits. A map is of one size (8 MB) whatever the input is: on very large inputs it keeps more windows whole
+than need be, never fewer.
 
 Texts are cut into words as arrays of bytes, and a chunk's equal windows are summed up before Spark sees them. A text
 longer than a chunk is taken in slices that end at a sentence mark.
@@ -76,24 +77,35 @@ class Words:
         code = {name: i for i, name in enumerate(self.lang_names)}
         self.lang = np.array([code[x] for x in langs], dtype=np.int64)[np.searchsorted(first, starts, side="right") - 1]
 
-    def pairs(self) -> np.ndarray:
-        """For each word, a hash of its language, itself and the next word (where one follows)."""
+    def runs(self, filters: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Where runs begin that may be frequent, for two words and each longer run that there is a filter for; and a hash of
+        the language and the run that is one word longer than the last of these, for each place."""
         def hashed(names: list[bytes]) -> np.ndarray:
             return np.fromiter(map(xxhash.xxh3_64_intdigest, names), dtype=np.uint64, count=len(names))
 
-        h = hashed(self.names.to_pylist())[self.ids]
-        lang = hashed([name.encode() for name in self.lang_names])[self.lang]
-        return mix(mix(lang + h) * np.uint64(0x9E3779B97F4A7C15) + np.concatenate((h[1:], h[:1]))) >> np.uint64(64 - PAIR_BITS)
-
-    def windows(self, may_follow: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+        word = hashed(self.names.to_pylist())[self.ids]
+        run = mix(hashed([name.encode() for name in self.lang_names])[self.lang] + word)
+        found = []
+        ahead = word
+        for bits in (*filters, None):
+            ahead = np.concatenate((ahead[1:], ahead[:1]))
+            run = mix(run * np.uint64(0x9E3779B97F4A7C15) + ahead)
+            if bits is not None:
+                found.append(self.longer(found) & _is_set(bits, run >> np.uint64(64 - PAIR_BITS)))
+        return found, run >> np.uint64(64 - PAIR_BITS)
+
+    def longer(self, found: list[np.ndarray]) -> np.ndarray:
+        """Where a run one word longer than the last of ``found`` begins both of whose parts are there."""
+        if not found:
+            return self.follows
+        return found[-1] & np.concatenate((found[-1][1:], [False]))[: len(self.ids)]
+
+    def windows(self, filters: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
         """The distinct windows, a row of language and word numbers each (the dictionary's length is the padding), and their counts."""
         n, pad = len(self.ids), len(self.names)
         columns = [self.lang, self.ids]
-        reach = np.ones(n, dtype=bool)
-        for k in range(1, order):
-            step = np.zeros(n, dtype=bool)
-            step[: n - k] = may_follow[k - 1 : n - 1]
-            reach &= step
+        found = self.runs(filters)[0]
+        for k, reach in enumerate([*found, self.longer(found)][: order - 1], 1):
             word = np.full(n, pad)
             word[: n - k] = self.ids[k:]
             columns.append(np.where(reach, word, pad))
@@ -129,19 +141,23 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def frequent_pairs(docs: DataFrame, *, min_count: int = MIN_COUNT, chunk_bytes: int = CHUNK_BYTES, filter_bits: int = FILTER_BITS) -> np.ndarray:
-    """A map of bits (unsigned 64-bit numbers); the bit of each pair that occurs ``min_count`` times is set, and perhaps others."""
+def frequent_runs(
+    docs: DataFrame, filters: list[np.ndarray], *, min_count: int = MIN_COUNT, chunk_bytes: int = CHUNK_BYTES, filter_bits: int = FILTER_BITS
+) -> np.ndarray:
+    """A map of bits (unsigned 64-bit numbers) for runs of one word more than the last of ``filters``, or of two words: the
+    bit of each run that occurs ``min_count`` times is set, and perhaps others."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _chunks(batches, chunk_bytes):
-            pairs, n = np.unique(words.pairs()[words.follows], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(n)], names=["pair", "n"])
+            found, run = words.runs(filters)
+            runs, n = np.unique(run[words.longer(found)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(runs.astype(np.int64)), pa.array(n)], names=["run", "n"])
 
-    place = F.pmod("pair", F.lit(filter_bits))
+    place = F.pmod("run", F.lit(filter_bits))
     found = (
-        _texts(docs).mapInArrow(count, "pair long, n long")
-        .groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-        .select(F.shiftright(place, 6).cast("int").alias("word"), F.pmod("pair", F.lit(64)).cast("int").alias("bit"))
+        _texts(docs).mapInArrow(count, "run long, n long")
+        .groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        .select(F.shiftright(place, 6).cast("int").alias("word"), F.pmod("run", F.lit(64)).cast("int").alias("bit"))
         .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     ).toPandas()
     out = np.zeros(filter_bits // 64, dtype=np.uint64)
@@ -149,21 +165,22 @@ def frequent_pairs(docs: DataFrame, *, min_count: int = MIN_COUNT, chunk_bytes:
     return out
 
 
-def _is_set(bits: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    place = pairs % np.uint64(len(bits) * 64)
+def _is_set(bits: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    place = runs % np.uint64(len(bits) * 64)
     return (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def phrase_counts(docs: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT, chunk_bytes: int = CHUNK_BYTES, filter_bits: int = FILTER_BITS) -> DataFrame:
     """``lang, phrase, size, f``: every phrase of 1 to ``order`` words that occurs at least ``min_count`` times, and with
     size 0 and an empty phrase how many words the language has. ``docs``: ``lang, text``."""
-    bits = frequent_pairs(docs, min_count=min_count, chunk_bytes=chunk_bytes, filter_bits=filter_bits) if order > 1 else None
+    filters: list[np.ndarray] = []
+    for _ in range(order - 2):
+        filters.append(frequent_runs(docs, filters, min_count=min_count, chunk_bytes=chunk_bytes, filter_bits=filter_bits))
     columns = [f"w{k}" for k in range(1, order + 1)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _chunks(batches, chunk_bytes):
-            may_follow = words.follows & _is_set(bits, words.pairs()) if order > 1 else words.follows
-            rows, n = words.windows(may_follow, order)
+            rows, n = words.windows(filters, order)
             names = pa.concat_arrays([words.names, pa.array([b""], pa.large_binary())]).cast(pa.binary()).cast(pa.string())
             out = [pa.array(words.lang_names, pa.string()).take(pa.array(rows[:, 0])), *[names.take(pa.array(rows[:, k])) for k in range(1, order + 1)]]
             yield pa.RecordBatch.from_arrays([*out, pa.array(n)], names=["lang", *columns, "n"])
