@@ -27,7 +27,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the least node of it) of every node that a link has. ``edges``: ``u, v``.
 
     A node with very many links is summed up by partial aggregation and its rows go out to its neighbours, so no
@@ -37,14 +37,12 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
     before = None
-    for _ in range(rounds):
+    while True:
         now = materialize(_stars(_stars(now, True), False), "stars")
         state = tuple(now.agg(F.count("*"), total).collect()[0])
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError(f"links did not settle in {rounds} rounds")
     # Settled, each node but the least links to the least of its component.
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

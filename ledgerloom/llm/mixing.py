@@ -31,8 +31,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 WORD = r"[^\x20\x09-\x0D]+"
-#: numpy draws hypergeometric counts below this; a larger node is dealt in proportion.
-_DRAWN = 10**9
+#: numpy draws hypergeometric counts of populations below this; larger ones are drawn by ``_hypergeometric``.
+_NUMPY_DRAWS = 10**9
 
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -103,15 +103,32 @@ def plan(sizes: DataFrame, *, block_words: int, shard_slots: int, seed: int) ->
     return Mix([s for s, _ in rows], words, goal, blocks, wanted, seed, shard_slots)
 
 
+def _hypergeometric(good: int, bad: int, sample: int, rng: np.random.Generator) -> int:
+    """How many of ``sample`` drawn without return are good, by inversion: probabilities follow from their ratios to their
+    neighbours, over 14 deviations to either side of the mode, outside of which lies less than double precision can tell."""
+    if not good or not sample:
+        return 0
+    n = good + bad
+    mode = (sample + 1) * (good + 1) // (n + 2)
+    reach = 40 + int(14 * np.sqrt(sample * (good / n) * (bad / n) * ((n - sample) / max(1, n - 1))))
+    lo, hi = max(0, sample - bad, mode - reach), min(good, sample, mode + reach)
+    k = np.arange(lo, hi, dtype=np.float64)
+    steps = np.log(good - k) + np.log(sample - k) - np.log(k + 1) - np.log(bad - sample + k + 1)
+    logs = np.concatenate(([0.0], np.cumsum(steps)))
+    upto = np.cumsum(np.exp(logs - logs.max()))
+    return lo + int(np.searchsorted(upto, rng.random() * upto[-1], side="right"))
+
+
 def _halve(counts: np.ndarray, left: int, rng: np.random.Generator) -> np.ndarray:
     """How much of ``counts`` falls among the first ``left`` of ``counts.sum()`` slots in random order."""
-    total = int(counts.sum())
-    if total < _DRAWN:
+    rest = int(counts.sum())
+    if rest < _NUMPY_DRAWS:
         return rng.multivariate_hypergeometric(counts, left, method="marginals")
-    exact = counts * (left / total)
-    out = np.floor(exact).astype(np.int64)
-    order = np.argsort(-(exact - out + 1e-9 * rng.random(len(out))))
-    out[order[: left - int(out.sum())]] += 1
+    out = np.zeros_like(counts)
+    for i, count in enumerate(counts.tolist()):
+        rest -= count
+        out[i] = _hypergeometric(count, rest, left, rng)
+        left -= int(out[i])
     return out
 
 
@@ -186,8 +203,10 @@ def placed(rows: DataFrame, *, bucket_rows: int = 50_000) -> DataFrame:
     per_source = rows.groupBy("source").count().groupBy().agg(F.sum("count").alias("n"))
     n = per_source.collect()[0]["n"] or 0
     buckets = max(1, -(-n // bucket_rows))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "size", F.lit(17)), F.lit(buckets)))
-    inside = Window.partitionBy("source", "_bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    # All columns that tell rows apart: rows without id, or that repeat one, are spread and have an order too.
+    by = ["doc_id", "size", *[c for c in rows.columns if c not in ("doc_id", "size", "source")]]
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*by, F.lit(17)), F.lit(buckets)))
+    inside = Window.partitionBy("source", "_bucket").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("source", "_bucket")
@@ -247,7 +266,8 @@ def mix_documents(docs: DataFrame, *, block_words: int = 64, **options) -> DataF
     repeat an id are documents of their own. Reruns on the same rows agree, however the table is split. An empty table
     gives an empty table. Columns other than ``doc_id, text, source`` are not looked at.
     """
-    _, rows, drawn = mixture(docs, block_words=block_words, **options)
+    keyed = docs.select("doc_id", "source", "text").withColumn("__row", F.xxhash64("text"))
+    _, rows, drawn = mixture(keyed, "__row", block_words=block_words, **options)
     times = drawn.groupBy("source_no", "block").agg(F.count("*").alias("times"))
     words = (F.col("to_word") - F.col("from_word")) * F.coalesce("times", F.lit(0))
     result = ["doc_id", "size", "source_size", "target"]

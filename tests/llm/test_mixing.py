@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from helpers import awkward, awkward_rows, empty, rows_of, with_clashes, words
+from helpers import SHAPE, awkward, awkward_rows, empty, rows_of, with_clashes, words
 
 from ledgerloom.llm import mixing
 
@@ -148,3 +148,29 @@ def test_awkward_rows_are_mixed(spark):
     assert mixing.mixed_documents(empty(spark)).count() == 0
     pieces = mixing.mixed_documents(docs, block_words=64)
     assert pieces.schema == docs.schema and pieces.count() > 0
+
+
+def test_large_nodes_are_drawn_like_small_ones(monkeypatch):
+    rng = np.random.default_rng(3)
+    for good, bad, sample in ((40, 60, 30), (5, 1000, 500), (3000, 10, 1500), (0, 5, 3), (7, 0, 4)):
+        own = np.array([mixing._hypergeometric(good, bad, sample, rng) for _ in range(4000)])
+        numpy = rng.hypergeometric(good, bad, sample, 4000)
+        assert own.min() >= max(0, sample - bad) and own.max() <= min(good, sample)
+        assert abs(own.mean() - numpy.mean()) < 0.12 * max(numpy.std(), 0.01) and abs(own.std() - numpy.std()) < 0.1 * max(numpy.std(), 0.01)
+    counts = np.array([5 * 10**10, 3, 0, 2 * 10**10, 10**9], dtype=np.int64)
+    left = 3 * 10**10
+    drawn = mixing._halve(counts, left, rng)
+    assert drawn.sum() == left and (drawn >= 0).all() and (drawn <= counts).all()
+    share = left / counts.sum()
+    off = np.abs(drawn - counts * share)[[0, 3, 4]]
+    assert (off > 0).any() and (off < 6 * np.sqrt(counts[[0, 3, 4]] * share)).all()
+
+
+def test_rows_without_id_or_with_one_id_mix_alike_in_any_order(spark):
+    rows = [(None if i % 2 else 7, " ".join(words(40, i)), "en", "a" if i % 3 else None, None) for i in range(300)]
+    one = spark.createDataFrame(rows, SHAPE).repartition(2)
+    two = spark.createDataFrame(rows[::-1], SHAPE).repartition(7)
+    for function in (mixing.mixed_documents, mixing.mix_documents):
+        options = {"block_words": 16}
+        a, b = (function(df, **options) for df in (one, two))
+        assert rows_of(a, *a.columns) == rows_of(b, *b.columns)
