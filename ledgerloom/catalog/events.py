@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +23,7 @@ from ledgerloom.catalog.inputs import (
 )
 from ledgerloom.catalog.registry import micros, query, rounded
 from ledgerloom.operators.datasets import label_rate
+from ledgerloom.operators.deep_forest import fit_deep_forest
 from ledgerloom.operators.parsing import copy_event_time, dead_letters, parse_transactions, valid_rows
 from ledgerloom.operators.scoring import (
     THRESHOLD,
@@ -43,6 +48,7 @@ from ledgerloom.operators.splitting import group_split, random_split
 from ledgerloom.plans.fraud import run_batch, run_training, train
 from ledgerloom.schemas import TRANSACTION
 from ledgerloom.session import materialize, scratch_path
+from ledgerloom.sources.commits import read_committed, stream_committed, write_committed
 from ledgerloom.sources.readers import read_lines, read_transactions, stream_lines
 from ledgerloom.sources.writers import json_rows, load_model
 from ledgerloom.streaming.fraud import FraudStream
@@ -416,6 +422,37 @@ def _(spark, sf_dir):
     return checks.withColumn("same_support", F.col("support") == F.col("support_of_classes")).drop("support", "support_of_classes")
 
 
+@query("deep_forest", """
+    SELECT count(*) AS scored, true AS told_apart, true AS deeper, true AS at_least_as_good
+    FROM events WHERE event_id % 5 = 0""")
+def _(spark, sf_dir):
+    """Trees grown to the end on a label that alternates along the amount: each leaf has one class or rows that are alike,
+    trees are deeper than ten levels, and held-out rows are told at least as well as by ten levels."""
+    alternating = F.col("rank") % 2 == 1
+    ranked = transactions(spark, sf_dir).withColumn("rank", F.floor(F.log1p("amount") * 8).cast("long"))
+    rows = materialize(enrich_with_sessions(ranked.withColumn("is_fraud", alternating)), "training")
+    held_out = F.col("transaction_id") % 5 == 0
+    learning = materialize(rows.where(~held_out), "learning")
+    forest = fit_deep_forest(learning, trees=10, node_rows=5_000)
+    shallow = fit_forest(learning, trees=10)
+
+    tested = rows.where(held_out)
+    right = F.count_if(F.col("fraud_predicted") == F.col("is_fraud"))
+    mixed_leaves = F.expr("size(filter(arrays_zip(feature, share), n -> n.feature < 0 AND n.share > 0 AND n.share < 1))")
+    parts = (
+        forest.score(tested, 0.5).agg(F.count(F.lit(1)).alias("scored"), right.alias("deep"))
+        .unionByName(score_rows(tested, shallow, 0.5).agg(right.alias("ten")), allowMissingColumns=True)
+        .unionByName(
+            forest.nodes.agg(F.every(mixed_leaves == F.col("mixed")).alias("told_apart"), (F.max("levels") > 10).alias("deeper")),
+            allowMissingColumns=True,
+        )
+    )
+    return parts.agg(
+        F.max("scored").alias("scored"), F.every("told_apart").alias("told_apart"), F.every("deeper").alias("deeper"),
+        (F.max("deep") >= F.max("ten")).alias("at_least_as_good"),
+    )
+
+
 @query(
     "scored_transactions",
     """SELECT event_id AS transaction_id, true AS in_range, true AS four_digits, true AS flag_agrees, true AS route_agrees
@@ -600,3 +637,42 @@ def _(spark, sf_dir):
     run(*[events.where(part == k) for k in (0, 1)])
     run(events.where(part == 2), events.where(part == 3).unionByName(too_late), ahead)
     return _sessions(spark.read.parquet(out).where("user_id >= 0"))
+
+
+@query("branch_sink_commit", f"""
+    WITH lines AS ({LINES_SQL})
+    SELECT value, CASE WHEN kind <= 3 THEN 'dead_letter' ELSE 'valid' END AS route FROM lines""")
+def _(spark, sf_dir):
+    """Lines through the sink with commits. A batch job writes those of even events: it fails half-way, shows nothing, and is
+    run again. A stream adds the others: it fails in its second micro-batch and goes on from its checkpoint."""
+    source, out, state = (scratch_path(spark, p) for p in ("lines", "committed", "state"))
+    lines = transaction_lines(spark, sf_dir).withColumn("id", F.regexp_extract("value", '"transaction_id":"([^"]*)"', 1).cast("long"))
+
+    def routed_lines(some: DataFrame) -> DataFrame:
+        return parse_transactions(some.select("value")).select("value", F.col("parse_status").alias("route"))
+
+    def fails(some: DataFrame, marked) -> DataFrame:
+        return some.withColumn("value", F.when(marked, F.raise_error(F.lit("half-way"))).otherwise(F.col("value")))
+
+    def attempt(action: Callable[[], object]) -> None:
+        try:
+            action()
+        except (PySparkException, Py4JJavaError) as failure:
+            if "half-way" not in str(failure):
+                raise
+        else:
+            raise AssertionError("the job was to fail")
+
+    even = routed_lines(lines.where("id % 2 = 0")).repartition(8)
+    attempt(lambda: write_committed(fails(even, F.spark_partition_id() == 7), out, job="even"))
+    if not read_committed(spark, out).isEmpty():
+        raise AssertionError("lines of a failed job are shown")
+    write_committed(even, out, job="even")
+
+    for k in range(3):
+        lines.where((F.col("id") % 2 == 1) & (F.col("id") % 3 == k)).select("value").coalesce(1).write.mode("append").text(source)
+    odd = routed_lines(stream_lines(spark, source, files_per_batch=1))
+    second = F.regexp_extract("value", '"transaction_id":"([^"]*)"', 1).cast("long") % 3 == 1
+    attempt(lambda: stream_committed(fails(odd, second), out, state).trigger(availableNow=True).start().awaitTermination())
+    stream_committed(odd, out, state).trigger(availableNow=True).start().awaitTermination()
+    return read_committed(spark, out)
