@@ -19,6 +19,7 @@ from ledgerloom.catalog.inputs import (
 from ledgerloom.catalog.registry import query, rounded
 from ledgerloom.functions.hashing import seeded_hash
 from ledgerloom.functions.syntax import is_valid_python
+from ledgerloom.operators.epochs import fit_epochs
 from ledgerloom.operators.datasets import (
     analysis_totals,
     label_to_int,
@@ -683,10 +684,34 @@ def _(spark, sf_dir):
         "target",
         p.between(0, 1).alias("in_range"),
         (F.col("prediction") == (p > 0.5).cast("int")).alias("likelier_class"),
-        F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("n"),
+        rows.agg(F.count(F.lit(1))).scalar().alias("n"),
     )
 
 
+@query(
+    "classifier_epochs",
+    f"""SELECT split, count(*) AS n, true AS no_worse_than_the_share, true AS resumed_as_unbroken, true AS better_than_the_majority
+        FROM ({LABELLED_SQL}) GROUP BY split""",
+)
+def _(spark, sf_dir):
+    """Five epochs at once, and three with two more later: the same weights, and better than the share of the classes."""
+    rows = materialize(labelled(spark, sf_dir).select("doc_id", "func", "target", "split"), "labelled")
+    train, validation = (rows.where(F.col("split") == s) for s in ("train", "validation"))
+    whole, broken = scratch_path(spark, "epochs"), scratch_path(spark, "epochs")
+    model = fit_epochs(train, validation, whole, 5)
+    fit_epochs(train, validation, broken, 3)
+    resumed = fit_epochs(train.repartition(3), validation, broken, 5)
+    loss = {r["epoch"]: r["loss"] for r in model.losses.collect()}
+    same = model.epoch == resumed.epoch and bool(abs(model.weights - resumed.weights).max() < 1e-9)
+    right = F.avg((F.col("prediction") == F.col("target")).cast("int"))
+    majority = F.greatest(F.avg("target"), 1 - F.avg("target"))
+    tested = model.classify(rows.where(F.col("split") == "test")).agg((right > majority).alias("better")).scalar()
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n")).select(
+        "split", "n", F.lit(loss[model.epoch] <= loss[0]).alias("no_worse_than_the_share"), F.lit(same).alias("resumed_as_unbroken"),
+        tested.alias("better_than_the_majority"),
+    )
+
+
 @query(
     "resumed_predictions",
     f"SELECT target AS true_label, prediction, count(*) AS n, true AS in_batches_of_5 FROM ({JUDGED_SQL}) GROUP BY ALL",
