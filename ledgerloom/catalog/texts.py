@@ -444,11 +444,19 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Every row, and whether its seeded hash is at least that of the row before it."""
     shuffled = shuffle_rows(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
-    placed = shuffled.withColumns(
-        {"_place": F.monotonically_increasing_id(), "_h": F.shiftrightunsigned(seeded_hash(42, F.col("doc_id")), 1)}
-    )
-    before = F.lag("_h").over(Window.partitionBy(F.lit(0)).orderBy("_place"))
-    return placed.select("doc_id", "lang", F.coalesce(before <= F.col("_h"), F.lit(True)).alias("in_order"))
+    placed = materialize(
+        shuffled.withColumns({
+            "_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id(),
+            "_h": F.shiftrightunsigned(seeded_hash(42, F.col("doc_id")), 1),
+        }),
+        "shuffled",
+    )
+    # Neighbours are compared inside their partition; between partitions, of which there is a row each, only the edges.
+    edges = placed.groupBy("_part").agg(F.max("_h").alias("_last"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select("_part", F.max("_last").over(earlier).alias("_before"))
+    before = F.coalesce(F.lag("_h").over(Window.partitionBy("_part").orderBy("_place")), F.col("_before"))
+    return placed.join(edges, "_part").select("doc_id", "lang", F.coalesce(before <= F.col("_h"), F.lit(True)).alias("in_order"))
 
 
 @query(
@@ -659,7 +667,8 @@ def _(spark, sf_dir):
     rows = tokenized_inputs(documents, "text").withColumn("_tokens", F.slice(tokens(F.col("text")), 1, 512))
     ids, mask = F.col("input_ids"), F.col("attention_mask")
     used = F.aggregate(mask, F.lit(0), lambda total, x: total + x)
-    pairs = F.arrays_zip(F.col("_tokens").alias("t"), F.slice(ids, F.lit(1), F.size("_tokens")).alias("i"))
+    # As strings, since distinct structs are found by comparing all pairs.
+    pairs = F.zip_with("_tokens", F.slice(ids, F.lit(1), F.size("_tokens")), lambda t, i: F.concat(i.cast("string"), F.lit(" "), t))
     return rows.select(
         "doc_id",
         F.size(ids).alias("length"),
