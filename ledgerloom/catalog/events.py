@@ -53,7 +53,7 @@ from ledgerloom.sources.readers import read_lines, read_transactions, stream_lin
 from ledgerloom.sources.writers import json_rows, load_model
 from ledgerloom.streaming.fraud import FraudStream
 from ledgerloom.streaming.sessions import TOTALS, session_totals
-from ledgerloom.streaming.stateful import session_feature_stream, use_rocksdb
+from ledgerloom.streaming.stateful import session_feature_stream, use_rocksdb, without_repeats
 
 HALF_HOUR, SIX_HOURS = 1800, 21_600
 DAY_MICROS = 86_400_000_000
@@ -610,32 +610,55 @@ def _(spark, sf_dir):
     return _totals(spark.read.parquet(out).where("user_id >= 0"))
 
 
+def _in_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """Events with ``part``, the quarter of the time span that they lie in, a row far ahead that closes all sessions, the beginning
+    of the time span and the length of a quarter, both in microseconds."""
+    events = transactions(spark, sf_dir).drop("is_fraud").withColumn("event_time", F.col("event_time").cast("timestamp"))
+    first, last = events.agg(F.unix_micros(F.min("event_time")), F.unix_micros(F.max("event_time"))).first()
+    quarter = (last - first) // 4 + 1
+    ahead = events.limit(1).withColumns({
+        "user_id": F.lit(-1).cast("long"), "transaction_id": F.lit(-1).cast("long"),
+        "event_time": F.timestamp_micros(F.lit(last + 3 * quarter + 2 * DAY_MICROS)),
+    })
+    return events.withColumn("part", F.floor((F.unix_micros("event_time") - first) / quarter)), ahead, first, quarter
+
+
+def _arriving_files(spark: SparkSession, path: str, *parts: DataFrame) -> DataFrame:
+    """Put a file for each part there and read the folder as a stream, a file at a time."""
+    for some in parts:
+        some.drop("part").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(parts[0].drop("part").schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _drain(stream: DataFrame, out: str, state: str) -> None:
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 @query("stream_session_features", _sessions_oracle(HALF_HOUR))
 def _(spark, sf_dir):
     """All nine features from keyed state: four files of events, every fiftieth of which comes a file later, and with the last
     file events that are too late to count. The query is stopped after two files and goes on from its checkpoint."""
     use_rocksdb(spark)
     source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
-    events = transactions(spark, sf_dir).drop("is_fraud").withColumn("event_time", F.col("event_time").cast("timestamp"))
-    first, last = events.agg(F.unix_micros(F.min("event_time")), F.unix_micros(F.max("event_time"))).first()
-    quarter = (last - first) // 4 + 1
-    part = F.floor((F.unix_micros("event_time") - first) / quarter)
-    part = F.least(F.lit(3), F.when(F.col("transaction_id") % 50 == 49, part + 1).otherwise(part))
+    events, ahead, first, quarter = _in_files(spark, sf_dir)
+    part = F.least(F.lit(3), F.when(F.col("transaction_id") % 50 == 49, F.col("part") + 1).otherwise(F.col("part")))
+    files = [events.where(part == k) for k in range(4)]
     too_late = events.where(F.unix_micros("event_time") < first + quarter // 2).withColumn("amount", F.lit(1e9))
-    ahead = events.limit(1).withColumns({
-        "user_id": F.lit(-1).cast("long"), "event_time": F.timestamp_micros(F.lit(last + quarter + 2 * DAY_MICROS)),
-    })
+    for some in (files[:2], [files[2], files[3].unionByName(too_late), ahead]):
+        _drain(session_feature_stream(_arriving_files(spark, source, *some), f"{quarter} microseconds"), out, state)
+    return _sessions(spark.read.parquet(out).where("user_id >= 0"))
 
-    def run(*parts: DataFrame) -> None:
-        for some in parts:
-            some.select(events.columns).coalesce(1).write.mode("append").parquet(source)
-        arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-        closed = session_feature_stream(arriving, f"{quarter} microseconds")
-        writer = closed.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
-        writer.trigger(availableNow=True).start().awaitTermination()
 
-    run(*[events.where(part == k) for k in (0, 1)])
-    run(events.where(part == 2), events.where(part == 3).unionByName(too_late), ahead)
+@query("stream_deduplicated", _sessions_oracle(HALF_HOUR))
+def _(spark, sf_dir):
+    """Each event delivered twice, the second time with the next file: the sessions are those of events delivered once."""
+    use_rocksdb(spark)
+    source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
+    events, ahead, _, quarter = _in_files(spark, sf_dir)
+    files = [events.where(F.col("part").isin(k, k - 1)) for k in range(5)]
+    once = without_repeats(_arriving_files(spark, source, *files, ahead), f"{2 * quarter} microseconds")
+    _drain(session_feature_stream(once, None), out, state)
     return _sessions(spark.read.parquet(out).where("user_id >= 0"))
 
 

@@ -160,19 +160,20 @@ def _texts(column: pd.Series) -> list[str | None]:
 
 
 def session_feature_stream(
-    df: DataFrame, delay: str, cols: EventColumns = EventColumns(), gap_seconds: float = SESSION_GAP_SECONDS
+    df: DataFrame, delay: str | None, cols: EventColumns = EventColumns(), gap_seconds: float = SESSION_GAP_SECONDS
 ) -> DataFrame:
     """Key, ``session_start``, ``session_end`` and the nine features of every session of a stream, once it is closed.
 
     Equal to ``session_features`` of the same rows as a table, in whatever order they arrive within ``delay``; rows that
-    are later are dropped by Spark. A session is closed when the watermark is a gap behind its last event.
+    are later are dropped by Spark. A session is closed when the watermark is a gap behind its last event. ``delay`` is None
+    for a stream that has its watermark, as one from ``without_repeats``.
     """
     gap = round(gap_seconds * MICROS)
     if gap <= 0:
         raise ValueError("the session gap must be positive")
     # Ties in time go by id, so numbers must stay numbers.
     id_type = "long" if isinstance(df.schema[cols.row_id].dataType, T.IntegralType) else "string"
-    rows = df.withWatermark(cols.time, delay).select(
+    rows = (df if delay is None else df.withWatermark(cols.time, delay)).select(
         F.col(cols.key).alias("session_key"), F.col(cols.time).alias("at_time"), F.unix_micros(cols.time).alias("at_us"),
         F.col(cols.row_id).cast(id_type).alias("row_id"), F.col(cols.amount).cast("double").alias("amount"),
         F.col(cols.category).cast("string").alias("category"), F.col(cols.location).cast("string").alias("location"),
@@ -187,3 +188,17 @@ def session_feature_stream(
         F.col("key").alias(cols.key), F.timestamp_micros("first").alias("session_start"),
         F.timestamp_micros(F.col("last") + gap).alias("session_end"), *SESSION_FEATURES,
     )
+
+
+def without_repeats(df: DataFrame, delay: str, row_id: str = "transaction_id", time: str = "event_time") -> DataFrame:
+    """A stream with each event once, however often it is delivered within ``delay``: of the rows with one id the first to
+    come. The state is an id and a time, for as long. Rows without id count as one event."""
+    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([row_id])
+
+
+def repeats(df: DataFrame, delay: str, row_id: str = "transaction_id", time: str = "event_time") -> DataFrame:
+    """The branch beside it: the id, first and last time, and ``n_repeats`` of each event that is delivered more than once, when
+    the watermark is ``delay`` behind its last delivery. Spark's session windows keep a row per id."""
+    deliveries = df.withWatermark(time, delay).groupBy(row_id, F.session_window(time, delay).alias("w"))
+    counted = deliveries.agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("first"), F.max(time).alias("last"))
+    return counted.where("n > 1").select(row_id, "first", "last", (F.col("n") - 1).alias("n_repeats"))

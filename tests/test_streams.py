@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.sessions import SESSION_FEATURES, session_features
-from ledgerloom.streaming.stateful import session_feature_stream, use_rocksdb
+from ledgerloom.streaming.stateful import repeats, session_feature_stream, use_rocksdb, without_repeats
 
 SHAPE = "user_id string, transaction_id {}, amount double, merchant_category string, location string, event_time timestamp"
 START = datetime(2024, 3, 1)
@@ -59,3 +59,21 @@ def test_all_features_from_keyed_state(spark, tmp_path, numbered):
 def test_the_gap_must_be_positive(spark):
     with pytest.raises(ValueError):
         session_feature_stream(spark.createDataFrame([], SHAPE.format("long")), "1 hour", gap_seconds=0)
+
+
+def test_events_delivered_again(spark, tmp_path):
+    use_rocksdb(spark)
+    shape = SHAPE.format("long")
+    rows = events(4, 80, 0, 20, True)
+    ahead = [("end", -1, 1.0, "x", "u", START + timedelta(days=30))]
+    source = str(tmp_path / "in")
+    for some in (rows[:50], rows[30:] + rows[40:45], ahead):  # 30 to 49 twice, of these 40 to 44 a third time
+        spark.createDataFrame(some, shape).coalesce(1).write.mode("append").parquet(source)
+    for name, stream in (("once", without_repeats), ("again", repeats)):
+        arriving = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(source)
+        writer = stream(arriving, "1 day").writeStream.format("parquet").option("path", str(tmp_path / name))
+        writer.option("checkpointLocation", str(tmp_path / f"state-{name}")).trigger(availableNow=True).start().awaitTermination()
+    once = spark.read.parquet(str(tmp_path / "once"))
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, spark.createDataFrame(rows + ahead, shape).collect()))
+    found = {r["transaction_id"]: r["n_repeats"] for r in spark.read.parquet(str(tmp_path / "again")).collect()}
+    assert found == {rows[i][1]: 2 if 40 <= i < 45 else 1 for i in range(30, 50)}
