@@ -33,7 +33,7 @@ from ledgerloom.session import scratch_path
 
 WHITE = b" \t\n\x0b\x0c\r"
 FINEST = 16
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 WINDOW_BYTES = 16 << 20
 #: Parts that the entries of one text are dealt into when they are summed up and joined.
 SALTS = 64
