@@ -631,15 +631,18 @@ def _arriving_files(spark: SparkSession, path: str, *parts: DataFrame) -> DataFr
 
 
 def _drain(stream: DataFrame, out: str, state: str) -> None:
-    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    before = use_rocksdb(stream.sparkSession)
+    try:
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        use_rocksdb(stream.sparkSession, before)
 
 
 @query("stream_session_features", _sessions_oracle(HALF_HOUR))
 def _(spark, sf_dir):
     """All nine features from keyed state: four files of events, every fiftieth of which comes a file later, and with the last
     file events that are too late to count. The query is stopped after two files and goes on from its checkpoint."""
-    use_rocksdb(spark)
     source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
     events, ahead, first, quarter = _in_files(spark, sf_dir)
     part = F.least(F.lit(3), F.when(F.col("transaction_id") % 50 == 49, F.col("part") + 1).otherwise(F.col("part")))
@@ -653,7 +656,6 @@ def _(spark, sf_dir):
 @query("stream_deduplicated", _sessions_oracle(HALF_HOUR))
 def _(spark, sf_dir):
     """Each event delivered twice, the second time with the next file: the sessions are those of events delivered once."""
-    use_rocksdb(spark)
     source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
     events, ahead, _, quarter = _in_files(spark, sf_dir)
     files = [events.where(F.col("part").isin(k, k - 1)) for k in range(5)]

@@ -36,9 +36,12 @@ _OPEN_NAMES = [c.split()[0] for c in _OPEN.split(", ")]
 _VALUE = "kind string, missing boolean, value string"
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Let the session's streaming queries keep their state in RocksDB, which keyed state in Python needs."""
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+def use_rocksdb(spark: SparkSession, provider: str = _ROCKSDB) -> str:
+    """Let the session's streaming queries that start from now on keep their state in RocksDB, which keyed state in Python needs.
+    Returns the provider that was set before."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, provider)
+    return before
 
 
 class SessionProcessor(StatefulProcessor):
