@@ -7,7 +7,7 @@ from collections.abc import Callable
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.inputs import (
@@ -533,10 +533,21 @@ def _(spark, sf_dir):
     return read_lines(spark, out).groupBy(branch.alias("branch")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _arriving(spark: SparkSession, sf_dir: str, late: bool) -> tuple[str, float]:
-    """The lines in four files in order of time, and a quarter of the time span in seconds. ``late``: every
-    fiftieth line of the first quarter comes with the last file."""
-    path = scratch_path(spark, "lines")
+def _parted(df: DataFrame, part: Column) -> DataFrame:
+    """``value`` and ``part``, computed once and written by part."""
+    path = scratch_path(df.sparkSession, "parted")
+    df.select("value", part.cast("int").alias("part")).write.partitionBy("part").parquet(path)
+    return df.sparkSession.read.schema("value string, part int").parquet(path)
+
+
+def _deliver(lines: DataFrame, path: str) -> None:
+    """Add lines to a folder that a stream reads, by as many tasks as there are."""
+    lines.select("value").write.mode("append").text(path)
+
+
+def _arriving(spark: SparkSession, sf_dir: str, late: bool) -> tuple[DataFrame, float]:
+    """The lines with ``part``, the quarter of the time span with which they come, and a quarter in seconds. ``late``: every
+    fiftieth line of the first quarter comes with the last."""
     rows = transaction_lines(spark, sf_dir).withColumn("t", F.regexp_extract("value", '"timestamp":"([^"]*)"', 1))
     first, last = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
     quarter = (last - first) / 4
@@ -544,17 +555,18 @@ def _arriving(spark: SparkSession, sf_dir: str, late: bool) -> tuple[str, float]
     if late:
         number = F.regexp_extract("value", '"transaction_id":"([^"]*)"', 1).cast("long")
         part = F.when((part == 0) & (number % 50 == 49), F.lit(3)).otherwise(part)
-    for k in range(4):
-        rows.where(part == k).select("value").coalesce(1).write.mode("append").text(path)
-    return path, quarter.total_seconds()
+    return _parted(rows, part), quarter.total_seconds()
 
 
 def _streamed(spark: SparkSession, sf_dir: str, late: bool, delay: float | None = None) -> str:
-    out, state = scratch_path(spark, "routed"), scratch_path(spark, "state")
+    """Each quarter is a micro-batch of all files that were delivered; the stream goes on from its checkpoint with the next."""
+    out, state, source = (scratch_path(spark, p) for p in ("routed", "state", "lines"))
     lines, quarter = _arriving(spark, sf_dir, late)
     job = FraudStream(_forest(spark, sf_dir), out, state, delay_seconds=quarter if delay is None else delay)
-    running = job.start(stream_lines(spark, lines, files_per_batch=1), availableNow=True)
-    running.awaitTermination()
+    for k in range(4):
+        _deliver(lines.where(F.col("part") == k), source)
+        running = job.start(stream_lines(spark, source), availableNow=True)
+        running.awaitTermination()
     job.finish(spark, running.lastProgress["batchId"])
     return out
 
