@@ -206,7 +206,7 @@ def session_features(
     place = cells.select(F.col("_key").alias("_k"), F.col("_cell").alias("_c"), "_session")
 
     def placed(rows: DataFrame) -> DataFrame:
-        return rows.join(place, _same(F.col("_key"), F.col("_k")) & (F.col("_cell") == F.col("_c"))).drop("_k", "_c")
+        return rows.join(place.hint("merge"), _same(F.col("_key"), F.col("_k")) & (F.col("_cell") == F.col("_c"))).drop("_k", "_c")
 
     kind = F.col("_value.kind")
     values = (
@@ -236,7 +236,8 @@ def _join_on_cell(df: DataFrame, sessions: DataFrame, cols: EventColumns, gap: i
 
     Neighbouring events of a session are less than a cell apart, so its cells are contiguous
     and follow from its bounds. The join key is (key, cell): a hot key is spread over its
-    cells, and an oversized cell is an ordinary skewed join partition that AQE splits.
+    cells, and an oversized cell is an ordinary skewed join partition that AQE splits. The hint keeps either
+    side from a broadcast: a few megabytes of Parquet may be millions of rows, and their cells more.
     """
     start = F.unix_micros("session_start")
     last = F.unix_micros("session_end") - gap
@@ -247,7 +248,7 @@ def _join_on_cell(df: DataFrame, sessions: DataFrame, cols: EventColumns, gap: i
     )
     rows = _with_cell(df, cols, gap)
     on_cell = _same(F.col(cols.key), F.col("_skey")) & (F.col("_cell") == F.col("_scell"))
-    return rows.join(by_cell, on_cell).drop("_us", "_cell", "_skey", "_scell")
+    return rows.join(by_cell.hint("merge"), on_cell).drop("_us", "_cell", "_skey", "_scell")
 
 
 def rows_in_sessions(
