@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import small_batches
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -124,7 +127,9 @@ VALID_SQL = """
 
 def code_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as code, its whole text behind ``#``. By ``doc_id % 4``: 0 is a function,
-    1 has a broken header, 2 is no function, 3 is a function with a docstring."""
+    1 has a broken header, 2 is no function, 3 is a function with a docstring. Their syntax is checked in Python, so
+    the session sends few of them at a time."""
+    small_batches(spark)
     documents = table(spark, sf_dir, "documents")
     kind, name = F.col("doc_id") % 4, F.col("doc_id").cast("string")
     head = (

@@ -9,26 +9,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import small_batches  # noqa: F401  (the queries and the pipeline take it from here)
+
 #: Characters that are turned into arrays at once. Bounds a worker's memory whatever a batch holds.
 CHUNK_CHARS = 1 << 19
 
-#: Rows in a batch between Spark and Python where a row holds a whole text.
-TEXT_ROWS = 500
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Let this session send texts to Python a few at a time, unless it has its own setting.
-
-    Spark counts rows, not bytes, and sends 10,000 by default, which is a gigabyte of long texts for each task. It is a
-    setting of the session, so the operators leave it alone; the queries and the stages of the pipeline call this.
-    """
-    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(option)) == 10_000:
-        spark.conf.set(option, str(TEXT_ROWS))
-
 
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for rows that no model may learn from: crc32 of the id as text, mod 5, is 0.
