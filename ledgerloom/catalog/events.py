@@ -684,6 +684,8 @@ def _(spark, sf_dir):
     run again. A stream adds the others: it fails in its second micro-batch and goes on from its checkpoint."""
     source, out, state = (scratch_path(spark, p) for p in ("lines", "committed", "state"))
     lines = transaction_lines(spark, sf_dir).withColumn("id", F.regexp_extract("value", '"transaction_id":"([^"]*)"', 1).cast("long"))
+    # 0 to 2: what comes in each micro-batch; 3: the batch job.
+    lines = _parted(lines, F.when(F.col("id") % 2 == 0, F.lit(3)).when(F.col("id") % 2 == 1, F.col("id") % 3))
 
     def routed_lines(some: DataFrame) -> DataFrame:
         return parse_transactions(some.select("value")).select("value", F.col("parse_status").alias("route"))
@@ -700,16 +702,22 @@ def _(spark, sf_dir):
         else:
             raise AssertionError("the job was to fail")
 
-    even = routed_lines(lines.where("id % 2 = 0")).repartition(8)
+    even = routed_lines(lines.where("part = 3")).repartition(8)
     attempt(lambda: write_committed(fails(even, F.spark_partition_id() == 7), out, job="even"))
     if not read_committed(spark, out).isEmpty():
         raise AssertionError("lines of a failed job are shown")
     write_committed(even, out, job="even")
 
-    for k in range(3):
-        lines.where((F.col("id") % 2 == 1) & (F.col("id") % 3 == k)).select("value").coalesce(1).write.mode("append").text(source)
-    odd = routed_lines(stream_lines(spark, source, files_per_batch=1))
+    _deliver(lines.where("part = 0"), source)
+    odd = routed_lines(stream_lines(spark, source))
     second = F.regexp_extract("value", '"transaction_id":"([^"]*)"', 1).cast("long") % 3 == 1
-    attempt(lambda: stream_committed(fails(odd, second), out, state).trigger(availableNow=True).start().awaitTermination())
-    stream_committed(odd, out, state).trigger(availableNow=True).start().awaitTermination()
+
+    def drain(some: DataFrame) -> None:
+        stream_committed(some, out, state).trigger(availableNow=True).start().awaitTermination()
+
+    drain(fails(odd, second))
+    _deliver(lines.where("part = 1"), source)
+    attempt(lambda: drain(fails(odd, second)))
+    _deliver(lines.where("part = 2"), source)
+    drain(odd)
     return read_committed(spark, out)
