@@ -1,7 +1,8 @@
 """A balanced random forest of fully grown trees.
 
 The top of every tree is grown level by level by Spark's forest, as deep as it takes for a node to hold at most about
-``node_rows`` rows. Then each node that has more than one class, and rows that differ, is finished in a task of its own on
+``node_rows`` rows. Spark cuts each feature into bins once for all nodes, so what lies in one bin stays together: the number of
+bins grows with the rows, up to ``MOST_BINS``, and a node may have twice the rows of a bin. Then each node that has more than one class, and rows that differ, is finished in a task of its own on
 its rows alone: split by split, until a leaf has one class or rows that are all alike. A tree finishes its nodes on a
 sample of their rows with replacement (a Poisson count by row and tree) and looks at the square root of the features for a
 split, at more if these are constant. Class weights count in both parts.
@@ -30,6 +31,8 @@ NODE_ROWS = 50_000
 SCORED_ROWS = 500_000
 #: Levels that Spark's forest allows.
 MOST_LEVELS = 30
+#: Bins of a feature; Spark draws their square of rows to find them.
+MOST_BINS = 256
 
 _NODE = (
     "tree int, leaf long, feature array<int>, threshold array<double>, below array<int>, above array<int>, share array<double>, "
@@ -118,12 +121,12 @@ class DeepForest:
         parts = max(1, -(-rows.count() // SCORED_ROWS))
         reached = _reached(self.top, rows.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(parts))), self.columns, "_row", "_salt")
         nodes = self.nodes.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-        names = ["tree", "leaf", "_salt"]
+        names, x = ["tree", "leaf", "_salt"], _names(self.columns)
 
         def score(rows: pd.DataFrame, node: pd.DataFrame) -> pd.DataFrame:
             if not len(rows):
                 return pd.DataFrame({"_row": [], "_p": []})
-            return pd.DataFrame({"_row": rows["_row"], "_p": _shares(np.stack(rows["_x"]), node.iloc[0])})
+            return pd.DataFrame({"_row": rows["_row"], "_p": _shares(rows[x].to_numpy(), node.iloc[0])})
 
         each = reached.groupBy(*names).cogroup(nodes.groupBy(*names)).applyInPandas(score, "_row long, _p double")
         return each.groupBy("_row").agg(F.avg("_p").alias("_p"))
@@ -143,13 +146,18 @@ class DeepForest:
         return cls(PipelineModel.load(f"{path}/top"), spark.read.parquet(f"{path}/nodes"), columns)
 
 
+def _names(columns: tuple[str, ...]) -> list[str]:
+    return [f"_x{i}" for i in range(len(columns))]
+
+
 def _reached(top: PipelineModel, rows: DataFrame, columns: tuple[str, ...], *keep: str) -> DataFrame:
-    """For every row and tree: the leaf of the top that it reaches, its features as ``_x``, and the columns ``keep``."""
+    """For every row and tree: the leaf of the top that it reaches, its features as ``_x0``, ``_x1`` and so on, since an array
+    for each row would be an object of its own in Python, and the columns ``keep``."""
     top.stages[-1].setLeafCol("_leaves")
-    x = F.array(*[f"_f_{c}" for c in columns]).alias("_x")
+    x = [F.col(f"_f_{c}").alias(name) for c, name in zip(columns, _names(columns), strict=True)]
     return (
         top.transform(fill_features(rows, columns))
-        .select(x, *keep, F.posexplode(vector_to_array("_leaves")).alias("tree", "leaf"))
+        .select(*x, *keep, F.posexplode(vector_to_array("_leaves")).alias("tree", "leaf"))
         .withColumn("leaf", F.col("leaf").cast("long"))
     )
 
@@ -170,32 +178,37 @@ def fit_deep_forest(
 ) -> DeepForest:
     """Fit on the rows of ``df`` that have a label.
 
-    Spark's forest is made deeper until every open node has at most ``node_rows`` rows; a node that still has more at 30 levels
-    is finished all the same, by a task that holds its rows.
+    Spark's forest is made deeper until every open node has at most ``node_rows`` rows, or twice those of a bin if that is
+    more; a node that still has more at 30 levels, or where more levels do not part it, is finished all the same, by a task
+    that holds its rows.
     """
     columns = tuple(columns)
+    x = _names(columns)
     rows = df.where(F.col(label).isNotNull()).withColumn("_label", F.col(label).cast("int").cast("double"))
     rows = materialize(with_class_weight(rows, "_label").withColumn("_row", F.monotonically_increasing_id()), "deep-training")
     n = rows.count()
-    depth = max(0, math.ceil(math.log2(max(1, n / node_rows))))
+    bins = min(MOST_BINS, max(32, math.ceil(2 * n / node_rows)))
+    bound, before = max(node_rows, math.ceil(2 * n / bins)), math.inf
+    depth = max(0, math.ceil(math.log2(max(1, n / bound))))
     while True:
-        top = fit_forest(rows.drop("weight", "_label"), label, trees, depth, seed, columns)
+        top = fit_forest(rows.drop("weight", "_label"), label, trees, depth, seed, columns, bins)
         reached = materialize(_reached(top, rows, columns, "_row", "_label", "weight"), "reached")
-        varied = sum(((F.max(F.col("_x")[i]) > F.min(F.col("_x")[i])).cast("int") for i in range(len(columns))), F.lit(0))
+        varied = sum(((F.max(c) > F.min(c)).cast("int") for c in x), F.lit(0))
         found = reached.groupBy("tree", "leaf").agg(
             F.count(F.lit(1)).alias("n"), (F.sum(F.col("weight") * F.col("_label")) / F.sum("weight")).alias("share"),
             ((F.min("_label") < F.max("_label")) & (varied > 0)).alias("open"), (F.min("_label") < F.max("_label")).cast("int").alias("mixed"),
         )
         found = materialize(found, "tops")
         largest = found.where("open").agg(F.max("n")).first()[0] or 0
-        if largest <= node_rows or depth >= MOST_LEVELS:
+        if largest <= bound or largest >= before or depth >= MOST_LEVELS:
             break
-        depth = min(MOST_LEVELS, depth + max(1, math.ceil(math.log2(largest / node_rows))))
+        before = largest
+        depth = min(MOST_LEVELS, depth + max(1, math.ceil(math.log2(largest / bound))))
 
     def finish(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_row")  # whatever order the shuffle brought
         weight = rows["weight"].to_numpy() * rows["_times"].to_numpy()
-        out = grow(np.stack(rows["_x"]), rows["_label"].to_numpy(), weight, np.random.default_rng((seed, *key)))
+        out = grow(rows[x].to_numpy(), rows["_label"].to_numpy(), weight, np.random.default_rng((seed, *key)))
         names = ["feature", "threshold", "below", "above", "share", "levels", "mixed"]
         return pd.DataFrame({"tree": [key[0]], "leaf": [key[1]], **{name: [v] for name, v in zip(names, out, strict=True)}})
 

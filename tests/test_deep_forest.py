@@ -60,3 +60,11 @@ def test_one_class_only(spark):
     rows = stripes(spark, 50).withColumn("is_fraud", F.lit(True))
     scored = fit_deep_forest(rows, trees=3, columns=("a", "b")).score(rows)
     assert [r["fraud_score"] for r in scored.collect()] == [1.0] * 50
+
+
+def test_nodes_within_a_bin_are_bounded(spark):
+    """With 32 bins leaves would have a hundred rows and more, whatever the levels, and Spark would be asked for 30 of them."""
+    rows = spark.range(4000).select("id", F.rand(1).alias("a"), (F.rand(2) > 0.5).alias("is_fraud"))
+    forest = fit_deep_forest(rows, trees=2, columns=("a",), node_rows=50)
+    top = forest.top.stages[-1]
+    assert top.getMaxBins() == 160 and top.getMaxDepth() < 30
