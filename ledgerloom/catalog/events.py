@@ -635,44 +635,56 @@ def _in_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, i
     return events.withColumn("part", F.floor((F.unix_micros("event_time") - first) / quarter)), ahead, first, quarter
 
 
-def _arriving_files(spark: SparkSession, path: str, *parts: DataFrame) -> DataFrame:
-    """Put a file for each part there and read the folder as a stream, a file at a time."""
-    for some in parts:
-        some.drop("part").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(parts[0].drop("part").schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def _drain(stream: DataFrame, out: str, state: str) -> None:
-    before = use_rocksdb(stream.sparkSession)
+def _drain(stream: DataFrame, out: str, state: str, last: bool = True) -> None:
+    """Take what has arrived as one micro-batch; behind the last one, another closes what the watermark has passed by then."""
+    spark = stream.sparkSession
+    more = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before, closing = use_rocksdb(spark), spark.conf.get(more)
+    spark.conf.set(more, str(last).lower())
     try:
         writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
         writer.trigger(availableNow=True).start().awaitTermination()
     finally:
-        use_rocksdb(stream.sparkSession, before)
+        spark.conf.set(more, closing)
+        use_rocksdb(spark, before)
+
+
+def _deliver_each(streamed: Callable[[DataFrame], DataFrame], deliveries: list[DataFrame], out: str, state: str) -> None:
+    """Deliver events part after part, each by as many tasks as there are. Each is a micro-batch, behind which the query stops
+    and goes on from its checkpoint with the next."""
+    spark = deliveries[0].sparkSession
+    source = scratch_path(spark, "events")
+    for k, some in enumerate(deliveries, 1):
+        rows = some.drop("part")
+        rows.write.mode("append").parquet(source)
+        _drain(streamed(spark.readStream.schema(rows.schema).parquet(source)), out, state, last=k == len(deliveries))
 
 
 @query("stream_session_features", _sessions_oracle(HALF_HOUR))
 def _(spark, sf_dir):
-    """All nine features from keyed state: four files of events, every fiftieth of which comes a file later, and with the last
-    file events that are too late to count. The query is stopped after two files and goes on from its checkpoint."""
-    source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
+    """All nine features from keyed state: four deliveries of events, every fiftieth of which comes a delivery later, and with the
+    last one events that are too late to count. The query is stopped after each and goes on from its checkpoint."""
+    out, state = (scratch_path(spark, p) for p in ("closed", "state"))
     events, ahead, first, quarter = _in_files(spark, sf_dir)
     part = F.least(F.lit(3), F.when(F.col("transaction_id") % 50 == 49, F.col("part") + 1).otherwise(F.col("part")))
-    files = [events.where(part == k) for k in range(4)]
+    parts = [events.where(part == k) for k in range(4)]
     too_late = events.where(F.unix_micros("event_time") < first + quarter // 2).withColumn("amount", F.lit(1e9))
-    for some in (files[:2], [files[2], files[3].unionByName(too_late), ahead]):
-        _drain(session_feature_stream(_arriving_files(spark, source, *some), f"{quarter} microseconds"), out, state)
+    parts[3] = parts[3].unionByName(too_late)
+    _deliver_each(lambda rows: session_feature_stream(rows, f"{quarter} microseconds"), [*parts, ahead], out, state)
     return _sessions(spark.read.parquet(out).where("user_id >= 0"))
 
 
 @query("stream_deduplicated", _sessions_oracle(HALF_HOUR))
 def _(spark, sf_dir):
-    """Each event delivered twice, the second time with the next file: the sessions are those of events delivered once."""
-    source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
+    """Each event delivered twice, the second time with the next delivery: the sessions are those of events delivered once."""
+    out, state = (scratch_path(spark, p) for p in ("closed", "state"))
     events, ahead, _, quarter = _in_files(spark, sf_dir)
-    files = [events.where(F.col("part").isin(k, k - 1)) for k in range(5)]
-    once = without_repeats(_arriving_files(spark, source, *files, ahead), f"{2 * quarter} microseconds")
-    _drain(session_feature_stream(once, None), out, state)
+    parts = [events.where(F.col("part").isin(k, k - 1)) for k in range(5)]
+
+    def streamed(rows: DataFrame) -> DataFrame:
+        return session_feature_stream(without_repeats(rows, f"{2 * quarter} microseconds"), None)
+
+    _deliver_each(streamed, [*parts, ahead], out, state)
     return _sessions(spark.read.parquet(out).where("user_id >= 0"))
 
 

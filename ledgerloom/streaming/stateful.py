@@ -2,9 +2,13 @@
 
 Rows of a key wait until the watermark has passed them: from then on no earlier row of the key can arrive, so they are
 taken in order of time. What has been taken is kept as the numbers of the one session that is open, its last event, and its
-distinct values, a row of state each; what waits are the rows of at most the watermark's delay. A timer wakes the
-key when its next waiting row, or the end of its session, comes under the watermark. A session that is closed leaves no
-state behind, and a key without open session and waiting rows has none.
+distinct values, a row of state each; what waits are the rows of at most the watermark's delay. A session that is closed leaves
+no state behind.
+
+Every call of the state goes from Python to the JVM and back, and costs more than a row does. So keys share state by a hash of
+them, many to a group. Rows of a group wait in blocks of columns, cut by time, of which only those are read that
+the watermark has reached; the open sessions of a group are read together. A timer wakes the group when its next waiting
+row, or the end of a session, comes under the watermark.
 
 Spark keeps the state with its checkpoint, so a query that is stopped and started again goes on where it was. The state
 store must be RocksDB, which ``use_rocksdb`` sets for a session.
@@ -12,6 +16,7 @@ store must be RocksDB, which ``use_rocksdb`` sets for a session.
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 from typing import Any
@@ -34,6 +39,7 @@ _OPEN = (
 _OPEN_NAMES = [c.split()[0] for c in _OPEN.split(", ")]
 #: A distinct value of the open session; no value is a value of its own.
 _VALUE = "kind string, missing boolean, value string"
+_BLOCK_ROWS, _CUTS, _OUT_ROWS = 10_000, 8, 10_000
 
 
 def use_rocksdb(spark: SparkSession, provider: str = _ROCKSDB) -> str:
@@ -45,88 +51,117 @@ def use_rocksdb(spark: SparkSession, provider: str = _ROCKSDB) -> str:
 
 
 class SessionProcessor(StatefulProcessor):
-    """The sessions of one key after the other."""
+    """The sessions of one group of keys after the other."""
 
-    def __init__(self, gap: int, id_type: str) -> None:
-        self.gap, self.id_type = gap, id_type
+    def __init__(self, gap: int, key_type: str, id_type: str) -> None:
+        self.gap, self.key_type, self.id_type = gap, key_type, id_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", _OPEN)
-        self.seen = handle.getMapState("seen", _VALUE, "at long")
-        self.pending = handle.getListState(
-            "pending", f"us long, id {self.id_type}, amount double, category string, location string"
-        )
-        self.timer = handle.getValueState("timer", "at long")
+        self.open = handle.getMapState("open", f"key {self.key_type}", _OPEN)
+        self.seen = handle.getMapState("seen", f"key {self.key_type}, {_VALUE}", "at long")
+        self.pending = handle.getMapState(
+            "pending", "least long, number long", f"key array<{self.key_type}>, us array<long>, id array<{self.id_type}>, "
+            "amount array<double>, category array<string>, location array<string>",
+        )
+        self.blocks = handle.getValueState("blocks", "made long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        least = None
-        for frame in rows:
-            new = [
-                (int(us), None if pd.isna(i) else int(i) if self.id_type == "long" else i, None if pd.isna(a) else float(a), *texts)
-                for us, i, a, *texts in zip(
-                    frame["at_us"], frame["row_id"].astype(object), frame["amount"], _texts(frame["category"]), _texts(frame["location"]), strict=True
-                )
-            ]
-            if new:
-                self.pending.appendList(new)
-                first = min(r[0] for r in new)
-                least = first if least is None else min(least, first)
-        if least is not None:
-            self._wake_at(-(-least // 1000))
+        least = min(self._wait(self._rows(frame)) for frame in rows if len(frame))
+        wake = next(iter(self.handle.listTimers()), None)
+        if wake is None or least < wake:
+            if wake is not None:
+                self.handle.deleteTimer(wake)
+            self.handle.registerTimer(least)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        self.timer.clear()
-        waiting = sorted(self.pending.get(), key=lambda r: (r[0], r[1] is not None, 0 if r[1] is None else r[1]))
-        ready = [r for r in waiting if r[0] <= passed]
-        rest = waiting[len(ready) :]
-        closed = []
-        carried = self.open.exists()  # the session began in an earlier call and has its values in the state
-        session = dict(zip(_OPEN_NAMES, self.open.get(), strict=True)) if carried else None
-        met: dict[tuple, bool] = {}  # distinct values of the session met in this call: whether they are new to it
-        for row in ready:
-            if session is not None and row[0] - session["last"] >= self.gap:
-                closed.append(self._closed(key, session, carried))
-                session, carried, met = None, False, {}
-            session = self._taken(session, row, met, carried)
-        if session is not None and session["last"] + self.gap <= passed:
-            closed.append(self._closed(key, session, carried))
-            session = None
-        if session is None:
-            self.open.clear()
-        else:
-            self.open.update(tuple(session[c] for c in _OPEN_NAMES))
-            for place, new in met.items():
+        waiting = sorted(tuple(k) for k in self.pending.keys())
+        due = [k for k in waiting if k[0] <= passed]
+        marks = [_ms(least) for least, _ in waiting[len(due) : len(due) + 1]]
+        sessions = {k[0]: dict(zip(_OPEN_NAMES, s, strict=True)) for k, s in self.open.iterator()}
+        carried = set(sessions)  # began in an earlier call and have their values in the state
+        ended, touched, closed = set(), set(), []
+        met: dict[Any, dict[tuple, bool]] = {}  # distinct values of sessions met in this call: whether they are new to it
+
+        def close(user: Any) -> None:
+            closed.append(self._closed(user, sessions.pop(user)))
+            met.pop(user, None)
+            if user in carried:
+                carried.discard(user)
+                ended.add(user)
+
+        held: list[tuple] = []
+        for i, place in enumerate(due):
+            held += zip(*self.pending.getValue(place), strict=True)
+            self.pending.removeKey(place)
+            # Later blocks have no row before their first.
+            bound = min(passed, due[i + 1][0] - 1) if i + 1 < len(due) else passed
+            held.sort(key=_by_time)
+            ready = bisect.bisect_right(held, bound, key=lambda r: r[1])
+            for row in held[:ready]:
+                user = row[0]
+                session = sessions.get(user)
+                if session is not None and row[1] - session["last"] >= self.gap:
+                    close(user)
+                    session = None
+                sessions[user] = self._taken(session, row, met.setdefault(user, {}), user in carried)
+                touched.add(user)
+            held = held[ready:]
+            while len(closed) >= _OUT_ROWS:
+                yield _frame(closed[:_OUT_ROWS])
+                closed = closed[_OUT_ROWS:]
+        if held:
+            marks.append(self._wait(held))
+        for user in [u for u, s in sessions.items() if s["last"] + self.gap <= passed]:
+            close(user)
+        if ended:
+            for value in [v for v in self.seen.keys() if v[0] in ended]:
+                self.seen.removeKey(tuple(value))
+        for user in ended.difference(sessions):
+            self.open.removeKey((user,))
+        for user in touched.intersection(sessions):
+            session = sessions[user]
+            self.open.updateValue((user,), tuple(session[c] for c in _OPEN_NAMES))
+            for value, new in met[user].items():
                 if new:
-                    self.seen.updateValue(place, (session["last"],))
-        if ready:
-            if rest:
-                self.pending.put(rest)
-            else:
-                self.pending.clear()
-        marks = [-(-r[0] // 1000) for r in rest[:1]] + ([-(-(session["last"] + self.gap) // 1000)] if session else [])
+                    self.seen.updateValue((user, *value), (session["last"],))
+        if sessions:
+            marks.append(_ms(min(s["last"] for s in sessions.values()) + self.gap))
         if marks:
-            self._wake_at(min(marks))
+            self.handle.registerTimer(min(marks))
         if closed:
-            yield pd.DataFrame(closed, columns=["key", "first", "last", *SESSION_FEATURES])
+            yield _frame(closed)
 
     def close(self) -> None:
         pass
 
-    def _wake_at(self, at: int) -> None:
-        """Keep one timer for the key, the earliest."""
-        if self.timer.exists():
-            (now,) = self.timer.get()
-            if now <= at:
-                return
-            self.handle.deleteTimer(now)
-        self.handle.registerTimer(at)
-        self.timer.update((at,))
+    def _rows(self, frame: pd.DataFrame) -> list[tuple]:
+        columns = [frame[c].tolist() for c in ("session_key", "no_key", "at_us", "row_id", "amount", "category", "location")]
+        return [
+            (
+                None if no_key else key, us, None if i is None or i != i else int(i) if self.id_type == "long" else i,
+                None if amount is None or amount != amount else float(amount),
+                category if isinstance(category, str) else None, location if isinstance(location, str) else None,
+            )
+            for key, no_key, us, i, amount, category, location in zip(*columns, strict=True)
+        ]
+
+    def _wait(self, rows: list[tuple]) -> int:
+        """Put rows into blocks of state, each with a part of their time span. Returns when the first is due, in milliseconds."""
+        rows.sort(key=_by_time)
+        (made,) = self.blocks.get() or (0,)
+        size = min(_BLOCK_ROWS, max(100, -(-len(rows) // _CUTS)))
+        for i in range(0, len(rows), size):
+            some = rows[i : i + size]
+            self.pending.updateValue((some[0][1], made), tuple(map(list, zip(*some, strict=True))))
+            made += 1
+        self.blocks.update((made,))
+        return _ms(rows[0][1])
 
     def _taken(self, session: dict | None, row: tuple, met: dict[tuple, bool], carried: bool) -> dict:
-        us, _, amount, category, location = row
+        key, us, _, amount, category, location = row
         if session is None:
             session = dict.fromkeys(_OPEN_NAMES, 0) | {"first": us, "total": 0.0, "mean": 0.0, "spread": 0.0, "most": None}
         else:
@@ -144,49 +179,64 @@ class SessionProcessor(StatefulProcessor):
         for kind, value in (("categories", category), ("locations", location)):
             place = (kind, value is None, value or "")
             if place not in met:
-                met[place] = not (carried and self.seen.containsKey(place))
+                met[place] = not (carried and self.seen.containsKey((key, *place)))
                 session[kind] += met[place]
         return session
 
-    def _closed(self, key: Any, s: dict, carried: bool) -> tuple:
-        if carried:
-            self.seen.clear()
+    def _closed(self, key: Any, s: dict) -> tuple:
         n = s["known"]
         return (
-            key[0], s["first"], s["last"], s["n"], s["total"], s["total"] / n if n else None, s["most"],
+            key, s["first"], s["last"], s["n"], s["total"], s["total"] / n if n else None, s["most"],
             math.sqrt(max(0.0, s["spread"]) / n) if n else None, s["categories"], s["locations"], s["switches"], s["high"] / s["n"],
         )
 
 
-def _texts(column: pd.Series) -> list[str | None]:
-    return [v if isinstance(v, str) else None for v in column]
+def _by_time(row: tuple) -> tuple:
+    return row[1], row[2] is not None, 0 if row[2] is None else row[2]
+
+
+def _ms(us: int) -> int:
+    return -(-us // 1000)
+
+
+def _frame(closed: list[tuple]) -> pd.DataFrame:
+    frame = pd.DataFrame(closed, columns=["key", "first", "last", *SESSION_FEATURES])
+    # Numbers beside a missing one stay numbers.
+    frame["key"] = pd.Series([c[0] for c in closed], dtype=object)
+    return frame
 
 
 def session_feature_stream(
-    df: DataFrame, delay: str | None, cols: EventColumns = EventColumns(), gap_seconds: float = SESSION_GAP_SECONDS
+    df: DataFrame, delay: str | None, cols: EventColumns = EventColumns(), gap_seconds: float = SESSION_GAP_SECONDS, groups: int = 1024
 ) -> DataFrame:
     """Key, ``session_start``, ``session_end`` and the nine features of every session of a stream, once it is closed.
 
     Equal to ``session_features`` of the same rows as a table, in whatever order they arrive within ``delay``; rows that
     are later are dropped by Spark. A session is closed when the watermark is a gap behind its last event. ``delay`` is None
-    for a stream that has its watermark, as one from ``without_repeats``.
+    for a stream that has its watermark, as one from ``without_repeats``. ``groups`` is how many groups the keys share state in:
+    with more the state is read in smaller pieces, with fewer in fewer calls. It must not change while a checkpoint is in use.
     """
     gap = round(gap_seconds * MICROS)
     if gap <= 0:
         raise ValueError("the session gap must be positive")
     # Ties in time go by id, so numbers must stay numbers.
     id_type = "long" if isinstance(df.schema[cols.row_id].dataType, T.IntegralType) else "string"
+    key, key_type = F.col(cols.key), df.schema[cols.key].dataType
+    # In pandas, numbers beside a missing one would become doubles.
+    known = F.coalesce(key, F.lit(0).cast(key_type)) if isinstance(key_type, T.IntegralType) else key
     rows = (df if delay is None else df.withWatermark(cols.time, delay)).select(
-        F.col(cols.key).alias("session_key"), F.col(cols.time).alias("at_time"), F.unix_micros(cols.time).alias("at_us"),
+        F.pmod(F.xxhash64(key), F.lit(groups)).cast("int").alias("session_group"),
+        known.alias("session_key"), key.isNull().alias("no_key"), F.col(cols.time).alias("at_time"), F.unix_micros(cols.time).alias("at_us"),
         F.col(cols.row_id).cast(id_type).alias("row_id"), F.col(cols.amount).cast("double").alias("amount"),
         F.col(cols.category).cast("string").alias("category"), F.col(cols.location).cast("string").alias("location"),
     )
     whole = {"session_txn_count", "unique_categories", "unique_locations", "location_switches"}
     out = T.StructType([
-        T.StructField("key", df.schema[cols.key].dataType), T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
+        T.StructField("key", key_type), T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
         *[T.StructField(f, T.LongType() if f in whole else T.DoubleType()) for f in SESSION_FEATURES],
     ])
-    closed = rows.groupBy("session_key").transformWithStateInPandas(SessionProcessor(gap, id_type), out, "append", "eventTime")
+    processor = SessionProcessor(gap, key_type.simpleString(), id_type)
+    closed = rows.groupBy("session_group").transformWithStateInPandas(processor, out, "append", "eventTime")
     return closed.select(
         F.col("key").alias(cols.key), F.timestamp_micros("first").alias("session_start"),
         F.timestamp_micros(F.col("last") + gap).alias("session_end"), *SESSION_FEATURES,
