@@ -84,7 +84,12 @@ class EpochClassifier:
         return scored.withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
 
 
-def _epoch(rows: DataFrame, weights: np.ndarray, n_rows: int, epoch: int, seed: int, rate: float, batch: int) -> np.ndarray:
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Each part in a task of its own: by a hash some tasks would have several parts and others none, and small ones would be joined."""
+    return rows.repartitionById(parts, F.col("_part"))
+
+
+def _epoch(rows: DataFrame, weights: np.ndarray, n_rows: int, parts: int, epoch: int, seed: int, rate: float, batch: int) -> np.ndarray:
     """The weights behind one epoch over all parts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,7 +122,7 @@ def _epoch(rows: DataFrame, weights: np.ndarray, n_rows: int, epoch: int, seed:
             yield moved()
 
     order = F.xxhash64(F.lit(seed), F.lit(epoch), "_row")
-    dealt = rows.repartition("_part").sortWithinPartitions("_part", order, "_row").select("_part", "_places", "_target")
+    dealt = _dealt(rows, parts).sortWithinPartitions("_part", order, "_row").select("_part", "_places", "_target")
     sums = dealt.mapInPandas(run, "place int, moved double").groupBy("place").agg(F.sum("moved").alias("moved")).toPandas()
     out = weights.copy()
     out[sums["place"].to_numpy()] += sums["moved"].to_numpy() / n_rows
@@ -158,7 +163,8 @@ def fit_epochs(
     n, ones = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("_target"), F.lit(0))).first()
     if not n:
         raise ValueError("no training rows")
-    rows = rows.withColumn("_part", F.pmod(F.xxhash64(F.lit(seed), "_row"), F.lit(-(-n // part_rows))).cast("int"))
+    parts = -(-n // part_rows)
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64(F.lit(seed), "_row"), F.lit(parts)).cast("int"))
 
     def written() -> dict[int, float]:
         return {r["epoch"]: r["loss"] for r in read_or_empty(spark, f"{path}/losses", _schema(spark, _LOSSES)).collect()}
@@ -175,7 +181,7 @@ def fit_epochs(
         if epoch == 0:
             weights[-1] = math.log((ones + 0.5) / (n - ones + 0.5))
         else:
-            weights = _epoch(rows, weights, n, epoch, seed, rate / math.sqrt(epoch), batch)
+            weights = _epoch(rows, weights, n, parts, epoch, seed, rate / math.sqrt(epoch), batch)
         places = np.flatnonzero(weights)
         table = spark.createDataFrame(pd.DataFrame({"place": places.astype(np.int32), "weight": weights[places]}), _WEIGHTS)
         table.coalesce(1).write.mode("overwrite").parquet(f"{path}/weights/epoch={epoch}")

@@ -4,7 +4,9 @@ import random
 import numpy as np
 import pytest
 
-from ledgerloom.operators.epochs import fit_epochs, margins, steps
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.epochs import _dealt, fit_epochs, margins, steps
 
 SHAPE = "id long, func string, target int"
 
@@ -62,3 +64,9 @@ def test_steps_follow_the_gradient():
         nudge = np.zeros(9)
         nudge[i] = 1e-6
         assert weights[i] - after[i] == pytest.approx((loss(weights + nudge) - loss(weights - nudge)) / 2e-6, abs=1e-7)
+
+
+def test_each_part_is_a_task(spark):
+    rows = spark.range(700).select((F.col("id") % 7).cast("int").alias("_part"), F.array(F.lit(1)).alias("_places"))
+    found = _dealt(rows, 7).groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("_part").alias("parts"), F.count("*").alias("n"))
+    assert sorted((r["task"], r["parts"], r["n"]) for r in found.collect()) == [(k, 1, 100) for k in range(7)]
