@@ -599,26 +599,16 @@ def _(spark, sf_dir):
 @query("stream_session_totals", TOTALS_SQL)
 def _(spark, sf_dir):
     """Sessions of a stream of four micro-batches in order of time; a last event far ahead closes them all."""
-    source, out, state = (scratch_path(spark, p) for p in ("events", "closed", "state"))
+    out, state = (scratch_path(spark, p) for p in ("closed", "state"))
     events = _with_gaps(transactions(spark, sf_dir)).select(
         "user_id", F.col("event_time").cast("timestamp").alias("event_time"), "amount"
     )
     first, last = events.agg(F.unix_micros(F.min("event_time")), F.unix_micros(F.max("event_time"))).first()
     part = F.least(F.lit(3), F.floor((F.unix_micros("event_time") - first) / ((last - first) / 4)))
-    for k in range(4):
-        events.where(part == k).coalesce(1).write.mode("append").parquet(source)
     ahead = F.timestamp_micros(F.lit(last + 86_400_000_000)).alias("event_time")
-    spark.range(1).select(F.lit(-1).cast("long").alias("user_id"), ahead, F.lit(0.0).alias("amount")).write.mode("append").parquet(source)
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    running = (
-        session_totals(arriving, delay="10 minutes")
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
+    closing = spark.range(1).select(F.lit(-1).cast("long").alias("user_id"), ahead, F.lit(0.0).alias("amount"))
+    deliveries = [*(events.where(part == k) for k in range(4)), closing]
+    _deliver_each(lambda rows: session_totals(rows, delay="10 minutes"), deliveries, out, state, keyed=False)
     return _totals(spark.read.parquet(out).where("user_id >= 0"))
 
 
@@ -635,21 +625,25 @@ def _in_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, i
     return events.withColumn("part", F.floor((F.unix_micros("event_time") - first) / quarter)), ahead, first, quarter
 
 
-def _drain(stream: DataFrame, out: str, state: str, last: bool = True) -> None:
-    """Take what has arrived as one micro-batch; behind the last one, another closes what the watermark has passed by then."""
+def _drain(stream: DataFrame, out: str, state: str, last: bool, keyed: bool) -> None:
+    """Take what has arrived as one micro-batch; behind the last one, another closes what the watermark has passed by then.
+    ``keyed``: the stream has keyed state in Python."""
     spark = stream.sparkSession
     more = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before, closing = use_rocksdb(spark), spark.conf.get(more)
+    before, closing = use_rocksdb(spark) if keyed else None, spark.conf.get(more)
     spark.conf.set(more, str(last).lower())
     try:
         writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
         writer.trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(more, closing)
-        use_rocksdb(spark, before)
+        if keyed:
+            use_rocksdb(spark, before)
 
 
-def _deliver_each(streamed: Callable[[DataFrame], DataFrame], deliveries: list[DataFrame], out: str, state: str) -> None:
+def _deliver_each(
+    streamed: Callable[[DataFrame], DataFrame], deliveries: list[DataFrame], out: str, state: str, keyed: bool = True
+) -> None:
     """Deliver events part after part, each by as many tasks as there are. Each is a micro-batch, behind which the query stops
     and goes on from its checkpoint with the next."""
     spark = deliveries[0].sparkSession
@@ -657,7 +651,7 @@ def _deliver_each(streamed: Callable[[DataFrame], DataFrame], deliveries: list[D
     for k, some in enumerate(deliveries, 1):
         rows = some.drop("part")
         rows.write.mode("append").parquet(source)
-        _drain(streamed(spark.readStream.schema(rows.schema).parquet(source)), out, state, last=k == len(deliveries))
+        _drain(streamed(spark.readStream.schema(rows.schema).parquet(source)), out, state, k == len(deliveries), keyed)
 
 
 @query("stream_session_features", _sessions_oracle(HALF_HOUR))
