@@ -15,8 +15,9 @@ all blocks, finds the highest of each id of B, and sends every block the answers
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import pairwise, starmap
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ from ledgerloom.session import materialize, scratch_path
 
 BLOCK_LINKS = 1 << 18
 BLOCK_DOCS = 20_000
+#: New pieces that are aligned in one product.
+ALIGNED = 8_000
 
 
 # --- sparse matrices ------------------------------------------------------------------------------------------
@@ -134,10 +137,18 @@ class PieceModel:
         return self.model.encode(texts, num_threads=1) if texts else []
 
 
+_HEAD = struct.Struct("<III?")
+
+
+def packed(n_a: int, n_b: int, codes: bytes, groups: str, ok: bool) -> bytes:
+    """What is known of a piece as one object: several objects for each piece take more than twice the memory."""
+    return _HEAD.pack(n_a, n_b, len(codes), ok) + codes + groups.encode()
+
+
 class Aligner:
     """Aligns texts by their pieces; what is known of a piece: how many tokens, its links' id pairs, and its groups."""
 
-    def __init__(self, a_path: str, b_path: str, kept: int = 2 * KEPT) -> None:
+    def __init__(self, a_path: str, b_path: str, kept: int = KEPT) -> None:
         # Only new pieces are encoded, so A's own memory of units is small.
         self.a, self.b = ByteLevel(a_path, special_as_text=True, kept=kept // 10), PieceModel(b_path)
         self.code = np.dtype("<u4" if self.a.size * self.b.size <= 1 << 32 else "<i8")
@@ -182,6 +193,11 @@ class Aligner:
             out.append((len(pair[0]), len(pair[1]), codes[i:j].tobytes(), ";".join(groups[i:j]), True))
         return out
 
+    def _fresh(self, names: list[bytes]) -> Iterator[bytes]:
+        """What is to be known of new pieces, some at a time, since a product takes far more memory than what it gives."""
+        for i in range(0, len(names), ALIGNED):
+            yield from starmap(packed, self.align([n.decode()[1:] for n in names[i : i + ALIGNED]]))
+
     def _parts(self, raws: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, str, bool]]:
         """What ``align`` gives, for texts behind a space, by their pieces."""
         if not self.b.ends_at_spaces:
@@ -189,19 +205,21 @@ class Aligner:
                 yield n_a, n_b, np.frombuffer(codes, self.code), groups, ok
             return
         units = Units(raws, spaces_only=True)
-        known = self.known.look_up(units.names, lambda names: self.align([n.decode()[1:] for n in names]))
+        known = self.known.look_up(units.names, self._fresh)
+        heads = np.frombuffer(b"".join([f[: _HEAD.size] for f in known]), dtype="<u4,<u4,<u4,?")
         bounds = np.concatenate(([0], units.ends))
 
-        def per_part(k: int) -> list[int]:
-            of_unit = np.fromiter((f[k] for f in known), dtype=np.int64, count=len(known))
+        def per_part(field: str) -> list[int]:
+            of_unit = heads[field].astype(np.int64)
             return np.diff(np.concatenate(([0], np.cumsum(of_unit[units.index])))[bounds]).tolist()
 
-        codes, ends = gathered([f[2] for f in known], units.index, self.code)
+        ends_in = (heads["f2"].astype(np.int64) + _HEAD.size).tolist()
+        codes, ends = gathered([f[_HEAD.size : e] for f, e in zip(known, ends_in, strict=True)], units.index, self.code)
         at = np.concatenate(([0], ends))[bounds].tolist()
-        names = [f[3] for f in known]
+        names = [f[e:].decode() for f, e in zip(known, ends_in, strict=True)]
         groups = list(map(names.__getitem__, units.index.tolist()))
-        ok = per_part(4)
-        for i, (n_a, n_b, (lo, hi)) in enumerate(zip(per_part(0), per_part(1), pairwise(bounds.tolist()), strict=True)):
+        ok = per_part("f3")
+        for i, (n_a, n_b, (lo, hi)) in enumerate(zip(per_part("f0"), per_part("f1"), pairwise(bounds.tolist()), strict=True)):
             yield n_a, n_b, codes[at[i] : at[i + 1]], ";".join(groups[lo:hi]), ok[i] == hi - lo
 
     def documents(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, str]]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 from collections import Counter
 
 import numpy as np
@@ -119,6 +120,28 @@ def test_long_texts_and_forgetting(libraries, monkeypatch):
     assert [(n_a, n_b, codes.tolist(), digest) for n_a, n_b, codes, digest in small.documents(texts)] == wanted
 
 
+def test_memory_weighs_what_it_takes(monkeypatch):
+    """What is known of a piece takes no more memory than it is counted with, and a product is not of all new pieces."""
+    both = Aligner(*token_alignment.default_tokenizers())
+    most = 0
+
+    def align(texts, align=both.align):
+        nonlocal most
+        most = max(most, len(texts))
+        return align(texts)
+
+    monkeypatch.setattr(both, "align", align)
+    rng = random.Random(7)
+    list(both.documents([" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(30_000))]))
+    known = both.known.young
+
+    def size(x):
+        return sys.getsizeof(x) + (sum(map(sys.getsizeof, x)) if isinstance(x, tuple) else 0)
+
+    assert len(known) > 20_000 and sum(size(k) + size(v) for k, v in known.items()) <= both.known.held
+    assert most <= 10_000
+
+
 def test_links_of_each_kind(spark, libraries):
     texts = [*scraps(3, 30), "tokenization unbelievably"]
     docs = table(spark, texts)
