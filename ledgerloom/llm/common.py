@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import sys
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -72,6 +72,25 @@ def chunks(texts: list[str | None], size: int = CHUNK_CHARS) -> Iterator[list[st
         yield part
 
 
+def across(batches: Iterable[tuple[list, list[str | None]]], size: int) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of all batches in lists of about ``size`` bytes of text, however few rows a batch has."""
+    ids: list = []
+    part: list[str] = []
+    held = 0
+    for numbers, texts in batches:
+        for number, text in zip(numbers, texts, strict=True):
+            text = text if isinstance(text, str) else ""
+            weight = len(text) if text.isascii() else len(text.encode())
+            if part and held + weight > size:
+                yield ids, part
+                ids, part, held = [], [], 0
+            ids.append(number)
+            part.append(text)
+            held += weight
+    if part:
+        yield ids, part
+
+
 def by_chunk(score: Callable[[list[str]], pd.DataFrame]) -> Callable[[pd.Series], pd.DataFrame]:
     """Apply ``score`` to the texts of a batch, some at a time."""
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import chunks
+from ledgerloom.llm.common import across
 from ledgerloom.llm.pieces import CHUNK_BYTES, ByteLevel
 from ledgerloom.session import scratch_path
 
@@ -219,18 +219,16 @@ def write_shards(
             blob = pack_shard(doc_ids, [len(h) // codec.dtype.itemsize for h in held], ids)
             return pd.DataFrame({"part": [part], "seq": [seq], "n_tokens": [len(ids)], "n_docs": [len(doc_ids)], "blob": [blob]})
 
-        for batch in batches:
-            numbers = [None if pd.isna(d) else int(d) for d in batch["doc_id"].astype(object)]
-            at = 0
-            for some in chunks(batch["text"].tolist(), CHUNK_BYTES):
-                for doc_id, found in zip(numbers[at : at + len(some)], codec.encode(some), strict=True):
-                    doc_ids.append(doc_id)
-                    held.append(found + end)
-                    n += len(held[-1]) // codec.dtype.itemsize
-                    if n >= shard_tokens:
-                        yield shard()
-                        doc_ids, held, n, seq = [], [], 0, seq + 1
-                at += len(some)
+        rows = (([None if pd.isna(d) else int(d) for d in b["doc_id"].astype(object)], b["text"].tolist()) for b in batches)
+        # A unit is looked at once a chunk, so chunks are made of several batches.
+        for numbers, some in across(rows, 2 * CHUNK_BYTES):
+            for doc_id, found in zip(numbers, codec.encode(some), strict=True):
+                doc_ids.append(doc_id)
+                held.append(found + end)
+                n += len(held[-1]) // codec.dtype.itemsize
+                if n >= shard_tokens:
+                    yield shard()
+                    doc_ids, held, n, seq = [], [], 0, seq + 1
         if doc_ids:
             yield shard()
 

@@ -7,6 +7,7 @@ from helpers import awkward, awkward_rows, empty, rows_of, with_clashes, words
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import pieces, token_counts, token_shards
+from ledgerloom.llm.common import across
 from ledgerloom.llm.pieces import ByteLevel, Memory, Units, segments
 from ledgerloom.llm.token_shards import WaveletMatrix
 
@@ -163,3 +164,15 @@ def test_counts_of_awkward_rows(spark, library):
     assert rows_of(clashing, *columns) == sorted(expected_rows, key=repr)
     assert token_counts.count_with_edits(empty(spark), changes).count() == 0
     assert token_counts.count_with_edits(docs, changes.where("false")).agg({"n_edits": "sum"}).collect()[0][0] == 0
+
+
+def test_chunks_are_made_of_several_batches():
+    """Short batches go together up to the size in bytes, in order; a longer text is a chunk of its own."""
+    texts = ["a" * 10, None, "é" * 10, "", "b" * 300, "日" * 30, *["c" * 9] * 40]
+    batches = [(list(range(i, min(i + 3, len(texts)))), texts[i : i + 3]) for i in range(0, len(texts), 3)]
+    found = list(across(batches, 100))
+    assert [i for ids, _ in found for i in ids] == list(range(len(texts)))
+    assert [t for _, some in found for t in some] == [t or "" for t in texts]
+    sizes = [sum(len(t.encode()) for t in some) for _, some in found]
+    assert all(size <= 100 or len(some) == 1 for size, (_, some) in zip(sizes, found, strict=True))
+    assert len(found) < len(batches) and list(across([], 100)) == []
