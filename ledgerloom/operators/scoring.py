@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -65,10 +66,14 @@ def fit_forest(
 
     A forest of fully grown trees has no bound on its size; ten features are told apart well before.
 
-    Training reads ``df`` several times, so hand in a written table, not a long lineage.
+    Training reads ``df`` several times, so hand in a written table, not a long lineage. Its narrow rows are dealt evenly to as
+    many parts as there are cores and kept on the executors' disks meanwhile: a file's rows may be many times another's, and
+    every part sends the counts of all nodes of a level.
     """
     labelled = df.where(F.col(label).isNotNull()).withColumn("_label", F.col(label).cast("int").cast("double"))
-    training = with_class_weight(fill_features(labelled, columns), "_label")
+    weighted = with_class_weight(fill_features(labelled, columns), "_label")
+    narrow = weighted.select("_label", "weight", *[f"_f_{c}" for c in columns])
+    training = narrow.repartition(df.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.DISK_ONLY)
     forest = RandomForestClassifier(
         featuresCol="_features",
         labelCol="_label",
@@ -81,7 +86,10 @@ def fit_forest(
         rawPredictionCol="_raw",
         predictionCol="_prediction",
     )
-    return Pipeline(stages=[assembler(columns), forest]).fit(training)
+    try:
+        return Pipeline(stages=[assembler(columns), forest]).fit(training)
+    finally:
+        training.unpersist()
 
 
 def score_rows(df: DataFrame, model: PipelineModel, threshold: float = THRESHOLD, columns=FEATURES) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fixtures import line
+from ledgerloom.operators import scoring
 from ledgerloom.operators.scoring import (
     FEATURES,
     apply_threshold,
@@ -151,6 +152,26 @@ def test_absent_label_is_not_trained_on(spark):
 BROKEN = ["not json", "", line()[:-1]]
 
 
+def test_forest_is_fitted_on_even_parts(spark, monkeypatch):
+    """Rows of one large part are dealt to all cores, narrow, and nothing stays kept afterwards."""
+    seen = []
+
+    class Recorder:
+        def __init__(self, stages):
+            pass
+
+        def fit(self, rows):
+            seen.append((rows, [len(p) for p in rows.rdd.glom().collect()], rows.columns))
+
+    monkeypatch.setattr(scoring, "Pipeline", Recorder)
+    rows = spark.range(4_000).select((F.col("id") % 2 == 0).alias("is_fraud"), F.col("id").alias("amount"), F.lit("x" * 50).alias("note"))
+    fit_forest(rows.coalesce(1))
+    ((training, sizes, columns),) = seen
+    assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 4_000
+    assert max(sizes) <= 2 * min(sizes) and "note" not in columns
+    assert not training.is_cached
+
+
 def test_batch_job_writes_three_branches(spark, trained, tmp_path):
     rows = simulated(seed=2)
     write_lines(f"{tmp_path}/in/a.jsonl", [json.dumps({**r, "channel": {"n": 1}}) for r in rows] + BROKEN)
