@@ -148,8 +148,9 @@ def gathered(values: list[bytes], index: np.ndarray, dtype: np.dtype) -> tuple[n
     first = np.cumsum(lengths) - lengths
     sizes = lengths[index]
     ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(first[index] - (ends - sizes), sizes) + np.arange(total)], ends
+    places = np.repeat(first[index] - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return flat[places], ends
 
 
 def token_bytes(tokenizer) -> list[bytes]:

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from ledgerloom.session import scratch_path
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
+#: What a worker keeps of recurring units, as ``pieces.KEPT``: it stays in memory through later stages.
+KEPT = 30_000_000
 STEP = 512
 MAGIC = b"WMX1"
 
@@ -47,7 +50,7 @@ _ENCODERS: dict[str, ByteLevel] = {}
 def encoder(path: str) -> ByteLevel:
     """One per worker process, so that tasks that follow each other share what is known."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = ByteLevel(path)
+        _ENCODERS[path] = ByteLevel(path, kept=KEPT)
     return _ENCODERS[path]
 
 
@@ -221,7 +224,7 @@ def write_shards(
 
         rows = (([None if pd.isna(d) else int(d) for d in b["doc_id"].astype(object)], b["text"].tolist()) for b in batches)
         # A unit is looked at once a chunk, so chunks are made of several batches.
-        for numbers, some in across(rows, 2 * CHUNK_BYTES):
+        for numbers, some in across(rows, CHUNK_BYTES):
             for doc_id, found in zip(numbers, codec.encode(some), strict=True):
                 doc_ids.append(doc_id)
                 held.append(found + end)
@@ -231,6 +234,7 @@ def write_shards(
                     doc_ids, held, n, seq = [], [], 0, seq + 1
         if doc_ids:
             yield shard()
+        pa.default_memory_pool().release_unused()  # the worker lives on through later stages
 
     (
         docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("doc_id").alias("_order"), "text")

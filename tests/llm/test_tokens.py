@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -75,6 +76,18 @@ def test_memory_keeps_what_recurs():
     assert made.count(b"again") == 1 and len(made) == 201 and len(memory.young) + len(memory.old) < 20
 
 
+def test_workers_hold_little():
+    assert token_shards.encoder(token_shards.default_tokenizer()).known.kept == token_shards.KEPT <= 30_000_000
+    n = 500_000
+    value = np.arange(n, dtype="<u2").tobytes()
+    tracemalloc.start()
+    ids, ends = pieces.gathered([value], np.array([0]), np.dtype("<u2"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids.tobytes() == value and ends.tolist() == [n]
+    assert peak < 20 * n  # two numbers for a place at once, not three
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 511, 512, 513, 2000])
 def test_wavelet_matrix_answers(n):
     rng = random.Random(n)
