@@ -38,6 +38,8 @@ BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 #: Logarithm of how much less likely the wanted similarity must be than the best one for a pair to be left out.
 SURE = 25.0
 BITS = 1024
+#: Numbers of 64 marks each, at most, that tell before a join which texts cannot be needed.
+WORDS = 1 << 18
 _FACTORS, _OFFSETS, _BAND = constants(REGISTERS, 91), constants(REGISTERS, 92), constants(ROWS + 1, 93)
 _TOP = np.log(BASE)
 
@@ -135,7 +137,10 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
-    """One row per class of equal word sequences: ``same, n_shingles, sketch, keys``, its least id and one of its rows."""
+    """One row per class of equal word sequences: ``same, n_shingles, sketch, keys``, its least id and one of its rows.
+
+    ``node`` numbers the classes, shorter than ``same`` where keys and pairs are shuffled. The numbers hold once they are written.
+    """
 
     @F.pandas_udf("array<long>")
     def keys(sketches: pd.Series) -> pd.Series:
@@ -149,6 +154,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
             F.min("doc_id").alias("least_id"), F.min(F.struct("text_hash", "doc_id")).alias("row"),
         )
         .withColumn("keys", keys("sketch"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
 
 
@@ -161,25 +167,39 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, needed: DataFrame, words: int) -> DataFrame:
-    """``same, shingles`` of the classes in ``needed`` (``same``, distinct): the whole sets, sorted, from the texts."""
+    """``node, shingles`` of the classes in ``needed`` (``node``, distinct): the whole sets, sorted, from the texts.
+
+    Texts are shuffled only where the mark of their hash is set. The marks are broadcast; they are 64 times ``WORDS`` bits at
+    most, however many classes are needed, and only spare texts the way: what passes is joined with the needed rows.
+    """
     # Written, so that Spark knows how small it is before it plans the join with the texts.
     rows = materialize(
-        classes.join(needed, "same", "left_semi").select(F.col("row.text_hash").alias("_hash"), F.col("row.doc_id").alias("_id")),
+        classes.join(needed, "node", "left_semi").select(
+            "node", F.col("same").alias("_same"), F.col("row.text_hash").alias("_hash"), F.col("row.doc_id").alias("_id")
+        ),
         "needed",
     )
+    word = F.shiftrightunsigned("_h", 65 - WORDS.bit_length()).alias("_word")
+    bit = F.expr("shiftleft(1L, int(_h & 63))")
+    marks = rows.select(F.col("_hash").alias("_h")).groupBy(word).agg(F.bit_or(bit).alias("_marks"))
+    marked = (
+        docs.select("doc_id", "text", F.xxhash64("text").alias("_h")).withColumn("_word", word)
+        .join(F.broadcast(marks), "_word").where(F.col("_marks").bitwiseAND(bit) != 0)
+    )
 
-    @F.pandas_udf("same binary, shingles binary")
-    def whole_set(texts: pd.Series) -> pd.DataFrame:
-        raw = [normal(t) for t in texts]
-        return pd.DataFrame({
-            "same": [hashlib.md5(b" ".join(r.split())).digest() for r in raw],
-            "shingles": [shingles(r, words).tobytes() for r in raw],
-        })
+    @F.pandas_udf("binary")
+    def whole_set(texts: pd.Series, wanted: pd.Series) -> pd.Series:
+        """The set of a text of the wanted class, and null if another text has its hash and its id."""
+        out = []
+        for text, same in zip(texts, wanted, strict=True):
+            raw = normal(text)
+            out.append(shingles(raw, words).tobytes() if hashlib.md5(b" ".join(raw.split())).digest() == same else None)
+        return pd.Series(out, dtype=object)
 
-    found = (F.xxhash64("text") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    found = (F.col("_h") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     return materialize(
-        docs.select("doc_id", "text").join(rows, found, "left_semi")
-        .select(whole_set("text").alias("_s")).select("_s.*").dropDuplicates(["same"]),
+        marked.join(rows, found).select("node", whole_set("text", "_same").alias("shingles"))
+        .groupBy("node").agg(F.first("shingles", ignorenulls=True).alias("shingles")),
         "sets",
     )
 
@@ -196,7 +216,7 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
         return pd.Series(worth_verifying(*both, n_a.to_numpy(float), n_b.to_numpy(float), wanted))
 
     def side(node: str) -> DataFrame:
-        return classes.select(F.col("same").alias(node), F.col("sketch").alias(f"s_{node}"), F.col("n_shingles").alias(f"n_{node}"))
+        return classes.select(F.col("node").alias(node), F.col("sketch").alias(f"s_{node}"), F.col("n_shingles").alias(f"n_{node}"))
 
     return materialize(
         pairs.join(side("u"), "u").join(side("v"), "v").where(likely("s_u", "s_v", "n_u", "n_v")).select("u", "v"), "likely"
@@ -217,8 +237,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pd.Series(out, dtype=bool)
 
     return materialize(
-        pairs.join(sets.select(F.col("same").alias("u"), F.col("shingles").alias("a")), "u")
-        .join(sets.select(F.col("same").alias("v"), F.col("shingles").alias("b")), "v")
+        pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+        .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
         .where(linked("a", "b"))
         .select("u", "v"),
         "links",
@@ -226,27 +246,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_leaders(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``key, same, n`` of all keys that several classes share; and the pairs of each class with the two leaders of
+    """``key, node, n`` of all keys that several classes share; and the pairs of each class with the two leaders of
     its keys, the least and the greatest."""
-    bands = classes.select("same", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    one = F.struct("same", "n")
+    bands = classes.select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    one = F.struct("node", "n")
     leaders = (
-        bands.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high")).where(F.col("low.same") < F.col("high.same"))
+        bands.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high")).where(F.col("low.node") < F.col("high.node"))
     )
     members = materialize(bands.join(leaders, "key"), "members")
     pairs = (
         members.withColumn("lead", F.explode(F.array("low", "high")))
-        .where((F.col("lead.same") != F.col("same")) & _similar_sizes("n", "lead.n", percent))
-        .select(*_pair("same", "lead.same"))
+        .where((F.col("lead.node") != F.col("node")) & _similar_sizes("n", "lead.n", percent))
+        .select(*_pair("node", "lead.node"))
         .distinct()
     )
-    return members.select("key", "same", "n"), pairs
+    return members.select("key", "node", "n"), pairs
 
 
 def _mixed_keys(members: DataFrame, found: DataFrame) -> DataFrame:
-    """``key, same, n, c`` (its component) and ``major`` (the largest of the key) where a key has several components."""
-    placed = members.join(found.withColumnRenamed("node", "same"), "same", "left").select(
-        "key", "same", "n", F.coalesce("component", "same").alias("c")
+    """``key, node, n, c`` (its component) and ``major`` (the largest of the key) where a key has several components."""
+    placed = members.join(found, "node", "left").select(
+        "key", "node", "n", F.coalesce("component", "node").alias("c")
     )
     mixed = (
         placed.groupBy("key", "c").agg(F.count("*").alias("size"))
@@ -260,8 +280,8 @@ def _mixed_keys(members: DataFrame, found: DataFrame) -> DataFrame:
 def _remaining(here: DataFrame, percent: int) -> DataFrame:
     """Pairs with a key in common but in different components: each class outside the largest component of a key with
     every class of the key in another component, unless their bits tell that they share too little."""
-    outside = here.where("c <> major").select("key", *[F.col(c).alias(f"o_{c}") for c in ("same", "n", "c", "bits", "hidden", "keys")])
-    once = (F.col("c") == F.col("major")) | (F.col("same") > F.col("o_same"))
+    outside = here.where("c <> major").select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "c", "bits", "hidden", "keys")])
+    once = (F.col("c") == F.col("major")) | (F.col("node") > F.col("o_node"))
     in_common = sum((F.bit_count(F.col("bits")[i].bitwiseAND(F.col("o_bits")[i])) for i in range(BITS // 64)), F.lit(0))
     most = in_common + F.least("hidden", "o_hidden")
     enough = (100 + percent) * most >= percent * (F.col("n") + F.col("o_n"))
@@ -270,7 +290,7 @@ def _remaining(here: DataFrame, percent: int) -> DataFrame:
     return (
         here.join(outside, "key")
         .where((F.col("c") != F.col("o_c")) & once & _similar_sizes("n", "o_n", percent) & enough & first)
-        .select(*_pair("same", "o_same"))
+        .select(*_pair("node", "o_node"))
     )
 
 
@@ -282,16 +302,16 @@ def _flagged(docs: DataFrame, words: int, percent: int) -> DataFrame:
     pairs = materialize(pairs, "pairs")
 
     # The sets of all documents that share a key, so that the texts are read and sorted out once for both rounds.
-    sets = sets_of(docs, classes, members.select("same").distinct(), words)
+    sets = sets_of(docs, classes, members.select("node").distinct(), words)
     links = verified(likely_pairs(pairs, classes, percent), sets, percent)
-    here = _mixed_keys(members, components(links)).join(classes.select("same", "bits", "hidden", "keys"), "same")
+    here = _mixed_keys(members, components(links)).join(classes.select("node", "bits", "hidden", "keys"), "node")
     rest = materialize(_remaining(materialize(here, "mixed"), percent).join(pairs, ["u", "v"], "left_anti"), "rest")
     more = verified(likely_pairs(rest, classes, percent), sets, percent)
     found = components(links.unionByName(more))
     of_class = (
-        classes.select("same", "least_id")
-        .join(found.withColumnRenamed("node", "same"), "same", "left")
-        .withColumn("component", F.coalesce("component", "same"))
+        classes.select("same", "node", "least_id")
+        .join(found, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
     )
     least = of_class.groupBy("component").agg(F.min("least_id").alias("component_id"))
     ids = of_class.join(least, "component").select("same", "component_id")

@@ -121,3 +121,31 @@ def test_bits_bound_intersections():
         bits = [near_dedup.bit_map(x).view("<u8") for x in (a, b)]
         hidden = [len(x) - int(np.bitwise_count(m).sum()) for x, m in zip((a, b), bits, strict=True)]
         assert len(np.intersect1d(a, b)) <= int(np.bitwise_count(bits[0] & bits[1]).sum()) + min(hidden)
+
+
+def test_only_marked_texts_are_shuffled_for_their_sets(spark, monkeypatch):
+    texts = [" ".join(words(40, seed, 9000)) for seed in range(60)]
+    docs = spark.createDataFrame([(i % 50, t) for i, t in enumerate([*texts, *texts])], "doc_id long, text string")
+    classes = near_dedup.materialize(near_dedup.classes_of(near_dedup.sketched(docs, 4)), "classes")
+    assert dict(classes.dtypes)["node"] == "bigint" and classes.select("node").distinct().count() == 60
+    wanted = classes.orderBy("node").limit(3).collect()
+    plans = []
+    written = near_dedup.materialize
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label)
+
+    monkeypatch.setattr(near_dedup, "materialize", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = near_dedup.sets_of(docs, classes, spark.createDataFrame([(r.node,) for r in wanted], "node long"), 4).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    plan = plans[-1]
+    assert 0 < plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin") and plan.count("ArrowEvalPython") == 1
+    nodes = {r.row.text_hash: r.node for r in wanted}
+    hashed = docs.selectExpr("text", "xxhash64(text) AS h").distinct().collect()
+    sets = {nodes[r.h]: near_dedup.shingles(near_dedup.normal(r.text), 4).tobytes() for r in hashed if r.h in nodes}
+    assert len(found) == 3 and {r.node: bytes(r.shingles) for r in found} == sets
